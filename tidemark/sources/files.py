@@ -167,12 +167,13 @@ def csv_scan(
     quote: str = '"',
     encoding: str = "UTF-8",
 ) -> DataFrame:
-    """Cells by position. A position past the end of a row gives null."""
+    """Cells by position. A position past the end of a row gives null; a doubled
+    quote inside a quoted cell stands for one."""
     width = max(mapping) + 1
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
     cells = [F.col(f"_c{i}").alias(name) for i, name in mapping.items()]
     if skip_lines <= 1 and _is_utf8(encoding):
-        reader = spark.read.schema(schema).options(sep=sep, quote=quote, mode="PERMISSIVE")
+        reader = spark.read.schema(schema).options(sep=sep, quote=quote, escape=quote, mode="PERMISSIVE")
         return reader.csv(path, header=skip_lines == 1, enforceSchema=True).select(*cells)
 
     lines = text_lines(spark, path, encoding)
@@ -182,7 +183,7 @@ def csv_scan(
         kept = first.withColumn("_no", F.row_number().over(_in_block())).filter(F.col("_no") > skip_lines)
         lines = kept.drop("_no").unionByName(lines.filter(F.col("block_start") > 0))
     parsed = F.from_csv(F.col("line"), schema.simpleString()[len("struct<"):-1].replace(":", " "),
-                        {"sep": sep, "quote": quote})
+                        {"sep": sep, "quote": quote, "escape": quote})
     return lines.filter(F.trim("line") != "").select(parsed.alias("r")).select("r.*").select(*cells)
 
 
