@@ -6,17 +6,17 @@ from pyspark.sql import Column, functions as F
 
 from tidemark.functions.text import _col
 
-IPV4 = r"^(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})$"
+OCTET = r"(?:25[0-5]|2[0-4]\d|[01]?\d?\d)"
+IPV4 = rf"^{OCTET}\.{OCTET}\.{OCTET}\.{OCTET}$"
 
 
 def ipv4_number(c: Column | str) -> Column:
     """IPv4 text as bigint; null when it is no such address."""
     text = _col(c)
-    parts = F.split(text, r"\.")
-    octets = [F.get(parts, F.lit(i)).try_cast("bigint") for i in range(4)]
-    number = octets[0] * (1 << 24) + octets[1] * (1 << 16) + octets[2] * (1 << 8) + octets[3]
-    fits = (octets[0] < 256) & (octets[1] < 256) & (octets[2] < 256) & (octets[3] < 256)
-    return F.when(text.rlike(IPV4), F.when(fits, number))
+    number = F.aggregate(
+        F.split(text, r"\."), F.lit(0).cast("bigint"), lambda acc, part: acc * 256 + part.cast("bigint")
+    )
+    return F.when(text.rlike(IPV4), number)
 
 
 def prefix_value(number: Column | str, length: Column | int) -> Column:

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions import ipv4_number, prefix_value
+from tidemark.functions import ipv4_number, prefix_value, strip_suffix
+from tidemark.operators.transforms import once
 
 On = str | Sequence[str] | Mapping[str, str]
 
@@ -132,27 +133,66 @@ def range_blocks(ranges: DataFrame, start: str, end: str) -> DataFrame:
     return block.select(*ranges.columns, length.alias("_len"), prefix_value("_from", length).alias("_value"))
 
 
+def _narrowest_block(addresses: DataFrame, ranges: DataFrame, fields: Sequence[str], alias: str,
+                     start: str, end: str) -> DataFrame:
+    """Region of each address out of ranges that may lie inside each other."""
+    blocks = range_blocks(ranges, start, end)
+    # There are 33 block lengths at the most, so this is a handful of rows.
+    lengths = sorted(r["_len"] for r in blocks.select("_len").distinct().collect())
+    tries = addresses.withColumn("_len", F.explode(F.array(*[F.lit(n) for n in lengths or [0]])))
+    tries = tries.withColumn("_value", prefix_value("_ip", F.col("_len")))
+    narrowest = F.struct(F.col("_len"), -F.col(start), F.struct(*fields).alias("_info"))
+    return tries.join(blocks, ["_len", "_value"]).groupBy("_ip").agg(F.max(narrowest)["_info"].alias(alias))
+
+
+# Addresses and ranges meet per group of 2^16 addresses.
+GROUP_BITS = 16
+
+
+def _last_start(addresses: DataFrame, ranges: DataFrame, fields: Sequence[str], alias: str,
+                start: str, end: str) -> DataFrame:
+    """Region of each address out of disjoint ranges: the range that starts last
+    before it, if it reaches that far.
+
+    A group has at most 2^16 addresses and as many starts, whatever the data, and
+    disjoint ranges give at most 2^16 more rows than there are ranges.
+    """
+    first, last = F.shiftright(F.col(start), GROUP_BITS), F.shiftright(F.col(end), GROUP_BITS)
+    pieces = ranges.filter(F.col(start) <= F.col(end)).select(
+        F.explode(F.sequence(first, last)).alias("_group"), F.col(start).alias("_start"),
+        F.struct(F.col(end).cast("bigint").alias("end"), F.struct(*fields).alias("info")).alias("_range"),
+    )
+    pieces = pieces.select("_group", F.greatest("_start", F.shiftleft("_group", GROUP_BITS)).alias("_at"), "_range")
+    wanted = addresses.select(
+        F.shiftright("_ip", GROUP_BITS).alias("_group"), F.col("_ip").alias("_at"),
+        F.lit(None).cast(pieces.schema["_range"].dataType).alias("_range"),
+    )
+    in_order = Window.partitionBy("_group").orderBy("_at", F.col("_range").isNull())
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = pieces.unionByName(wanted).select(
+        "_at", F.col("_range").isNull().alias("_asked"),
+        F.last("_range", ignorenulls=True).over(so_far).alias("_last"),
+        (F.col("_range").isNotNull() & (F.max("_range.end").over(earlier) >= F.col("_at"))).alias("_overlap"),
+    )
+    stop = F.raise_error(F.lit("address ranges overlap: pass disjoint=False"))
+    checked = F.when(F.coalesce("_overlap", F.lit(False)), stop.cast("boolean")).otherwise(F.col("_asked"))
+    return seen.filter(checked & (F.col("_last.end") >= F.col("_at"))).select(
+        F.col("_at").alias("_ip"), F.col("_last.info").alias(alias)
+    )
+
+
 def ip_region_join(
     df: DataFrame, ip_col: str, ranges: DataFrame, fields: Sequence[str], alias: str = "ipinfo",
-    start: str = "start_ip", end: str = "end_ip", suffix: str = "||||",
+    start: str = "start_ip", end: str = "end_ip", suffix: str = "||||", disjoint: bool = True,
 ) -> DataFrame:
     """Region of an address from a table of number ranges; null without a hit.
 
-    Each distinct address is looked up once, by equality on aligned blocks; the
-    longest block (the narrowest range) wins. The records then join by address.
+    Each distinct address is looked up once, and the records then join by
+    address. Region tables are disjoint as a rule, and a violation of that stops
+    the job; with ``disjoint=False`` the narrowest range around an address wins.
     """
-    from tidemark.functions import strip_suffix
-
-    blocks = range_blocks(ranges, start, end)
-    # At most 33 block lengths exist.
-    lengths = sorted(r["_len"] for r in blocks.select("_len").distinct().collect())
-    numbered = df.withColumn("_ip", ipv4_number(strip_suffix(ip_col, suffix)))
-    if not lengths:
-        nothing = ranges.select(F.struct(*fields).alias(alias)).schema[alias].dataType
-        return numbered.withColumn(alias, F.lit(None).cast(nothing)).drop("_ip")
+    numbered = once(df, df.columns, _ip=ipv4_number(strip_suffix(ip_col, suffix)))
     addresses = numbered.filter(F.col("_ip").isNotNull()).select("_ip").distinct()
-    tries = addresses.withColumn("_len", F.explode(F.array(*[F.lit(n) for n in lengths])))
-    tries = tries.withColumn("_value", prefix_value("_ip", F.col("_len")))
-    narrowest = F.struct(F.col("_len"), -F.col(start), F.struct(*fields).alias("_info"))
-    hit = tries.join(blocks, ["_len", "_value"]).groupBy("_ip").agg(F.max(narrowest)["_info"].alias(alias))
-    return numbered.join(hit, "_ip", "left").drop("_ip")
+    find = _last_start if disjoint else _narrowest_block
+    return numbered.join(find(addresses, ranges, fields, alias, start, end), "_ip", "left").drop("_ip")

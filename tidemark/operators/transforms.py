@@ -96,6 +96,17 @@ def split_valid(df: DataFrame, rules: Rules, name: str = "reject_reason") -> tup
     return marked.filter(F.col(name).isNull()).drop(name), marked.filter(F.col(name).isNotNull())
 
 
+def once(df: DataFrame, keep: Sequence[str], **exprs: Column) -> DataFrame:
+    """The ``keep`` columns and the given ones, each of which is computed once per row.
+
+    A filter on a plain computed column is pushed below it, and costly
+    expressions are then run again for every use in the filter. A generator of
+    one row stops that.
+    """
+    value = F.struct(*[c.alias(n) for n, c in exprs.items()])
+    return df.select(*keep, F.inline(F.array(value)))
+
+
 # One quoted or plain cell behind a comma. The quantifiers do not backtrack, so
 # the time is linear in the line.
 CSV_CELL = r',("[^"]*+(?:""[^"]*+)*+"|[^,]*+)'
@@ -133,29 +144,30 @@ def clean_behaviour(df: DataFrame, line_col: str) -> DataFrame:
     line = F.col(line_col)
     quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
     rest = [c for c in df.columns if c != line_col]
-    cells = df.select(
-        *rest,
-        line,
-        (quotes % 2 == 1).alias("_broken"),
-        csv_cells(line).alias("_cells"),
+    found = once(
+        df, rest,
+        _blank=line.isNull() | (F.trim(line) == ""),
+        _broken=quotes % 2 == 1,
+        _cells=csv_cells(F.coalesce(line, F.lit(""))),
+    )
+    named = {n: F.get("_cells", F.lit(i)) for i, n in enumerate(BEHAVIOUR_CELLS)}
+    typed = once(
+        found, [*rest, "_blank", "_broken", "_cells"],
+        _user=base64_text(named["USER"], named["EVENT_KEY"] == ENCODED_USER_EVENT),
+        _time=wall_clock(named["EVENT_TIME"]),
     )
-    named = [F.get("_cells", F.lit(i)).alias(n) for i, n in enumerate(BEHAVIOUR_CELLS)]
-    wide = cells.select(*rest, line_col, "_broken", F.size("_cells").alias("_count"), *named)
-    typed = wide.withColumns({
-        "_raw_user": F.col("USER"),
-        "USER": base64_text("USER", F.col("EVENT_KEY") == ENCODED_USER_EVENT),
-        "EVENT_TIME": wall_clock("EVENT_TIME"),
-    })
+    raw_user = named["USER"]
     reason = reject_reason([
-        ("blank", line.isNull() | (F.trim(line) == "")),
+        ("blank", F.col("_blank")),
         ("parse", F.col("_broken")),
-        ("cells", F.col("_count") < MIN_CELLS),
-        ("header", F.col("_raw_user") == HEADER_USER),
-        ("user", F.col("_raw_user").contains("-")),
-        ("encoding", F.col("_raw_user").isNotNull() & F.col("USER").isNull()),
-        ("time", F.col("EVENT_TIME").isNull()),
+        ("cells", F.size("_cells") < MIN_CELLS),
+        ("header", raw_user == HEADER_USER),
+        ("user", raw_user.contains("-")),
+        ("encoding", raw_user.isNotNull() & F.col("_user").isNull()),
+        ("time", F.col("_time").isNull()),
     ])
-    return typed.withColumn("reject_reason", reason).drop("_broken", "_count", "_raw_user", line_col)
+    values = {**named, "USER": F.col("_user"), "EVENT_TIME": F.col("_time")}
+    return typed.select(*rest, *[c.alias(n) for n, c in values.items()], reason.alias("reject_reason"))
 
 
 def merge_struct(df: DataFrame, struct_col: str, override: bool = False) -> DataFrame:

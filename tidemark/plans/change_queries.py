@@ -57,7 +57,7 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("V3_vector_join_topk", f"""
-WITH {PAIRS_SQL} SELECT query_id, id, round(score, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY pairs.score DESC, id) AS rank
+WITH {PAIRS_SQL} SELECT query_id, id, round(score, 6) AS score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY pairs.score DESC, id) AS INT) AS rank
 FROM pairs QUALIFY rank <= 5""")
 def many_topk(spark, sf_dir):
     found = vs.vector_join(questions(spark, sf_dir), embeddings(spark, sf_dir), "vec_id", "embedding", "q_id", "q_vec", k=5)
@@ -84,8 +84,8 @@ def search_to_table(spark, sf_dir):
 
 
 @query("V5_unpack_embedding", """
-SELECT vec_id, CASE WHEN label = 1 THEN NULL ELSE len(embedding) END AS dim,
-       CASE WHEN label = 1 THEN NULL ELSE round(list_sum(embedding::DOUBLE[]), 4) END AS total, len(embedding) AS coded_dim
+SELECT vec_id, CASE WHEN label = 1 THEN NULL ELSE CAST(len(embedding) AS INT) END AS dim,
+       CASE WHEN label = 1 THEN NULL ELSE round(list_sum(embedding::DOUBLE[]), 4) END AS total, CAST(len(embedding) AS INT) AS coded_dim
 FROM embeddings""")
 def unpacked(spark, sf_dir):
     entry = F.struct(F.lit(0).alias("index"), F.lit("embedding").alias("object"), F.col("embedding"))

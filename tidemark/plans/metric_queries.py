@@ -120,7 +120,7 @@ def named_codes(spark, sf_dir):
 
 
 @query("J7_attach_embedding", """
-SELECT doc_id, len(embedding) AS dim FROM documents LEFT JOIN embeddings ON doc_id = vec_id""")
+SELECT doc_id, CAST(len(embedding) AS INT) AS dim FROM documents LEFT JOIN embeddings ON doc_id = vec_id""")
 def with_vectors(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id")
     ok, rejected = lk.attach_embedding(docs, table(spark, sf_dir, "embeddings"), {"doc_id": "vec_id"})

@@ -288,7 +288,7 @@ def stripped(spark, sf_dir):
 
 @query("F12_text_tests", """
 SELECT c_custkey, starts_with(c_name, 'Customer') AS starts, ends_with(c_name, '7') AS ends, contains(c_name, '00') AS has,
-       lower(c_mktsegment) AS low, trim(' ' || c_mktsegment || ' ') AS trimmed, instr(c_name, '#') AS at FROM customer""")
+       lower(c_mktsegment) AS low, trim(' ' || c_mktsegment || ' ') AS trimmed, CAST(instr(c_name, '#') AS INT) AS at FROM customer""")
 def text_tests(spark, sf_dir):
     name = F.col("c_name")
     return table(spark, sf_dir, "customer").select(
@@ -311,7 +311,7 @@ def json_both_ways(spark, sf_dir):
 
 
 @query("F14_typed_getters", """
-SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE user_id END AS whole,
+SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE CAST(user_id AS INT) END AS whole,
        CASE WHEN event_type = 'error' THEN NULL ELSE event_id * 1000000007 END AS large,
        CASE WHEN event_type = 'error' THEN NULL ELSE ts END AS time, CAST(event_id AS VARCHAR) AS text FROM events""")
 def getters(spark, sf_dir):
@@ -357,6 +357,6 @@ def signatures(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", fn.signature("text").alias("signature"))
 
 
-@query("F20_vector_dim", "SELECT vec_id, len(embedding) AS dim FROM embeddings")
+@query("F20_vector_dim", "SELECT vec_id, CAST(len(embedding) AS INT) AS dim FROM embeddings")
 def dims(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", F.size("embedding").alias("dim"))

@@ -46,10 +46,7 @@ def event_ip() -> Column:
 
 
 def dotted(number: Column) -> Column:
-    def octet(bits: int) -> Column:
-        return F.pmod(F.floor(number / F.lit(1 << bits)), F.lit(256)).cast("string")
-
-    return F.concat_ws(".", *[octet(b) for b in (24, 16, 8, 0)])
+    return F.concat_ws(".", *[F.shiftright(number, b).bitwiseAND(F.lit(255)).cast("string") for b in (24, 16, 8, 0)])
 
 
 # The same address as a number, in SQL.
