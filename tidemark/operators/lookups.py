@@ -141,7 +141,7 @@ def _narrowest_block(addresses: DataFrame, ranges: DataFrame, fields: Sequence[s
     lengths = sorted(r["_len"] for r in blocks.select("_len").distinct().collect())
     tries = addresses.withColumn("_len", F.explode(F.array(*[F.lit(n) for n in lengths or [0]])))
     tries = tries.withColumn("_value", prefix_value("_ip", F.col("_len")))
-    narrowest = F.struct(F.col("_len"), -F.col(start), F.struct(*fields).alias("_info"))
+    narrowest = F.struct(F.col(start) - F.col(end), -F.col(start), F.struct(*fields).alias("_info"))
     return tries.join(blocks, ["_len", "_value"]).groupBy("_ip").agg(F.max(narrowest)["_info"].alias(alias))
 
 

@@ -144,6 +144,12 @@ def merge_partials(df: DataFrame, keys: Sequence[str], count: str = "count") ->
     return df.groupBy(*keys).agg(F.sum(count).alias(count))
 
 
+def roll_up(df: DataFrame, window_type: str, keys: Sequence[str] = ("metric",)) -> DataFrame:
+    """Counts per short window to counts per calendar window."""
+    longer = df.withColumn("data_time", bucket("data_time", window_type))
+    return merge_partials(longer, [*keys, "data_time"])
+
+
 def counted(df: DataFrame, failed: Column | None = None, ignored: Column | None = None) -> tuple[DataFrame, Observation]:
     """Count records while they pass: total, success, failed, ignored.
 

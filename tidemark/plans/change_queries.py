@@ -49,11 +49,11 @@ PAIRS_SQL = """
 pairs AS (
   SELECT q.vec_id AS query_id, e.vec_id AS id,
          round(list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 9) AS score
-  FROM embeddings q, embeddings e WHERE q.label = 0)"""
+  FROM embeddings q, embeddings e)"""
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embeddings(spark, sf_dir).filter("label = 0").withColumnsRenamed({"vec_id": "q_id", "embedding": "q_vec"})
+    return embeddings(spark, sf_dir).withColumnsRenamed({"vec_id": "q_id", "embedding": "q_vec"})
 
 
 @query("V3_vector_join_topk", f"""

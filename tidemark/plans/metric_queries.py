@@ -308,8 +308,7 @@ def per_run(spark, sf_dir):
 def partials(spark, sf_dir):
     """Rows that were persisted early, per hour, merged to one row per key and day."""
     hours = mt.key_time_metric(events(spark, sf_dir), "event_type", "ts", "hour", labels=())
-    days = hours.withColumn("data_time", F.date_trunc("day", "data_time").cast("timestamp_ntz"))
-    return mt.merge_partials(days, ["metric", "data_time"])
+    return mt.roll_up(hours, "day")
 
 
 @query("A15_task_counters", """

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Iterator
 from datetime import datetime, timedelta
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import format_time, ntz, to_millis
@@ -12,6 +16,7 @@ from tidemark.plans.registry import CHANGES_SQL, order_changes, query, table
 from tidemark.session import shared_folder
 from tidemark.sinks.records import encode_messages
 from tidemark.sources.files import (
+    archive_scan,
     csv_scan,
     multiline_scan,
     read_selected,
@@ -239,15 +244,16 @@ def capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncate_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", 101)
 
 
-@query("S17_start_pointer", "SELECT event_id, CAST(sum(w) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING "
-       "AND 1 PRECEDING) AS BIGINT) AS pointer FROM (SELECT event_id, strlen(event_id || ' ' || props) + 1 AS w FROM events) "
-       "QUALIFY pointer >= 1000")
-def from_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("S17_start_pointer", """
+SELECT CAST(sum(strlen(event_id || ' ' || props) + 1) AS BIGINT) AS bytes, count(*) AS lines FROM events""")
+def byte_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line starts where the one before it ended, up to the size of its file."""
     path = shared_folder(spark, "pointer")
-    events = table(spark, sf_dir, "events").orderBy("event_id").coalesce(1)
-    events.select(F.concat_ws(" ", "event_id", "props")).write.text(path)
-    lines = with_pointer(text_lines(spark, path)).filter(F.col("pointer") >= 1000)
-    return lines.select(F.split_part("line", F.lit(" "), F.lit(1)).cast("bigint").alias("event_id"), "pointer")
+    table(spark, sf_dir, "events").select(F.concat_ws(" ", "event_id", "props")).write.text(path)
+    lines = with_pointer(text_lines(spark, path))
+    starts = lines.groupBy("file_path", "pointer").agg(F.max(F.col("pointer") + F.col("line_bytes") + 1).alias("end"))
+    files = starts.groupBy("file_path").agg(F.max("end").alias("size"), F.count("*").alias("starts"))
+    return files.agg(F.sum("size").alias("bytes"), F.sum("starts").alias("lines"))
 
 
 @query("S18_select_files", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
@@ -295,6 +301,30 @@ def streamed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(out)
 
 
+@query("S22_archive_scan", """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, len(string_split(text, chr(10))) AS n,
+         generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM documents)
+SELECT 'doc-' || doc_id || '.txt' AS member, i - 1 AS line_no, md5(line) AS line FROM lines WHERE i < n OR line <> ''""")
+def archived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents packed into zip files, some hundred per file, and read back line by line."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part, data = batch.slice(at, 500).to_pydict(), io.BytesIO()
+                with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as archive:
+                    for doc_id, text in zip(part["doc_id"], part["text"]):
+                        archive.writestr(f"doc-{doc_id}.txt", text)
+                yield pa.RecordBatch.from_arrays([pa.array([data.getvalue()], type=pa.binary())], names=["data"])
+
+    path = shared_folder(spark, "archives")
+    packed = table(spark, sf_dir, "documents").select("doc_id", "text").mapInArrow(pack, "data binary")
+    packed.select(F.col("data").cast("string")).write.option("maxRecordsPerFile", 1).text(path)
+    lines = archive_scan(spark, f"{path}/*.txt", "zip", member_regex=r"^doc-\d+\.txt$")
+    return lines.select("member", "line_no", F.md5(F.col("line").cast("binary")).alias("line"))
+
+
 @query("S23_decode_messages", """
 SELECT event_type AS topic, event_id AS key, user_id, value FROM events WHERE event_type IN ('click', 'view')""")
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.changes import apply_changes
-from tidemark.operators.metrics import MetricSpec, multi_metric, with_labels
+from tidemark.operators.metrics import MetricSpec, multi_metric, roll_up, with_labels
 from tidemark.plans.change_queries import old_orders
 from tidemark.plans.jobs import Job
 from tidemark.plans.metric_queries import LABELS_SQL, LOG_METRICS, LOG_METRICS_SQL, bucketed
@@ -246,8 +246,9 @@ def streamed_hours(spark, sf_dir):
 
 @query("W1_stream_month_metric", bucketed("event_type", "month"))
 def streamed_months(spark, sf_dir):
-    stream = stream_key_time_metric(stream_of(spark, sf_dir, "events"), "event_type", "ts", "month")
-    return streamed_counts(spark, stream, ["metric", "data_time"])
+    """Streamed by day, rolled up to months."""
+    stream = stream_key_time_metric(stream_of(spark, sf_dir, "events"), "event_type", "ts", "day")
+    return roll_up(streamed_counts(spark, stream, ["metric", "data_time"]), "month")
 
 
 @query("W4_restart", "SELECT event_type AS metric, 2 AS runs, count(*) AS count FROM events GROUP BY 1")

@@ -7,33 +7,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions import bucket
 from tidemark.operators.metrics import UNKNOWN, key_or_default
 from tidemark.streaming.runs import trigger_options
 
 
+# Windows of fixed length. Spark forgets them when the watermark has passed.
+FIXED_WINDOWS = {"minute": "1 minute", "hour": "1 hour", "day": "1 day"}
+
+
 def stream_key_time_metric(sdf: DataFrame, key: Column | str, time: str, window_type: str, delay: str = "0 seconds",
                            default: str = UNKNOWN) -> DataFrame:
     """``metric``, ``data_time``, ``count`` by event time.
 
     ``delay`` is how long a window waits for late rows; rows later than that are
     dropped and counted (``late_rows``). Any output mode works: ``append`` gives
-    closed windows, ``update`` running counts.
+    closed windows, ``update`` running counts. For weeks, months and years,
+    stream by day and ``roll_up`` what was written: the stream then never has
+    to keep more than the open days.
     """
+    if window_type not in FIXED_WINDOWS:
+        raise ValueError(f"window_type must be one of {tuple(FIXED_WINDOWS)}; stream by day and roll up")
     event = sdf.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
-    if window_type in FIXED_WINDOWS:
-        start = F.window(time, FIXED_WINDOWS[window_type])
-        rows = event.groupBy(start.alias("_w"), key_or_default(key, default).alias("metric"))
-        return rows.agg(F.count(F.lit(1)).alias("count")).select(
-            "metric", F.col("_w.start").cast("timestamp_ntz").alias("data_time"), "count"
-        )
-    # Weeks start on Monday; months and years have no fixed length, so Spark has
-    # no window for them and keeps their state until the stream ends.
-    rows = event.groupBy(key_or_default(key, default).alias("metric"), bucket(time, window_type).alias("data_time"))
-    return rows.agg(F.count(F.lit(1)).alias("count"))
-
-
-FIXED_WINDOWS = {"minute": "1 minute", "hour": "1 hour", "day": "1 day"}
+    start = F.window(time, FIXED_WINDOWS[window_type])
+    counts = event.groupBy(start.alias("_w"), key_or_default(key, default).alias("metric")).agg(
+        F.count(F.lit(1)).alias("count")
+    )
+    return counts.select("metric", F.col("_w.start").cast("timestamp_ntz").alias("data_time"), "count")
 
 
 def stream_key_metric(sdf: DataFrame, key: Column | str, default: str = UNKNOWN) -> DataFrame:
