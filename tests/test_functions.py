@@ -85,3 +85,17 @@ def test_json_maps(spark):
     got = spark.range(1).select(fn.json_maps(F.lit('[{"a":"1"},{"b":"x"}]'))).first()[0]
     assert got == [{"a": "1"}, {"b": "x"}]
     assert rows(spark.range(1).select(fn.json_maps(F.lit("no json")))) == [(None,)]
+
+
+@pytest.mark.parametrize(("to", "texts"), [
+    ("int", ["1", " -7 ", "+3", "2147483648", "1.5", "x", "", None, "99999999999999999999", "0x1"]),
+    ("bigint", ["1", "-9223372036854775808", "9223372036854775808", "1e3", " "]),
+    ("double", ["1", "-.5", "5.", "1e3", "1.5E-3", "NaN", "-Infinity", "inf", "1d", "1,5", "e3", "", "x", "0x1p3", "."]),
+    ("timestamp_ntz", ["2024-01-02", "2024-01-02 03:04:05.6", "2024-01-02T03:04", "2024-13-01", "24-01-02", "x", ""]),
+    ("date", ["2024-01-02", "2024", "2024-02-30", "x"]),
+    ("boolean", ["true", "no", "x"]),
+])
+def test_loose_cast_equals_the_plain_try(spark, to, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for t, loose, plain in df.select("t", fn.loose_cast("t", to), F.col("t").try_cast(to)).collect():
+        assert loose == plain or (loose != loose and plain != plain), t

@@ -40,12 +40,18 @@ def test_clean_behaviour_reasons(spark, line, reason):
         assert row["USER_AGENT"] == (GOOD[15] if line.count(",") == 15 else None)
 
 
-def test_csv_cells_follow_the_quotes(spark):
-    line = 'a,"b,c",,"d ""e""",f'
-    got = spark.createDataFrame([(line,)], "l string").select(tr.csv_cells(F.col("l"))).first()[0]
-    assert got == ["a", "b,c", "", 'd "e"', "f"]
-    got = spark.createDataFrame([(",x",)], "l string").select(tr.csv_cells(F.col("l"))).first()[0]
-    assert got == ["", "x"]
+@pytest.mark.parametrize(("line", "wanted", "count"), [
+    ('a,"b,c",,"d ""e""",f', ("a", "b,c", None, 'd "e"', "f"), 5),
+    (",x,", (None, "x", None, None, None), 3),
+    ('"a "",b,"" c",z', ('a ",b," c', "z", None, None, None), 2),
+    ("a,b,c,d,e,f,g", ("a", "b", "c", "d", "e"), 7),
+    ("one", ("one", None, None, None, None), 1),
+])
+def test_csv_cells_follow_the_quotes(spark, line, wanted, count):
+    found, outside = tr.csv_cells(F.col("l"), ["a", "b", "c", "d", "e"])
+    df = spark.createDataFrame([(line,)], "l string")
+    row = df.select(found.alias("c"), tr.cell_count(outside).alias("n")).first()
+    assert (tuple(row.c), row.n) == (wanted, count)
 
 
 def test_record_value_beats_constant(spark):

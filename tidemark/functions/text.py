@@ -13,6 +13,29 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# What a text must look like to be worth a cast. A failed cast raises inside
+# Spark, even in its try form, and costs some hundred times a good one.
+LOOKS_LIKE = {
+    "int": r"^\s*[+-]?\d{1,19}\s*$",
+    "bigint": r"^\s*[+-]?\d{1,19}\s*$",
+    "double": r"(?i)^\s*[+-]?(?:\.?\d|nan|inf)",
+    "timestamp_ntz": r"^\s*\d{4}",
+    "timestamp": r"^\s*\d{4}",
+    "date": r"^\s*\d{4}",
+}
+LOOKS_LIKE |= {"float": LOOKS_LIKE["double"], "smallint": LOOKS_LIKE["int"], "tinyint": LOOKS_LIKE["int"]}
+BASE64_CHARS = r"^[A-Za-z0-9+/=\s]*$"
+
+
+def loose_cast(c: Column | str, to: str) -> Column:
+    """Text to another type; null where it does not fit."""
+    text = _col(c)
+    if to == "string":
+        return text.cast("string")
+    value = text.try_cast(to)
+    return F.when(text.rlike(LOOKS_LIKE[to]), value) if to in LOOKS_LIKE else value
+
+
 def base64_text(c: Column | str, when: Column | None = None) -> Column:
     """Decode Base64 to UTF-8 text where ``when`` holds, else keep the text.
 
@@ -20,7 +43,8 @@ def base64_text(c: Column | str, when: Column | None = None) -> Column:
     instead of losing the job.
     """
     text = _col(c)
-    decoded = F.make_valid_utf8(F.try_to_binary(text, F.lit("base64")).cast("string"))
+    data = F.when(text.rlike(BASE64_CHARS), F.try_to_binary(text, F.lit("base64")))
+    decoded = F.make_valid_utf8(data.cast("string"))
     return decoded if when is None else F.when(when, decoded).otherwise(text)
 
 
@@ -63,16 +87,16 @@ def as_string(c: Column | str) -> Column:
 
 
 def as_int(c: Column | str) -> Column:
-    return _col(c).try_cast("int")
+    return loose_cast(c, "int")
 
 
 def as_long(c: Column | str) -> Column:
-    return _col(c).try_cast("bigint")
+    return loose_cast(c, "bigint")
 
 
 def as_date(c: Column | str) -> Column:
     """Date and time without a zone; null where the text is none."""
-    return _col(c).try_cast("timestamp_ntz")
+    return loose_cast(c, "timestamp_ntz")
 
 
 def zero_pad(c: Column | str, width: int = 6) -> Column:

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, functions as F
 
-from tidemark.functions.text import _col
+from tidemark.functions.text import _col, loose_cast
 
 WINDOW_TYPES = ("minute", "hour", "day", "week", "month", "year")
 
@@ -23,7 +23,7 @@ def ntz(value: datetime | str) -> Column:
 def wall_clock(c: Column | str) -> Column:
     """Local wall-clock time of offset time text: the offset is dropped, not applied."""
     local = F.regexp_extract(_col(c), OFFSET_TIME, 1)
-    return local.try_cast("timestamp_ntz")
+    return loose_cast(local, "timestamp_ntz")
 
 
 def parse_time(c: Column | str, fmt: str) -> Column:
@@ -67,11 +67,13 @@ def calendar_labels(c: Column | str) -> dict[str, Column]:
     """Text labels of a time, by name. Meant for bucket rows, after aggregation."""
     t = _col(c)
     iso_week = F.lpad(F.weekofyear(t).cast("string"), 2, "0")
+    # The longer labels start with the shorter ones, so the time is formatted once.
+    stamp = F.date_format(t, "yyyy-MM-dd HH:mm")
     return {
-        "year": F.date_format(t, "yyyy"),
-        "month": F.date_format(t, "yyyy-MM"),
+        "year": F.substring(stamp, 1, 4),
+        "month": F.substring(stamp, 1, 7),
         "week": F.concat(F.extract(F.lit("YEAROFWEEK"), t).cast("string"), F.lit("-"), iso_week),
-        "day": F.date_format(t, "yyyy-MM-dd"),
-        "hour": F.date_format(t, "yyyy-MM-dd HH"),
-        "minute": F.date_format(t, "yyyy-MM-dd HH:mm"),
+        "day": F.substring(stamp, 1, 10),
+        "hour": F.substring(stamp, 1, 13),
+        "minute": stamp,
     }

@@ -91,17 +91,14 @@ class MetricSpec:
     order: Sequence[str] = ()
 
     def entry(self, time: Column | str | None) -> Column:
+        """Key and window of a record, null where the metric leaves it out."""
         own = self.time if self.time is not None else time
         when = F.lit(None).cast("timestamp_ntz")
         if self.window is not None:
             if own is None:
                 raise ValueError(f"metric {self.name!r} has a window but no time")
             when = bucket(own, self.window)
-        value = F.struct(
-            F.lit(self.name).alias("metric_type"),
-            key_or_default(self.key, self.default).alias("metric"),
-            when.alias("data_time"),
-        )
+        value = F.struct(key_or_default(self.key, self.default).alias("metric"), when.alias("data_time"))
         return value if self.where is None else F.when(self.where, value)
 
 
@@ -109,18 +106,21 @@ def multi_metric(df: DataFrame, specs: Sequence[MetricSpec], time: Column | str
                  labels: Sequence[str] = ()) -> DataFrame:
     """Several metrics over the same records: one scan, one shuffle.
 
-    Each record becomes one small row per metric, and all are aggregated at
-    once. ``metric_type`` tells the metrics apart; an extra column is null on
+    Each record is unpivoted to one small row per metric, and all are aggregated
+    at once. ``metric_type`` tells the metrics apart; an extra column is null on
     rows of a metric that does not have it.
     """
-    entries = F.array(*[s.entry(time) for s in specs])
+    names = {f"_metric_{i}": s.name for i, s in enumerate(specs)}
+    if len(set(names.values())) < len(specs):
+        raise ValueError("metric names must differ")
+    needed = df.columns if any(s.aggs or s.first for s in specs) else []
+    entries = [s.entry(time).alias(n) for n, s in zip(names, specs)]
+    rows = df.select(*needed, *entries).unpivot(needed, list(names), "_metric", "_entry")
     if any(s.where is not None for s in specs):
-        entries = F.array_compact(entries)
-    needed = sorted({c for s in specs if s.aggs or s.first for c in df.columns})
-    rows = df.select(*needed, F.explode(entries).alias("_m")).select(*needed, "_m.*")
+        rows = rows.filter(F.col("_entry").isNotNull())
     found: dict[str, Column] = {}
-    for spec in specs:
-        mine = F.col("metric_type") == spec.name
+    for mark, spec in zip(names, specs):
+        mine = F.col("_metric") == mark
         own = dict(spec.aggs)
         for name, value in spec.first.items():
             own[name] = F.min_by(_col(value), F.struct(*spec.order) if spec.order else _col(value))
@@ -128,7 +128,11 @@ def multi_metric(df: DataFrame, specs: Sequence[MetricSpec], time: Column | str
             value = F.when(mine, agg)
             found[name] = F.coalesce(found[name], value) if name in found else value
     aggs = [F.count(F.lit(1)).alias("count"), *[c.alias(n) for n, c in found.items()]]
-    out = rows.groupBy("metric_type", "metric", "data_time").agg(*aggs)
+    totals = rows.select(*needed, "_metric", "_entry.*").groupBy("_metric", "metric", "data_time").agg(*aggs)
+    title = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    out = totals.select(
+        F.element_at(title, F.col("_metric")).alias("metric_type"), "metric", "data_time", "count", *found
+    )
     return with_labels(out, labels=labels) if labels else out
 
 

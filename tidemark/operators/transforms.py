@@ -9,7 +9,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.functions import base64_text, wall_clock
+from tidemark.functions import base64_text, loose_cast, wall_clock
 
 TEMP = "_tmp_"
 
@@ -107,20 +107,19 @@ def once(df: DataFrame, keep: Sequence[str], **exprs: Column) -> DataFrame:
     return df.select(*keep, F.inline(F.array(value)))
 
 
-# One quoted or plain cell behind a comma. The quantifiers do not backtrack, so
-# the time is linear in the line.
-CSV_CELL = r',("[^"]*+(?:""[^"]*+)*+"|[^,]*+)'
+def csv_cells(line: Column, names: Sequence[str], sep: str = ",") -> tuple[Column, Column]:
+    """Cells of a CSV line under ``names`` (empty ones are null), and the line without its quoted parts.
 
+    The parser pads short lines, so their cells are counted by the separators
+    outside of quotes: see ``cell_count``.
+    """
+    schema = ", ".join(f"`{n}` string" for n in names)
+    cells = F.from_csv(line, schema, {"sep": sep, "quote": '"', "escape": '"'})
+    return cells, F.regexp_replace(line, '"[^"]*+"', "")
 
-def csv_cells(line: Column) -> Column:
-    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(CSV_CELL), 1)
-
-    def plain(cell: Column) -> Column:
-        inner = F.substring(cell, F.lit(2), F.length(cell) - F.lit(2))
-        quoted = cell.startswith('"') & cell.endswith('"') & (F.length(cell) >= 2)
-        return F.when(quoted, F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(cell)
 
-    return F.transform(raw, plain)
+def cell_count(outside: Column, sep: str = ",") -> Column:
+    return F.length(outside) - F.length(F.replace(outside, F.lit(sep), F.lit(""))) + 1
 
 
 # Cells of a behaviour line by position (fixed values).
@@ -143,30 +142,27 @@ def clean_behaviour(df: DataFrame, line_col: str) -> DataFrame:
     """
     line = F.col(line_col)
     quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    cells, outside = csv_cells(line, BEHAVIOUR_CELLS)
     rest = [c for c in df.columns if c != line_col]
     found = once(
         df, rest,
-        _blank=line.isNull() | (F.trim(line) == ""),
-        _broken=quotes % 2 == 1,
-        _cells=csv_cells(F.coalesce(line, F.lit(""))),
+        _blank=line.isNull() | (F.trim(line) == ""), _broken=quotes % 2 == 1, _outside=outside, _cells=cells,
     )
-    named = {n: F.get("_cells", F.lit(i)) for i, n in enumerate(BEHAVIOUR_CELLS)}
+    cell = F.col("_cells")
     typed = once(
-        found, [*rest, "_blank", "_broken", "_cells"],
-        _user=base64_text(named["USER"], named["EVENT_KEY"] == ENCODED_USER_EVENT),
-        _time=wall_clock(named["EVENT_TIME"]),
+        found, [*rest, "_blank", "_broken", "_cells"], _count=cell_count(F.col("_outside")),
+        _user=base64_text(cell["USER"], cell["EVENT_KEY"] == ENCODED_USER_EVENT), _time=wall_clock(cell["EVENT_TIME"]),
     )
-    raw_user = named["USER"]
     reason = reject_reason([
         ("blank", F.col("_blank")),
         ("parse", F.col("_broken")),
-        ("cells", F.size("_cells") < MIN_CELLS),
-        ("header", raw_user == HEADER_USER),
-        ("user", raw_user.contains("-")),
-        ("encoding", raw_user.isNotNull() & F.col("_user").isNull()),
+        ("cells", F.col("_count") < MIN_CELLS),
+        ("header", cell["USER"] == HEADER_USER),
+        ("user", cell["USER"].contains("-")),
+        ("encoding", cell["USER"].isNotNull() & F.col("_user").isNull()),
         ("time", F.col("_time").isNull()),
     ])
-    values = {**named, "USER": F.col("_user"), "EVENT_TIME": F.col("_time")}
+    values = {n: cell[n] for n in BEHAVIOUR_CELLS} | {"USER": F.col("_user"), "EVENT_TIME": F.col("_time")}
     return typed.select(*rest, *[c.alias(n) for n, c in values.items()], reason.alias("reject_reason"))
 
 
@@ -216,15 +212,23 @@ def project_to(df: DataFrame, mapping: Mapping[str, str | Column], types: Mappin
 
     def target(name: str, source: str | Column) -> Column:
         value = F.col(source) if isinstance(source, str) else source
-        return (value.try_cast(types[name]) if name in types else value).alias(name)
+        return (_fit(df, source, types[name]) if name in types else value).alias(name)
 
     return df.select(*[target(n, s) for n, s in mapping.items()])
 
 
+def _fit(df: DataFrame, source: str | Column, to: str) -> Column:
+    """The value in another type, null where it does not fit."""
+    if isinstance(source, str) and isinstance(df.schema[source].dataType, T.StringType):
+        return loose_cast(source, to)
+    return (F.col(source) if isinstance(source, str) else source).try_cast(to)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the fields of a stored schema: others go, missing ones are null."""
     def one(f: T.StructField) -> Column:
-        value = F.col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)
+        to = f.dataType.simpleString()
+        value = _fit(df, f.name, to) if f.name in df.columns else F.lit(None).cast(to)
         return value.alias(f.name)
 
     return df.select(*[one(f) for f in schema.fields])

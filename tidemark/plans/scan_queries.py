@@ -47,6 +47,7 @@ from tidemark.sources.tables import (
     page,
     page_after,
     slices_union,
+    sql_scan,
 )
 from tidemark.streaming import file_stream, run_increment
 
@@ -62,6 +63,12 @@ NAMED = {
 }
 
 
+@query("S1_sql_scan", "SELECT event_id, user_id, event_type, value FROM events WHERE value > 1")
+def extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table(spark, sf_dir, "events").createOrReplaceTempView("td_sm_log")
+    return sql_scan(spark, "select event_id, user_id, event_type, value from td_sm_log where value > 1")
+
+
 @query("S2_named_query", """
 SELECT event_type, count(*) AS n, min(event_id) AS first_id FROM events
 WHERE (value >= 20.0 AND ts > TIMESTAMP '2024-01-10') OR user_id = 7 GROUP BY event_type""")

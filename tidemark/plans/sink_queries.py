@@ -162,6 +162,19 @@ def enveloped(spark, sf_dir):
     return out.withColumn("body", F.md5(F.col("body").cast("binary")))
 
 
+@query("K14_custom_sink", "SELECT count(*) AS records, CAST(sum(event_id) AS BIGINT) AS ids FROM events")
+def called_back(spark, sf_dir):
+    """The callback runs in the tasks and gets lists of records; here it adds them up."""
+    records, ids = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def add(batch: list[dict], context: dict) -> None:
+        records.add(len(batch))
+        ids.add(sum(r[context["field"]] for r in batch))
+
+    tb.custom_sink(events(spark, sf_dir).select("event_id"), add, 500, {"field": "event_id"})
+    return spark.createDataFrame([(records.value, ids.value)], "records bigint, ids bigint")
+
+
 @query("K15_noop", "SELECT count(*) AS n FROM events")
 def nothing_written(spark, sf_dir):
     rows = events(spark, sf_dir)

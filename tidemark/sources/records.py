@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -10,7 +11,8 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.functions import parse_time, pick
+from tidemark.functions import loose_cast, parse_time
+from tidemark.operators.transforms import once
 
 
 @dataclass(frozen=True)
@@ -23,12 +25,12 @@ class Cell:
     default: Any = None
     fmt: str | None = None
 
-    def column(self, text: Column | str, sep: str) -> Column:
-        item = pick(text, sep, self.index)
+    def column(self, items: Column | str) -> Column:
+        item = F.get(items, F.lit(self.index))
         if self.type == "timestamp_ntz" and self.fmt:
             value = parse_time(item, self.fmt)
         else:
-            value = item if self.type == "string" else item.try_cast(self.type)
+            value = loose_cast(item, self.type)
         if self.default is None:
             return value
         return F.coalesce(value, F.lit(self.default).cast(self.type))
@@ -36,7 +38,8 @@ class Cell:
 
 def split_scan(df: DataFrame, col: str, sep: str, cells: Sequence[Cell], keep: Sequence[str] = ()) -> DataFrame:
     """Delimited text to typed cells. A missing cell is null, or its default."""
-    return df.select(*keep, *[c.column(col, sep).alias(c.name) for c in cells])
+    split = once(df, keep, _items=F.split(F.col(col), re.escape(sep), -1))
+    return split.select(*keep, *[c.column("_items").alias(c.name) for c in cells])
 
 
 def json_scan(df: DataFrame, col: str, schema: T.StructType | str, root_level: bool = True) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Any
 
@@ -24,27 +24,35 @@ def state_id(job_id: str, query: str | None = None) -> str:
 class StateTable:
     spark: SparkSession
     path: str
+    _seq: dict[str, int] = field(default_factory=dict)
 
     def _latest(self, job_id: str):
+        found = None
         try:
             rows = self.spark.read.schema(STATE_SCHEMA).parquet(self.path)
-        except AnalysisException:
-            return None
-        last = F.max(F.struct("seq", "mark")).alias("last")
-        return rows.filter(F.col("job_id") == job_id).agg(last).first()["last"]
+        except AnalysisException:  # nothing stored yet
+            rows = None
+        if rows is not None:
+            last = F.max(F.struct("seq", "mark")).alias("last")
+            found = rows.filter(F.col("job_id") == job_id).agg(last).first()["last"]
+        self._seq[job_id] = -1 if found is None else found["seq"]
+        return found
 
     def read(self, job_id: str, default: Any = None, from_first: bool = False) -> Any:
         """The stored mark. ``from_first`` starts over from ``default``."""
-        last = None if from_first else self._latest(job_id)
-        return default if last is None else _decode(last["mark"])
+        last = self._latest(job_id)
+        return default if last is None or from_first else _decode(last["mark"])
 
     def commit(self, job_id: str, mark: Any) -> None:
         """Store the mark. Call it after the output was written: a crash in between
         replays the increment, it never skips one."""
-        last = self._latest(job_id)
-        seq = 0 if last is None else last["seq"] + 1
-        row = [(job_id, seq, _encode(mark))]
-        self.spark.createDataFrame(row, STATE_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        if job_id not in self._seq:
+            self._latest(job_id)
+        self._seq[job_id] += 1
+        row = [(job_id, self._seq[job_id], _encode(mark))]
+        rows = self.spark.createDataFrame(row, STATE_SCHEMA).coalesce(1)
+        # One folder per job, so that a job reads only its own few rows.
+        rows.write.mode("append").partitionBy("job_id").parquet(self.path)
 
 
 def _encode(mark: Any) -> str:

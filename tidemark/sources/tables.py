@@ -26,18 +26,20 @@ REMARK = re.compile(r"##[^\n]*")
 
 def sql_scan(
     spark: SparkSession,
-    url: str,
     query: str,
+    url: str | None = None,
     driver: str | None = None,
     fetch_size: int = 5000,
     split: tuple[str, int, int, int] | None = None,
     **options: str,
 ) -> DataFrame:
-    """Rows of ``query`` on a JDBC source.
+    """Rows of ``query`` on a JDBC source, or without ``url`` on the session's own tables and views.
 
-    ``split`` = (column, lower, upper, parts) reads the result as parallel
+    ``split`` = (column, lower, upper, parts) reads a JDBC result as parallel
     ranges; without it one task reads everything, so give it for large tables.
     """
+    if url is None:
+        return spark.sql(query)
     return spark.read.format("jdbc").options(
         **sql_scan_options(url, query, driver, fetch_size, split, **options)
     ).load()
