@@ -21,8 +21,9 @@ def test_last_change_of_a_key_decides(spark, target):
 
 
 def test_applying_twice_changes_nothing(spark, target):
-    changes = spark.createDataFrame([("U", 1, 1, "x"), ("D", 2, 2, None), ("I", 3, 7, "n")], SCHEMA)
+    changes = spark.createDataFrame([("U", 1, 1, "x"), ("D", 2, 2, None), ("I", 3, 7, "n"), ("U", 4, None, "m")], SCHEMA)
     once = ch.apply_changes(target, changes, ["id"])
+    assert rows(once) == [(1, "x"), (3, "c"), (7, "n"), (None, "m")]
     assert rows(ch.apply_changes(once, changes, ["id"])) == rows(once)
 
 

@@ -119,3 +119,27 @@ def test_blocks_cover_a_range_exactly(spark):
             assert start == at
             at += size
         assert at == e + 1 and len(found[i]) <= 62
+
+
+def test_a_hot_key_is_split_over_tasks(spark):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id"))
+        df = spark.range(0, 200_000, 1, 8).select(hot.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        dim = spark.range(0, 200_000, 5).select(F.col("id").alias("key"), (F.col("id") + 1).alias("n"))
+        out = lk.lookup_one(df, dim, {"k": "key"}, "d", ["n"])
+        assert out.count() == 200_000
+        out.write.format("noop").mode("overwrite").save()
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
+    assert "skew=true" in plan

@@ -7,6 +7,8 @@ A change row has ``op`` (``I``, ``U``, ``D``), ``seq`` (order of the changes),
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -72,12 +74,22 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str], se
         seen = changes.groupBy(*keys).agg(last_seq(INSERT, "_ins"), last_seq(DELETE, "_del"))
         born = F.col("_ins").isNotNull() & (F.col("_del").isNull() | (F.col("_ins") > F.col("_del")))
         kept = F.col("_del").isNull() & F.coalesce(F.col("_old"), F.lit(False))
-        old = target.select(*keys).withColumn("_old", F.lit(True))
-        alive = seen.join(old, list(keys), "left").filter(born | kept).select(*keys)
-        put = put.join(alive, list(keys), "left_semi")
+        old = target.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).withColumn("_old", F.lit(True))
+        alive = seen.join(old, _same_key(seen, old, keys), "left").filter(born | kept)
+        put = _having_key(put, alive, keys)
     types = dict(target.dtypes)
     rows = put.select(*[F.col(c).cast(types[c]).alias(c) for c in cols])
-    return target.join(last.select(*keys), list(keys), "left_anti").unionByName(rows)
+    return _having_key(target, last.select(*keys), keys, "left_anti").unionByName(rows)
+
+
+def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Equal keys; a null is a key like any other, or a replay would add its row again."""
+    return reduce(and_, [left[k].eqNullSafe(right[f"_k_{k}"]) for k in keys])
+
+
+def _having_key(df: DataFrame, found: DataFrame, keys: Sequence[str], how: str = "left_semi") -> DataFrame:
+    wanted = found.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    return df.join(wanted, _same_key(df, wanted, keys), how)
 
 
 def apply_marked(df: DataFrame, target: DataFrame, keys: Sequence[str], seq: str, name: str = "_op") -> DataFrame:

@@ -19,6 +19,9 @@ RUNTIME_CONF = {
     # where it costs one more shuffle further up.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Keeps the open windows of a stream on disk instead of in the heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
