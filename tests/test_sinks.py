@@ -116,3 +116,14 @@ def test_shared_folder_comes_from_the_session(spark, monkeypatch):
 
     assert shared_folder(Session(), "a").startswith("hdfs://x/ckpt/a-")
     assert shared_folder(spark, "a") != shared_folder(spark, "a")
+
+
+def test_merge_is_refused_by_plain_files(spark, tmp_path):
+    """No table format that can merge is in this image: the statement gets as far as the table."""
+    spark.sql(f"CREATE TABLE plain_target (id int, v string) USING parquet LOCATION '{tmp_path}/t'")
+    try:
+        changes = spark.createDataFrame([("U", 1, 1, "a")], "op string, seq int, id int, v string")
+        with pytest.raises(Exception, match="MERGE"):
+            tb.merge_into(changes, "plain_target", ["id"])
+    finally:
+        spark.sql("DROP TABLE plain_target")

@@ -45,8 +45,9 @@ def flatten_changes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def compact_changes(df: DataFrame, keys: Sequence[str], seq: str = "seq") -> DataFrame:
     """The latest change per key. A key with many changes is cut down to one row
     per map task before the shuffle."""
-    rest = [c for c in df.columns if c not in (*keys, seq)]
-    last = F.max(F.struct(seq, *rest)).alias("_last")
+    # The order column leads, so that the largest struct is the latest row.
+    rest = [seq, *[c for c in df.columns if c != seq]]
+    last = F.max(F.struct(*[c for c in rest if c not in keys])).alias("_last")
     picked = df.groupBy(*keys).agg(last).select(*keys, "_last.*")
     return picked.select(*df.columns)
 

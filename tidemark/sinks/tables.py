@@ -6,13 +6,15 @@ import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 from itertools import islice
+from operator import and_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 from tidemark.functions import ntz, zero_pad
-from tidemark.operators.changes import compact_changes
+from tidemark.operators.changes import DELETE, compact_changes
 from tidemark.operators.metrics import metrics_by_target
 from tidemark.operators.numbering import first_n, number_rows
 from tidemark.session import stage
@@ -146,6 +148,18 @@ def write_metrics(metrics: DataFrame, path: str, targets: Mapping[str, str], fie
         frame.write.mode(mode).parquet(f"{path.rstrip('/')}/{targets[name]}")
 
 
+def merge_into(changes: DataFrame, table: str, keys: Sequence[str], seq: str = "seq", op: str = "op") -> None:
+    """Apply changes to a table whose format can merge: it rewrites only what the
+    changed keys touch. Plain Parquet cannot; use ``apply_changes`` or ``append_changes``."""
+    cols = changes.sparkSession.table(table).columns
+    last = compact_changes(changes, keys, seq).select(F.col(op).alias("_op"), *cols).alias("change")
+    same = reduce(and_, [F.col(f"{table}.{k}").eqNullSafe(F.col(f"change.{k}")) for k in keys])
+    values = {c: F.col(f"change.{c}") for c in cols}
+    gone = F.col("change._op") == DELETE
+    merge = last.mergeInto(table, same).whenMatched(gone).delete().whenMatched().update(values)
+    merge.whenNotMatched(~gone).insert(values).merge()
+
+
 def append_changes(changes: DataFrame, path: str, batch_id: int, keys: Sequence[str], seq: str = "seq") -> None:
     """Store the latest change per key of one batch. Writing the same batch again replaces it."""
     out = f"{path.rstrip('/')}/batch_id={batch_id}"
