@@ -11,7 +11,7 @@ from datetime import datetime, timedelta
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidemark.functions import date_from_name, ntz
 
@@ -141,21 +141,26 @@ def multiline_scan(spark: SparkSession, path: str | list[str], head_regex: str,
 
     A line in which ``head_regex`` is found opens a record. Heads are counted
     per block and the counts of earlier blocks added, so one large file is
-    numbered by many tasks. Lines before the first head form record 0.
+    numbered by many tasks. Lines before the first head form record 0. Only the
+    first and the last piece of a block can belong to a record that goes on in
+    another block, so no more than these are brought together a second time.
     """
     lines = text_lines(spark, path, encoding)
     head = F.col("line").rlike(head_regex).cast("bigint")
-    before = _sum_before_block(lines, head, "_before")
-    numbered = (
-        lines.withColumn("_heads", F.sum(head).over(_in_block()))
-        .join(before, list(BLOCK))
-        .withColumn("record_no", F.col("_before") + F.col("_heads"))
-    )
-    piece = F.struct("block_start", "line_seq", "line")
-    ordered = F.sort_array(F.collect_list(piece))
-    return numbered.groupBy("file_path", "record_no").agg(
-        F.array_join(F.transform(ordered, lambda p: p["line"]), "\n").alias("record")
-    )
+
+    def joined(order: Sequence[str], text: str) -> Column:
+        parts = F.sort_array(F.collect_list(F.struct(*order, F.col(text).alias("text"))))
+        return F.array_join(F.transform(parts, lambda p: p["text"]), "\n").alias("record")
+
+    counted = lines.withColumn("_heads", F.sum(head).over(_in_block()))
+    pieces = counted.groupBy(*BLOCK, "_heads").agg(joined(["line_seq"], "line"))
+    pieces = pieces.withColumn("_most", F.max("_heads").over(Window.partitionBy(*BLOCK)))
+    pieces = pieces.join(_sum_before_block(lines, head, "_before"), list(BLOCK))
+    pieces = pieces.withColumn("record_no", F.col("_before") + F.col("_heads"))
+    inside = (F.col("_heads") > 0) & (F.col("_heads") < F.col("_most"))
+    whole = pieces.filter(inside).select("file_path", "record_no", "record")
+    ends = pieces.filter(~inside).groupBy("file_path", "record_no").agg(joined(["block_start"], "record"))
+    return whole.unionByName(ends)
 
 
 def csv_scan(
