@@ -174,10 +174,10 @@ def tumbling(spark, sf_dir):
     return mt.tumbling_metric(events(spark, sf_dir), "event_type", "ts", 100)
 
 
-LOG_METRICS = [mt.MetricSpec("LoginModuleMetric", "event_type", "day"), mt.MetricSpec("LoginUserMetric", "user_id", "day")]
+LOG_METRICS = [mt.MetricSpec("module", "event_type", "day"), mt.MetricSpec("user", "user_id", "day")]
 LOG_METRICS_SQL = f"""
-SELECT 'LoginModuleMetric' AS metric_type, * FROM ({bucketed('event_type', 'day')})
-UNION ALL SELECT 'LoginUserMetric', * FROM ({bucketed('CAST(user_id AS VARCHAR)', 'day')})"""
+SELECT 'module' AS metric_type, * FROM ({bucketed('event_type', 'day')})
+UNION ALL SELECT 'user', * FROM ({bucketed('CAST(user_id AS VARCHAR)', 'day')})"""
 
 
 @query("A7_multi_metric", f"SELECT *, {LABELS_SQL} FROM ({LOG_METRICS_SQL})")

@@ -201,13 +201,13 @@ def exported(spark, sf_dir):
 
 @query("K18_write_metrics", f"""
 SELECT metric AS name, data_time, count, {LABELS_SQL},
-       CASE metric_type WHEN 'LoginModuleMetric' THEN 'module' ELSE 'user' END AS source
+       metric_type AS source
 FROM ({LOG_METRICS_SQL})""")
 def metric_tables(spark, sf_dir):
     path = shared_folder(spark, "metrics")
     rows = multi_metric(events(spark, sf_dir), LOG_METRICS, "ts", ("year", "month", "week", "day", "hour", "minute"))
-    fields = {"LoginModuleMetric": {"metric": "operModule"}, "LoginUserMetric": {"metric": "logUser"}}
-    tb.write_metrics(rows, path, {"LoginModuleMetric": "module", "LoginUserMetric": "user"}, fields)
+    fields = {"module": {"metric": "operModule"}, "user": {"metric": "logUser"}}
+    tb.write_metrics(rows, path, {"module": "module", "user": "user"}, fields)
 
     def read(target: str, key: str) -> DataFrame:
         schema = rows.drop("metric_type").withColumnRenamed("metric", key).schema
