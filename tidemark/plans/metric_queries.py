@@ -6,8 +6,10 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.functions import bucket
 from tidemark.operators import lookups as lk
 from tidemark.operators import metrics as mt
+from tidemark.operators.accumulate import accumulate
 from tidemark.operators.numbering import first_n
 from tidemark.operators.transforms import with_temp
 from tidemark.plans.jobs import detail_and_metrics, lines_to_behaviour, table_to_metrics
@@ -237,6 +239,35 @@ def behaviour(spark, sf_dir):
     )
 
 
+@query("A9_custom_accumulator", """
+SELECT user_id, date_trunc('day', ts) AS day, count(*) FILTER (event_type = 'view') AS level, round(max(value), 2) AS top,
+       string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS kinds
+FROM events GROUP BY user_id, date_trunc('day', ts)""")
+def foreign_accumulator(spark, sf_dir):
+    """An accumulator written in Python, folded in the tasks and merged by key."""
+    class Activity:
+        def __init__(self):
+            self.level, self.top, self.kinds = 0, 0.0, set()
+
+        def add(self, record):
+            self.level += record["event_type"] == "view"
+            self.top = max(self.top, record["value"])
+            self.kinds.add(record["event_type"])
+
+        def merge(self, other):
+            self.level += other.level
+            self.top = max(self.top, other.top)
+            self.kinds |= other.kinds
+
+        def result(self):
+            return {"level": self.level, "top": self.top, "kinds": ",".join(sorted(self.kinds))}
+
+    rows = events(spark, sf_dir).withColumn("day", bucket("ts", "day"))
+    schema = "level bigint, top double, kinds string"
+    out = accumulate(rows, ["user_id", "day"], Activity, schema, ["event_type", "value"])
+    return out.withColumn("top", F.round("top", 2))
+
+
 @query("A9_behaviour_from_lines", f"""
 WITH rows AS (
   SELECT 'u' || user_id AS metric, event_id, event_type,
