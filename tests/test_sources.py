@@ -235,3 +235,13 @@ def test_split_scan_defaults(spark):
     assert rows(rc.split_scan(df, "line", ";", spec)) == [
         (-1, "", None), (-1, "none", None), (1, "x", datetime(2024, 1, 2)),
     ]
+
+
+def test_filters_pass_a_parsed_column(spark, sf_dir):
+    """A filter on parsed fields does not parse again; one on other fields reaches the scan."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    out = rc.json_scan(events, "props", "k int").filter("k > 5 and value > 100")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") + plan.count("JsonToStructs") == 1
+    assert "GreaterThan(value,100.0)" in plan
+    assert out.count() == events.filter("value > 100 and get_json_object(props, '$.k') > 5").count()

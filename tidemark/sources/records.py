@@ -45,11 +45,9 @@ def split_scan(df: DataFrame, col: str, sep: str, cells: Sequence[Cell], keep: S
 def json_scan(df: DataFrame, col: str, schema: T.StructType | str, root_level: bool = True) -> DataFrame:
     """Text as JSON. At root level its fields stand next to the other columns;
     otherwise they stay together in a ``message`` struct. Bad JSON gives nulls."""
-    parsed = F.from_json(F.col(col), schema)
     rest = [c for c in df.columns if c != col]
-    if root_level:
-        return df.select(*rest, parsed.alias("_json")).select(*rest, "_json.*")
-    return df.select(*rest, parsed.alias("message"))
+    parsed = once(df, rest, _json=F.from_json(F.col(col), schema))
+    return parsed.select(*rest, "_json.*" if root_level else F.col("_json").alias("message"))
 
 
 def line_filter(df: DataFrame, col: str, include: Sequence[str] = (), exclude: Sequence[str] = ()) -> DataFrame:
@@ -112,7 +110,7 @@ def decode_messages(
     }
     rest = [c for c in df.columns if c not in ("key", "value")]
     value = F.from_json(F.col("value").cast("string"), value_schema)
-    return df.select(*rest, keys[key_type].alias("key"), value.alias("_value")).select(*rest, "key", "_value.*")
+    return once(df, rest, key=keys[key_type], _value=value).select(*rest, "key", "_value.*")
 
 
 def change_feed(df: DataFrame, tables: Sequence[str]) -> DataFrame:
