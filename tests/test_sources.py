@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tidemark.operators import numbering as nb
 from tidemark.operators.numbering import first_n, number_rows
 from tidemark.sources import files as fs
 from tidemark.sources import records as rc
@@ -89,6 +90,14 @@ def test_number_rows_over_many_ranges(spark, per_range):
     assert [(r.k, r.id) for r in got] == sorted((r.k, r.id) for r in got)
 
 
+@pytest.mark.parametrize("per_range", [7, 50, 10_000])
+@pytest.mark.parametrize("only", [(0, 4), (120, 140), (295, 400), (500, 600)])
+def test_number_rows_of_one_page(spark, per_range, only):
+    df = spark.range(300).select((F.col("id") * 7 % 300).alias("id")).repartition(5)
+    got = number_rows(df, ["id"], rows_per_range=per_range, only=only).orderBy("row_no").collect()
+    assert [r.row_no for r in got] == [r.id for r in got] == list(range(only[0], min(only[1] + 1, 300)))
+
+
 def test_number_rows_with_nulls_and_text(spark):
     df = spark.createDataFrame([(None, 1), ("b", 2), ("a", 3), (None, 4), ("c", 5)], "k string, id int")
     got = number_rows(df, ["k", "id"], start=1, rows_per_range=1).orderBy("row_no").collect()
@@ -98,6 +107,7 @@ def test_number_rows_with_nulls_and_text(spark):
 def test_deep_page_equals_sorted_slice(spark, monkeypatch):
     df = spark.range(500).select((F.col("id") * 37 % 500).alias("id"))
     monkeypatch.setattr(tb, "TOP_ROWS", 10)
+    monkeypatch.setattr(nb.number_rows, "__defaults__", tuple(50 if d == 1_000_000 else d for d in nb.number_rows.__defaults__))
     assert rows(tb.page(df, ["id"], 120, 5)) == [(120,), (121,), (122,), (123,), (124,)]
     assert rows(tb.page(df, ["id"], 498, 5)) == [(498,), (499,)]
 

@@ -18,6 +18,7 @@ def number_rows(
     name: str = "row_no",
     start: int = 0,
     rows_per_range: int = ROWS_PER_RANGE,
+    only: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Add consecutive numbers in the order of ``order_cols`` (ascending).
 
@@ -25,12 +26,15 @@ def number_rows(
     its own task, and the sizes of the ranges before it are added. A range is a
     plain expression of the row, so a lost task gives the same numbers again.
     ``order_cols`` must identify a row; otherwise equal rows are in no set order.
+    ``only`` = (first, last) keeps the rows with these numbers; ranges without
+    one of them are not shuffled at all.
     """
+    wanted = F.lit(True) if only is None else F.col(name).between(*only)
     key = F.struct(*order_cols)
     bounds = _range_bounds(df.select(*order_cols), order_cols, rows_per_range)
     if not bounds:
         whole = Window.partitionBy(F.lit(0)).orderBy(*order_cols)
-        return df.withColumn(name, F.row_number().over(whole).cast("bigint") + F.lit(start - 1))
+        return df.withColumn(name, F.row_number().over(whole).cast("bigint") + F.lit(start - 1)).filter(wanted)
 
     marked = df.withColumn("_range", _range_of(key, bounds, 0, len(bounds)))
     # One row per range, so at most MAX_RANGES + 1 rows reach the driver.
@@ -39,9 +43,12 @@ def number_rows(
     for i in range(len(bounds) + 1):
         before.append(total)
         total += sizes.get(i, 0)
+    if only is not None:
+        held = [i for i, b in enumerate(before) if b + start <= only[1] and b + start + sizes.get(i, 0) > only[0]]
+        marked = marked.filter(F.col("_range").isin(held)) if held else marked.limit(0)
     first = F.element_at(F.array(*[F.lit(b).cast("bigint") for b in before]), F.col("_range") + 1)
     within = F.row_number().over(Window.partitionBy("_range").orderBy(*order_cols))
-    return marked.withColumn(name, first + within + F.lit(start - 1)).drop("_range")
+    return marked.withColumn(name, first + within + F.lit(start - 1)).drop("_range").filter(wanted)
 
 
 def _range_bounds(keys: DataFrame, order_cols: Sequence[str], rows_per_range: int) -> list[Column]:

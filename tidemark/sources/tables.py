@@ -95,7 +95,8 @@ def named_query(
     for view, df in (tables or {}).items():
         df.createOrReplaceTempView(view)
     text = resolve_query(catalog, name)
-    return spark.sql(text, args={k: v for k, v in args.items() if f":{k}" in text})
+    used = set(re.findall(r":(\w+)", text))
+    return spark.sql(text, args={k: v for k, v in args.items() if k in used})
 
 
 @dataclass
@@ -190,9 +191,7 @@ def page(df: DataFrame, order_cols: Sequence[str], offset: int, size: int) -> Da
     """
     if offset + size <= TOP_ROWS:
         return df.orderBy(*order_cols).offset(offset).limit(size)
-    numbered = number_rows(df, order_cols, "_row_no")
-    wanted = F.col("_row_no").between(offset, offset + size - 1)
-    return numbered.filter(wanted).drop("_row_no")
+    return number_rows(df, order_cols, "_row_no", only=(offset, offset + size - 1)).drop("_row_no")
 
 
 def page_after(df: DataFrame, order_cols: Sequence[str], after: Sequence[Any] | None, size: int) -> DataFrame:
