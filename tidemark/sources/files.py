@@ -10,8 +10,11 @@ from collections.abc import Iterator, Mapping, Sequence
 from datetime import datetime, timedelta
 from typing import Any
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidemark.functions import date_from_name, ntz
 
@@ -136,30 +139,82 @@ def from_pointer(lines: DataFrame, pointer: int) -> DataFrame:
     return with_pointer(lines).filter(F.col("pointer") >= pointer)
 
 
+PIECES = "file_path string, block_start bigint, heads bigint, at_edge boolean, record string"
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of whole blocks, in order, to the pieces of records that each block holds.
+
+    ``heads`` is the number of heads in the block up to the piece. A piece is at
+    the edge when its record may go on in another block.
+    """
+    place: tuple[str, int] | None = None
+    heads, opened = 0, []
+
+    for batch in batches:
+        found: list[tuple] = []
+        code = batch.column(0).dictionary_encode()
+        names, code = code.dictionary.to_pylist(), code.indices.to_numpy(zero_copy_only=False)
+        block = batch.column(1).to_numpy(zero_copy_only=False)
+        lines, marks = batch.column(2), batch.column(3).to_numpy(zero_copy_only=False)
+        cuts = (np.flatnonzero((code[1:] != code[:-1]) | (block[1:] != block[:-1])) + 1).tolist()
+        for start, end in zip([0, *cuts], [*cuts, len(block)]):
+            if start == end:
+                continue
+            here = (names[code[start]], int(block[start]))
+            if here != place:
+                if opened:
+                    found.append((*place, heads, True, "\n".join(opened)))
+                place, heads, opened = here, 0, []
+            at = start + np.flatnonzero(marks[start:end])
+            opened += lines.slice(start, (at[0] if len(at) else end) - start).to_pylist()
+            if not len(at):
+                continue
+            if opened:
+                found.append((*place, heads, heads == 0, "\n".join(opened)))
+            between = pa.ListArray.from_arrays(pa.array(at, type=pa.int32()), lines)
+            for i, record in enumerate(pc.binary_join(between, "\n").to_pylist(), 1):
+                found.append((*place, heads + i, False, record))
+            heads += len(at)
+            opened = lines.slice(at[-1], end - at[-1]).to_pylist()
+        yield _piece_batch(found)
+    if opened:
+        yield _piece_batch([(*place, heads, True, "\n".join(opened))])
+
+
+def _piece_batch(found: list[tuple]) -> pa.RecordBatch:
+    types = (pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.string())
+    cols = zip(*found) if found else [[]] * len(types)
+    names = ["file_path", "block_start", "heads", "at_edge", "record"]
+    return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, types)], names=names)
+
+
 def multiline_scan(spark: SparkSession, path: str | list[str], head_regex: str, encoding: str = "UTF-8") -> DataFrame:
     """Records of several lines: ``file_path``, ``record_no``, ``record``.
 
-    A line in which ``head_regex`` is found opens a record. Heads are counted
-    per block and the counts of earlier blocks added, so one large file is
-    numbered by many tasks. Lines before the first head form record 0. Only the
-    first and the last piece of a block can belong to a record that goes on in
-    another block, so no more than these are brought together a second time.
+    A line in which ``head_regex`` is found opens a record. Each task puts the
+    lines of its blocks together as it reads them, so text is not shuffled; heads
+    are counted per block and the counts of earlier blocks added. Only the first
+    and the last piece of a block can belong to a record that goes on in another
+    block, and only these are brought together. Lines before the first head form
+    record 0.
     """
     lines = text_lines(spark, path, encoding)
-    head = F.col("line").rlike(head_regex).cast("bigint")
-
-    def joined(order: Sequence[str], text: str) -> Column:
-        parts = F.sort_array(F.collect_list(F.struct(*order, F.col(text).alias("text"))))
-        return F.array_join(F.transform(parts, lambda p: p["text"]), "\n").alias("record")
-
-    counted = lines.withColumn("_heads", F.sum(head).over(_in_block()))
-    pieces = counted.groupBy(*BLOCK, "_heads").agg(joined(["line_seq"], "line"))
-    pieces = pieces.withColumn("_most", F.max("_heads").over(Window.partitionBy(*BLOCK)))
-    pieces = pieces.join(_sum_before_block(lines, head, "_before"), list(BLOCK))
-    pieces = pieces.withColumn("record_no", F.col("_before") + F.col("_heads"))
-    inside = (F.col("_heads") > 0) & (F.col("_heads") < F.col("_most"))
-    whole = pieces.filter(inside).select("file_path", "record_no", "record")
-    ends = pieces.filter(~inside).groupBy("file_path", "record_no").agg(joined(["block_start"], "record"))
+    pieces = lines.select(*BLOCK, "line", F.col("line").rlike(head_regex).alias("head")).mapInArrow(_pieces, PIECES)
+    edges = pieces.filter("at_edge")
+    # The last piece of a block has counted all heads of the block.
+    most = edges.groupBy(*BLOCK).agg(F.max("heads").alias("_most"))
+    earlier = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    before = most.select(*BLOCK, F.coalesce(F.sum("_most").over(earlier), F.lit(0)).alias("_before"))
+
+    def numbered(some: DataFrame) -> DataFrame:
+        return some.join(before, list(BLOCK)).withColumn("record_no", F.col("_before") + F.col("heads"))
+
+    parts = F.sort_array(F.collect_list(F.struct("block_start", "record")))
+    whole = numbered(pieces.filter("not at_edge")).select("file_path", "record_no", "record")
+    ends = numbered(edges).groupBy("file_path", "record_no").agg(
+        F.array_join(F.transform(parts, lambda p: p["record"]), "\n").alias("record")
+    )
     return whole.unionByName(ends)
 
 
