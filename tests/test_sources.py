@@ -255,3 +255,9 @@ def test_filters_pass_a_parsed_column(spark, sf_dir):
     assert plan.count("from_json") + plan.count("JsonToStructs") == 1
     assert "GreaterThan(value,100.0)" in plan
     assert out.count() == events.filter("value > 100 and get_json_object(props, '$.k') > 5").count()
+
+
+def test_windows_line_ends(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes(b"one\r\ntwo\r\n\r\nla\rst")
+    lines = fs.with_pointer(fs.text_lines(spark, str(tmp_path)))
+    assert rows(lines.select("pointer", "line")) == [(0, "one"), (10, ""), (12, "la\rst"), (5, "two")]

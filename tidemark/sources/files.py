@@ -87,8 +87,10 @@ def text_lines(spark: SparkSession, path: str | list[str], encoding: str = "UTF-
     line, which is right for all that keep byte 10 for the line break.
     """
     raw = spark.read.option("lineSep", "\n").text(path)
+    text = F.col("value")
+    unix = F.when(text.endswith("\r"), F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
     place = raw.select(
-        F.regexp_replace("value", "\r$", "").alias("line") if _is_utf8(encoding) else F.col("value").alias("line"),
+        (unix if _is_utf8(encoding) else text).alias("line"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.octet_length(F.col("value")).alias("line_bytes"),
