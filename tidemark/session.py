@@ -44,12 +44,26 @@ def get_session(app: str = "tidemark", master: str | None = None, **conf: str) -
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new, unique path under the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) gets a temporary folder.
+    Without that setting only a session inside one process (a local test) gets a
+    temporary folder; on a cluster each executor would write to its own disk, so
+    that is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _local_root()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``shared_folder`` named, wherever the cluster keeps it."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @functools.cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="tidemark-")
