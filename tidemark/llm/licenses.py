@@ -33,7 +33,7 @@ K = 3
 # Diagonals that differ by at most this much belong to one match.
 DRIFT = 2
 # Share of a template's grams that a match needs.
-COVERAGE = 0.75
+COVERAGE = 0.65
 
 # Fixed values of the contract.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -142,6 +142,13 @@ def scan_licenses(
     found = matches.withColumn("share", share).withColumn(
         "match", F.when(F.col("base"), F.col("votes") == F.col("grams")).otherwise(F.col("share") >= coverage)
     )
+    # Overlapping matches form an island; templates that match it less well than another one give way.
+    by_place = Window.partitionBy("row").orderBy(F.col("match").desc_nulls_last(), "lo", "template", "run")
+    before = F.max("hi").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
+    found = found.withColumn("island", F.when(F.col("match"), F.coalesce((F.col("lo") >= before).cast("int"), F.lit(1))))
+    found = found.withColumn("island", F.sum("island").over(by_place))
+    best = F.max(F.when(F.col("match"), F.col("share"))).over(Window.partitionBy("row", "island"))
+    found = found.withColumn("match", F.col("match") & (F.col("base") | (F.col("share") >= best)))
     base_match = F.col("match") & F.col("base")
     span = F.struct(F.col("lo").alias("start"), F.col("hi").alias("end"), "label")
 

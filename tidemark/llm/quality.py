@@ -52,82 +52,85 @@ def _class_table() -> np.ndarray:
     return table
 
 
-STATS = ("words", "symbols", "upper", "adjacent", "distinct", "marks", "word_length", "longest", "sentences")
-
-
-def profile(text: bytes, table: np.ndarray) -> tuple[list[float], np.ndarray]:
-    """Statistics of a text and the places of its hashed features, with their weights in two rows."""
+def profile(text: bytes, table: np.ndarray) -> tuple[tuple[float, ...], np.ndarray]:
+    """Statistics of a text, and its hashed features with their weights in two rows."""
     words = text.split()
     n = len(words)
     codes = table[np.frombuffer(text, dtype=np.uint8)]
-    counts = np.bincount(codes, minlength=_CLASSES)
-    letters = counts[0] + counts[1] + counts[7]
+    counts = np.bincount(codes, minlength=_CLASSES).tolist()
     inked = max(1, len(text) - counts[3])
-    adjacent = sum(map(operator.eq, words, words[1:])) / max(1, n - 1)
-    distinct = len(set(words)) / max(1, n)
-    marks = sum(not w[:1].isalnum() and w[:1] < b"\x80" and len(w) == 1 for w in words) / max(1, n)
-    lengths = [len(w) for w in words]
-    stats = [
-        n, counts[6] / inked, counts[1] / max(1, counts[0] + counts[1]), adjacent, distinct, marks,
-        letters / max(1, n), max(lengths, default=0), counts[4] / max(1, n),
-    ]
     # Runs of a class count once: triples describe shapes of words, not their letters.
     if len(codes):
-        codes = codes[np.concatenate(([True], codes[1:] != codes[:-1]))].astype(np.int64)
-    triples = codes[:-2] * 64 + codes[1:-1] * 8 + codes[2:] if len(codes) > 2 else np.zeros(0, dtype=np.int64)
-    places, weights = np.unique(_hashed(triples), return_counts=True)
-    weights = np.sqrt(weights / max(1, len(triples)))
+        codes = codes[np.concatenate(([True], codes[1:] != codes[:-1]))]
+    shapes = np.bincount(codes[:-2] * 64 + codes[1:-1] * 8 + codes[2:], minlength=512) if len(codes) > 2 else np.zeros(512, dtype=np.int64)
+    cube = shapes.reshape(8, 8, 8)
+    stats = (
+        float(n),
+        counts[6] / inked,  # symbols
+        counts[1] / max(1, counts[0] + counts[1]),  # upper
+        sum(map(operator.eq, words, words[1:])) / max(1, n - 1),  # adjacent
+        len(set(words)) / max(1, n),  # distinct
+        int(cube[3, 6, 3]) / max(1, n),  # marks: a symbol for a word
+        int(cube[[0, 1, 7], 6].sum()) / max(1, n),  # glued: symbols at the end of a word
+        float(max(map(len, words), default=0)),  # longest
+    )
+    places = np.flatnonzero(shapes)
+    weights = np.sqrt(shapes[places] / max(1, len(codes) - 2))
     size = min(12, int(np.log2(n + 1)))
-    bins = [(i + 1) * 100_003 + int(min(value, 1.0) * 20) for i, value in enumerate(stats[1:6])]
-    bins += [600_011 + 16 * int(distinct * 20) + size, 700_001 + size, 800_011 + min(int(stats[6]), 30)]
-    extra = _hashed(np.array(bins))
-    return stats, np.vstack((np.concatenate((places, extra)), np.concatenate((weights, np.full(len(extra), 0.5)))))
+    bins = [(i + 1) * 100_003 + int(min(value, 1.0) * 20) for i, value in enumerate(stats[1:7])]
+    bins += [700_011 + 16 * int(stats[4] * 20) + size, 800_001 + size]
+    keys = np.concatenate((places, np.array(bins)))
+    return stats, np.vstack((_hashed(keys), np.concatenate((weights, np.full(len(bins), 0.5)))))
 
 
 def _hashed(keys: np.ndarray) -> np.ndarray:
     return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(54)).astype(np.int64) % FEATURES
 
 
-def votes(stats: list[float]) -> tuple[int, ...]:
-    """One vote per labeller. Short texts give no ground for most of them."""
-    n, symbols, upper, adjacent, distinct, marks, word_length, longest, sentences = stats
-    long = n >= 20
+def votes(stats: tuple[float, ...]) -> tuple[int, ...]:
+    """One vote per labeller. Short texts give no ground for some of them."""
+    n, symbols, upper, adjacent, distinct, marks, glued, longest = stats
+    # A text of n words of prose has at least about this share of different ones.
+    least = 1.8 / np.log2(n + 2)
 
-    def vote(bad: bool, good: bool) -> int:
-        return BAD if bad else GOOD if good else NONE
+    def vote(grounds: bool, bad: bool, good: bool) -> int:
+        return NONE if not grounds else BAD if bad else GOOD if good else NONE
 
-    # A text of n words that are drawn like prose has at least about this share of different ones.
-    least = 1.6 / max(1.0, np.log2(n + 1)) if long else 0.0
     return (
-        vote(symbols > 0.08, symbols < 0.03 and n >= 3),
-        vote(upper > 0.4 and n >= 3, upper < 0.15 and n >= 3),
-        vote(adjacent > 0.15 and n >= 6, long and adjacent < 0.05),
-        vote(long and distinct < least / 2, long and distinct > least),
-        vote(marks > 0.15 and n >= 4, n >= 8 and marks < 0.04),
-        vote(longest > 120, n >= 8 and longest < 60),
-        vote(long and sentences < 0.004, long and 0.01 < sentences < 0.5),
+        vote(n >= 3, symbols > 0.06, symbols < 0.02),
+        vote(n >= 3, glued > 0.25, glued < 0.05),
+        vote(n >= 3, upper > 0.5, upper < 0.25),
+        vote(n >= 4, marks > 0.15, marks < 0.04),
+        vote(n >= 4, symbols + marks > 0.15, symbols + marks < 0.04),
+        vote(n >= 6, adjacent > 0.2, adjacent < 0.05),
+        vote(n >= 12, distinct < least / 2, distinct > least),
+        vote(n >= 12, adjacent > 0.1 and distinct < least, adjacent < 0.05 and distinct > least / 2),
+        vote(n >= 1, longest > 200, longest < 60),
     )
 
 
 def expectation_maximisation(patterns: list[tuple[int, ...]], counts: list[int], rounds: int = 100) -> np.ndarray:
-    """Posterior that documents of a pattern are good (Dawid and Skene's model, two classes)."""
+    """Posterior that documents of a pattern are good (two classes, labellers independent within them).
+
+    A labeller that does not vote says nothing. A bad document mostly has one fault, so
+    few of the labellers see it: to begin with, one in three does, and one in fifty
+    is wrong about a good document.
+    """
     if not patterns:
         return np.zeros(0)
-    seen = np.array(patterns)[:, :, None] == np.array([GOOD, NONE, BAD])  # pattern, labeller, vote
+    cast = np.array(patterns)
+    says_bad, says_good = (cast == BAD).astype(float), (cast == GOOD).astype(float)
     weight = np.array(counts, dtype=float)
-    # To begin with, labellers are taken to be right four times out of five when they vote.
-    silent = (weight[:, None] * seen[:, :, 1]).sum(0) / weight.sum()
-    good = np.stack([(1 - silent) * 0.8, silent, (1 - silent) * 0.2], axis=1)
-    bad = good[:, ::-1].copy()
-    share = 0.8
+    alarm, find, share = np.full(cast.shape[1], 0.02), np.full(cast.shape[1], 0.33), 0.85
+    posterior = np.full(len(weight), share)
     for _ in range(rounds):
-        log_good = np.log(share) + (seen * np.log(good + 1e-9)).sum((1, 2))
-        log_bad = np.log(1 - share) + (seen * np.log(bad + 1e-9)).sum((1, 2))
+        log_good = np.log(share) + says_bad @ np.log(alarm) + says_good @ np.log1p(-alarm)
+        log_bad = np.log1p(-share) + says_bad @ np.log(find) + says_good @ np.log1p(-find)
         posterior = 1 / (1 + np.exp(np.clip(log_bad - log_good, -500, 500)))
         for_good, for_bad = weight * posterior, weight * (1 - posterior)
-        # One pseudo-document per vote keeps rare classes off the edges.
-        good = (np.einsum("p,plv->lv", for_good, seen) + 1) / (for_good.sum() + 3)
-        bad = (np.einsum("p,plv->lv", for_bad, seen) + 1) / (for_bad.sum() + 3)
+        # Pseudo-documents keep rates off the edges; the better a labeller, the further its two rates lie apart.
+        alarm = (for_good @ says_bad + 0.02) / (for_good @ (says_bad + says_good) + 1)
+        find = (for_bad @ says_bad + 0.33) / (for_bad @ (says_bad + says_good) + 1)
         share = min(max((for_good.sum() + 1) / (weight.sum() + 2), 1e-6), 1 - 1e-6)
     return posterior
 
@@ -144,18 +147,17 @@ class QualityModel:
 
 
 def _fit_linear(rows: list[tuple[np.ndarray, np.ndarray, float]], rounds: int = 300) -> tuple[np.ndarray, float]:
-    """Logistic regression on posteriors, both classes with equal weight; Adam on all rows."""
+    """Logistic regression on posteriors; Adam on all rows."""
     x = np.zeros((len(rows), FEATURES), dtype=np.float32)
     for i, (places, values, _) in enumerate(rows):
         np.add.at(x[i], places, values)
     y = np.array([p for *_, p in rows], dtype=np.float32)
-    mass = y * (0.5 / max(y.sum(), 1e-6)) + (1 - y) * (0.5 / max((1 - y).sum(), 1e-6))
     theta = np.zeros(FEATURES + 1)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, rounds + 1):
         p = 1 / (1 + np.exp(-np.clip(x @ theta[:-1].astype(np.float32) + theta[-1], -30, 30)))
-        off = mass * (p - y)
-        slope = np.append(x.T @ off + 1e-4 * theta[:-1], off.sum())
+        off = (p - y) / len(y)
+        slope = np.append(x.T @ off + 1e-5 * theta[:-1], off.sum())
         first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
         theta -= 0.1 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
     return theta[:-1], float(theta[-1])
