@@ -2,11 +2,11 @@
 
 Fingerprints: one pass over the texts, in Arrow batches. From then on only numbers move.
 
-Links: a fingerprint is embedded as the bit counts of its 16 segments of 4 bits.
+Links: a fingerprint is embedded as the bit counts of its 32 segments of 2 bits.
 The Manhattan distance of two such points is at most the number of differing bits,
 so it is a lower bound. Points within a distance of 2 have a grid point in common
 that is at most 1 away from both: every fingerprint is dealt to its own grid point
-and the 32 beside it, and only those that meet another one there go on (the range
+and the at most 64 beside it, and only those that meet another one there go on (the range
 join). They are then verified exactly in the same manner, bit by bit: two
 fingerprints differ in at most 2 bits if and only if they share a fingerprint that is
 at most one bit away from both. All that share one are linked to the smallest of
@@ -28,13 +28,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import named, packed, ready, text_of, unpacked
 from tidemark.session import drop_folder, shared_folder, stage
 
 SEED = 42
-SEGMENT_BITS = 4
+# Short segments keep chance meetings rare: two random fingerprints are within a distance of 2 once in 10^10.
+LOW_BITS = 0x5555555555555555
 DISTANCE = 2
 CHUNK = 1 << 14
 
@@ -76,37 +77,38 @@ def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int) -> Dat
     return source.mapInArrow(batches, f"id {kind}, text_hash bigint, fp bigint")
 
 
-def _grid(fp: Column) -> tuple[Column, list[Column]]:
-    """The grid point of a fingerprint, three bits per segment, and the steps to the points beside it."""
-    counts = [F.bit_count(F.shiftrightunsigned(fp, at).bitwiseAND(F.lit((1 << SEGMENT_BITS) - 1))).cast("long") for at in range(0, 64, SEGMENT_BITS)]
-    point = F.lit(0).cast("long")
-    steps = []
-    for i, count in enumerate(counts):
-        place = F.lit(1 << (3 * i)).cast("long")
-        point = point + count * place
-        steps += [F.when(count > 0, -place), F.when(count < SEGMENT_BITS, place)]
-    return point, steps
+def _point(fp: Column) -> Column:
+    """The grid point of a fingerprint: two bits for the count of each segment."""
+    low, high = fp.bitwiseAND(F.lit(LOW_BITS)), F.shiftrightunsigned(fp, 1).bitwiseAND(F.lit(LOW_BITS))
+    return F.shiftleft(low.bitwiseAND(high), 1).bitwiseOR(low.bitwiseXOR(high))
+
+
+def _signed(bits: int) -> Column:
+    return F.lit(bits - (1 << 64) if bits >> 63 else bits).cast("long")
 
 
 def _meeting(fps: DataFrame) -> DataFrame:
     """Fingerprints that share a grid point with another one: the lower bound lets them through."""
-    point, steps = _grid(F.col("fp"))
-    around = fps.withColumn("point", point).select(
-        "fp", F.explode(F.array_compact(F.array(F.col("point"), *[F.col("point") + s for s in steps]))).alias("point")
-    )
-    shared = around.groupBy("point").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo < hi").select("point")
-    return around.join(shared, "point", "left_semi").select("fp").distinct()
+    # A step changes one count: 01 between 0 and 1, 11 between 1 and 2; 0 stays.
+    steps = F.array(*[_signed(bits << at) for bits in (1, 3) for at in range(0, 64, 2)], F.lit(0).cast("long"))
+    step, point = F.col("step"), F.col("point")
+    possible = F.when(step.bitwiseAND(F.lit(LOW_BITS)) == step, point.bitwiseAND(F.shiftleft(step, 1)) == 0).otherwise(point.bitwiseAND(step) != 0)
+    around = fps.select("fp", _point(F.col("fp")).alias("point"), F.explode(steps).alias("step")).where(possible)
+    around = around.select("fp", point.bitwiseXOR(step).alias("point"))
+    here = Window.partitionBy("point")
+    return around.select("fp", F.min("fp").over(here).alias("lo"), F.max("fp").over(here).alias("hi")).where("lo < hi").select("fp").distinct()
 
 
 def links(fps: DataFrame) -> DataFrame:
     """Links (a > b) whose components are those of all pairs with at most 2 differing bits.
 
-    ``fps`` has distinct fingerprints. The number of links is at most 65 per fingerprint.
+    ``fps`` has distinct fingerprints. At most 65 of them share a middle, and the number
+    of links is at most 65 per fingerprint.
     """
-    flips = [F.lit(0).cast("long"), *[F.lit((1 << b) - (1 << 64) if b == 63 else 1 << b).cast("long") for b in range(64)]]
-    near = _meeting(fps).select("fp", F.explode(F.array(*[F.col("fp").bitwiseXOR(f) for f in flips])).alias("middle"))
-    least = near.groupBy("middle").agg(F.min("fp").alias("b"), F.max("fp").alias("hi")).where("b < hi").select("middle", "b")
-    return near.join(least, "middle").where("fp > b").select(F.col("fp").alias("a"), "b").distinct()
+    flips = F.array(F.lit(0).cast("long"), *[_signed(1 << bit) for bit in range(64)])
+    near = _meeting(fps).select("fp", F.explode(flips).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("middle"))
+    least = F.min("fp").over(Window.partitionBy("middle"))
+    return near.select(F.col("fp").alias("a"), least.alias("b")).where("a > b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
