@@ -1,7 +1,7 @@
 """Pack documents into sequences of tokens, best fit decreasing.
 
 1. Tokens: words repeat, so a task keeps the ids of the words it has met and asks the
-   tokenizer for new ones only. That is exact for a tokenizer that drops white space
+   tokenizer for new ones only, many at a time. That is exact for a tokenizer that drops white space
    and never joins across it (``word_bpe_49k``); ``by_word=False`` encodes whole texts.
 2. A document longer than a sequence is first cut into full windows; what is left
    over is its last piece. The pieces (numbers, no ids) are written once.
@@ -33,11 +33,13 @@ LENGTH = 4096
 END_ID = 2
 GROUP_TOKENS = 1 << 22
 # Words whose ids a task remembers; beyond that it starts to remember anew.
-KNOWN_WORDS = 1 << 19
+KNOWN_WORDS = 1 << 20
+# New words that the tokenizer gets at once.
+NEW_WORDS = 1 << 13
 
 
 class Encoder:
-    """Little-endian 32-bit ids of texts."""
+    """Little-endian 32-bit ids of texts in UTF-8."""
 
     def __init__(self, path: str, by_word: bool):
         import os
@@ -47,41 +49,57 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = by_word
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def encode(self, text: str) -> bytes:
+        self.known: dict[bytes, bytes] = {}
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Encode words in one line; the places of the tokens tell the words apart."""
+        texts = [w.decode() for w in words]
+        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        data = np.array(found.ids, dtype="<u4").tobytes()
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        cuts = np.searchsorted([start for start, _ in found.offsets], ends).tolist()
+        at = 0
+        for word, cut in zip(words, cuts, strict=True):
+            self.known[word] = data[at * 4:cut * 4]
+            at = cut
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
-            return self._ids([text])[0]
-        words = text.split()
+            return [np.array(self.tokenizer.encode(t.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+        # bytes.split() cuts at ASCII white space, which the tokenizer drops.
+        split = [t.split() for t in texts]
+        if len(self.known) > KNOWN_WORDS:
+            self.known.clear()
         known = self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        if len(known) > KNOWN_WORDS:
-            known.clear()
-        new = list({w for w in words if w not in known})
-        known.update(zip(new, self._ids(new), strict=True))
-        return b"".join([known[w] for w in words])
+        new = [w for w in set().union(*split) if w not in known]
+        for at in range(0, len(new), NEW_WORDS):
+            self._learn(new[at:at + NEW_WORDS])
+        return [b"".join(map(known.__getitem__, words)) for words in split]
+
+
+def _encoder(path: str, by_word: bool) -> Encoder:
+    """The encoder of this worker process: it serves many tasks, and what it has learnt stays."""
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("kept_encoders", {})
+    if (path, by_word) not in kept:
+        kept[path, by_word] = Encoder(path, by_word)
+    return kept[path, by_word]
 
 
 def pieces(df: DataFrame, tokenizer: str, id_col: str, text_col: str, length: int, end_id: int, by_word: bool, with_ids: bool) -> DataFrame:
     """id, start, length, ids_crc32, doc_tokens (and ids): windows of ``length``, then the rest."""
     ready(df.sparkSession)
-    source = df.select(named(id_col).alias("id"), text_of(text_col).alias("body"))
+    source = df.select(named(id_col).alias("id"), text_of(text_col).cast("binary").alias("body"))
     kind = source.schema["id"].dataType.simpleString()
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, by_word)
+        encoder = _encoder(tokenizer, by_word)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in parts:
             rows, start, size, crc, total, ids = [], [], [], [], [], []
-            for row, text in enumerate(batch.column("body")):
-                data = encoder.encode(text.as_py()) + end
+            for row, data in enumerate(encoder.encode(batch.column("body").to_pylist())):
+                data += end
                 tokens = len(data) // 4
                 for at in range(0, tokens, length):
                     window = data[at * 4:(at + length) * 4]
