@@ -99,3 +99,8 @@ def test_loose_cast_equals_the_plain_try(spark, to, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     for t, loose, plain in df.select("t", fn.loose_cast("t", to), F.col("t").try_cast(to)).collect():
         assert loose == plain or (loose != loose and plain != plain), t
+
+
+def test_integer_text_of_any_length(spark):
+    df = spark.createDataFrame([("00000000000000000000012",), ("9" * 30,), ("-7",)], "t string")
+    assert [r[0] for r in df.select(fn.loose_cast("t", "bigint")).collect()] == [12, None, -7]

@@ -6,7 +6,6 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidemark.operators import numbering as nb
 from tidemark.operators.numbering import first_n, number_rows
 from tidemark.sources import files as fs
 from tidemark.sources import records as rc
@@ -98,16 +97,20 @@ def test_number_rows_of_one_page(spark, per_range, only):
     assert [r.row_no for r in got] == [r.id for r in got] == list(range(only[0], min(only[1] + 1, 300)))
 
 
+def test_number_rows_over_a_thousand_ranges(spark):
+    df = spark.range(5_000).select((F.col("id") * 7 % 5_000).alias("id"))
+    got = number_rows(df, ["id"], rows_per_range=5, only=(2_000, 2_999)).collect()
+    assert sorted((r.row_no, r.id) for r in got) == [(i, i) for i in range(2_000, 3_000)]
+
+
 def test_number_rows_with_nulls_and_text(spark):
     df = spark.createDataFrame([(None, 1), ("b", 2), ("a", 3), (None, 4), ("c", 5)], "k string, id int")
     got = number_rows(df, ["k", "id"], start=1, rows_per_range=1).orderBy("row_no").collect()
     assert [r.id for r in got] == [1, 4, 3, 2, 5] and [r.row_no for r in got] == [1, 2, 3, 4, 5]
 
 
-def test_deep_page_equals_sorted_slice(spark, monkeypatch):
+def test_deep_page_equals_sorted_slice(spark):
     df = spark.range(500).select((F.col("id") * 37 % 500).alias("id"))
-    monkeypatch.setattr(tb, "TOP_ROWS", 10)
-    monkeypatch.setattr(nb.number_rows, "__defaults__", tuple(50 if d == 1_000_000 else d for d in nb.number_rows.__defaults__))
     assert rows(tb.page(df, ["id"], 120, 5)) == [(120,), (121,), (122,), (123,), (124,)]
     assert rows(tb.page(df, ["id"], 498, 5)) == [(498,), (499,)]
 

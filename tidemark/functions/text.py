@@ -16,8 +16,8 @@ def _col(c: Column | str) -> Column:
 # What a text must look like to be worth a cast. A failed cast raises inside
 # Spark, even in its try form, and costs some hundred times a good one.
 LOOKS_LIKE = {
-    "int": r"^\s*[+-]?\d{1,19}\s*$",
-    "bigint": r"^\s*[+-]?\d{1,19}\s*$",
+    "int": r"^\s*[+-]?\d+\s*$",
+    "bigint": r"^\s*[+-]?\d+\s*$",
     "double": r"(?i)^\s*[+-]?(?:\.?\d|nan|inf)",
     "timestamp_ntz": r"^\s*\d{4}",
     "timestamp": r"^\s*\d{4}",

@@ -5,11 +5,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-ROWS_PER_RANGE = 1_000_000
-SAMPLES_PER_RANGE = 40
-MAX_RANGES = 4_096
+from tidemark.session import stage
+
+# monotonically_increasing_id() has the number of the partition above these bits.
+PLACE_BITS = 33
 
 
 def number_rows(
@@ -17,64 +18,37 @@ def number_rows(
     order_cols: Sequence[str],
     name: str = "row_no",
     start: int = 0,
-    rows_per_range: int = ROWS_PER_RANGE,
+    rows_per_range: int | None = None,
     only: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Add consecutive numbers in the order of ``order_cols`` (ascending).
 
-    The rows are cut into ranges at fixed key values, each range is numbered by
-    its own task, and the sizes of the ranges before it are added. A range is a
-    plain expression of the row, so a lost task gives the same numbers again.
+    Spark deals the rows out by range of their keys and each task sorts its range, so
+    the place of a row is the number of its range and its place there. The rows are
+    written once with that place, to the shared folder: a lost task finds the same
+    numbers again. The sizes of the ranges, one small row each, add up to where each
+    range starts. There are as many ranges as shuffle partitions, or one per
+    ``rows_per_range`` rows; any table takes the same path.
+
     ``order_cols`` must identify a row; otherwise equal rows are in no set order.
-    ``only`` = (first, last) keeps the rows with these numbers; ranges without
-    one of them are not shuffled at all.
+    ``only`` = (first, last) keeps the rows with these numbers and reads no range
+    without one of them.
     """
-    wanted = F.lit(True) if only is None else F.col(name).between(*only)
-    key = F.struct(*order_cols)
-    bounds = _range_bounds(df.select(*order_cols), order_cols, rows_per_range)
-    if not bounds:
-        whole = Window.partitionBy(F.lit(0)).orderBy(*order_cols)
-        return df.withColumn(name, F.row_number().over(whole).cast("bigint") + F.lit(start - 1)).filter(wanted)
-
-    marked = df.withColumn("_range", _range_of(key, bounds, 0, len(bounds)))
-    # One row per range, so at most MAX_RANGES + 1 rows reach the driver.
-    sizes = {r["_range"]: r["count"] for r in marked.groupBy("_range").count().collect()}
-    before, total = [], 0
-    for i in range(len(bounds) + 1):
-        before.append(total)
-        total += sizes.get(i, 0)
+    if rows_per_range is None:
+        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    else:
+        ranges = max(1, math.ceil(df.count() / rows_per_range))
+    dealt = df.repartitionByRange(ranges, *order_cols).sortWithinPartitions(*order_cols)
+    place = F.monotonically_increasing_id()
+    placed = stage(dealt.withColumn("_place", place).withColumn("_range", F.shiftright("_place", PLACE_BITS)), "numbered", ["_range"])
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_size"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)) + F.lit(start))
     if only is not None:
-        held = [i for i, b in enumerate(before) if b + start <= only[1] and b + start + sizes.get(i, 0) > only[0]]
-        marked = marked.filter(F.col("_range").isin(held)) if held else marked.limit(0)
-    first = F.element_at(F.array(*[F.lit(b).cast("bigint") for b in before]), F.col("_range") + 1)
-    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order_cols))
-    return marked.withColumn(name, first + within + F.lit(start - 1)).drop("_range").filter(wanted)
-
-
-def _range_bounds(keys: DataFrame, order_cols: Sequence[str], rows_per_range: int) -> list[Column]:
-    total = keys.count()
-    ranges = min(MAX_RANGES, math.ceil(total / rows_per_range))
-    if ranges <= 1:
-        return []
-    fraction = min(1.0, ranges * SAMPLES_PER_RANGE / total)
-    # A key sample of about MAX_RANGES * SAMPLES_PER_RANGE rows at the most.
-    sample = keys.sample(fraction, seed=11).distinct().orderBy(*order_cols).collect()
-    step = max(1, len(sample) // ranges)
-    types = dict(keys.dtypes)
-    return [
-        F.struct(*[F.lit(row[c]).cast(types[c]).alias(c) for c in order_cols])
-        for row in sample[step::step]
-    ]
-
-
-def _range_of(key: Column, bounds: list[Column], low: int, high: int) -> Column:
-    """Number of bounds below the key, as a balanced tree of comparisons."""
-    if low == high:
-        return F.lit(low)
-    middle = (low + high) // 2
-    return F.when(key <= bounds[middle], _range_of(key, bounds, low, middle)).otherwise(
-        _range_of(key, bounds, middle + 1, high)
-    )
+        starts = starts.filter((F.col("_start") <= only[1]) & (F.col("_start") + F.col("_size") > only[0]))
+    number = F.col("_start") + F.col("_place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    out = placed.join(starts, "_range").select(*df.columns, number.cast("bigint").alias(name))
+    return out if only is None else out.filter(F.col(name).between(*only))
 
 
 def first_n(df: DataFrame, n: int, order_cols: Sequence[str], batch_col: str | None = None) -> DataFrame:

@@ -148,12 +148,14 @@ def applied(spark, sf_dir):
 
 
 @query("C4_apply_changes_strict", """
-SELECT o_orderkey, o_custkey, round(CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice - 10 END, 2) AS price
-FROM orders WHERE o_orderkey % 7 <> 0 AND o_totalprice > 100000""")
+SELECT t.o_orderkey * 2 AS o_orderkey, CASE WHEN c.o_orderkey % 3 = 0 THEN c.o_custkey ELSE t.o_custkey END AS o_custkey,
+       round(CASE WHEN c.o_orderkey % 3 = 0 THEN c.o_totalprice + 1 ELSE t.o_totalprice - 10 END, 2) AS price
+FROM orders t LEFT JOIN orders c ON c.o_orderkey = t.o_orderkey * 2
+WHERE c.o_orderkey IS NULL OR c.o_orderkey % 7 <> 0""")
 def applied_strict(spark, sf_dir):
-    """Updates and deletes only: an update of a row that the target lacks does nothing."""
-    orders = table(spark, sf_dir, "orders").filter("o_totalprice > 100000")
-    target = orders.select("o_orderkey", "o_custkey", (F.col("o_totalprice") - 10).alias("price"))
+    """Updates and deletes only, on a table of doubled keys: an update of a row that it lacks does nothing."""
+    orders = table(spark, sf_dir, "orders")
+    target = orders.select((F.col("o_orderkey") * 2).alias("o_orderkey"), "o_custkey", (F.col("o_totalprice") - 10).alias("price"))
     flat = ch.flatten_changes(ch.only_ops(shop(spark, sf_dir), ["U", "D"]), ["o_orderkey"])
     return ch.apply_changes(target, flat, ["o_orderkey"], strict=True).withColumn("price", F.round("price", 2))
 

@@ -23,7 +23,7 @@ from tidemark.sources.tables import filter_scan, incremental_scan
 @query("job_table_to_documents", f"""
 WITH mark AS (SELECT max(event_id) // 2 AS m FROM events),
 fresh AS (
-  SELECT event_id AS "logId", event_type AS "operModule", strftime(ts, '%Y-%m-%d %H') AS "logOpertime", 'duoduo' AS author,
+  SELECT event_id AS "logId", event_type AS "operModule", strftime(ts, '%Y-%m-%d %H') AS "logOpertime", 'editor' AS author,
          CASE WHEN p_name IS NULL THEN '' ELSE '{{"p_name":"' || p_name || '","p_partkey":' || p_partkey || '}}' END AS ipinfo
   FROM events, mark LEFT JOIN ({RANGES_SQL}) ON {EVENT_IP_SQL} BETWEEN start_ip AND end_ip WHERE event_id > m)
 SELECT * FROM fresh
@@ -33,7 +33,7 @@ def table_to_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     mark = events.agg(F.max("event_id")).first()[0] // 2
     rows = incremental_scan(events, "event_id", mark).rows
-    rows = tr.add_fields(rows, author="duoduo", title="jiefang", subtitle="xiaokang")
+    rows = tr.add_fields(rows, author="editor", title="heading", subtitle="subheading")
     rows = tr.derive(rows, log_opertime=format_time("ts", "yyyy-MM-dd HH"), ip=F.concat(event_ip(), F.lit("||||")))
     rows = ip_region_join(rows, "ip", address_ranges(spark, sf_dir), ["p_name", "p_partkey"])
     rows = rows.withColumn("ipinfo", F.coalesce(F.to_json("ipinfo"), F.lit("")))

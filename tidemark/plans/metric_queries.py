@@ -23,11 +23,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("J1_lookup_one", """
-SELECT o_orderkey, c_name, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0""")
+SELECT o_orderkey, c_name, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey * 2 = c_custkey""")
 def one_row(spark, sf_dir):
-    customers = table(spark, sf_dir, "customer").filter("c_acctbal > 0")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    out = lk.lookup_one(orders, customers, {"o_custkey": "c_custkey"}, "c", ["c_name", "c_mktsegment"])
+    """Doubled keys: the upper half of them has no customer."""
+    customers = table(spark, sf_dir, "customer")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") * 2).alias("key"))
+    out = lk.lookup_one(orders, customers, {"key": "c_custkey"}, "c", ["c_name", "c_mktsegment"])
     return out.select("o_orderkey", F.col("c.c_name").alias("c_name"), F.col("c.c_mktsegment").alias("c_mktsegment"))
 
 
@@ -67,11 +68,11 @@ def flat_rows(spark, sf_dir):
 
 
 @query("J3_mark_action", """
-SELECT c_custkey, CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000) THEN 'U' ELSE 'I' END AS _op
+SELECT c_custkey, CASE WHEN c_custkey IN (SELECT o_custkey * 2 FROM orders) THEN 'U' ELSE 'I' END AS _op
 FROM customer""")
 def marked(spark, sf_dir):
-    big = table(spark, sf_dir, "orders").filter("o_totalprice > 400000")
-    return lk.mark_action(table(spark, sf_dir, "customer").select("c_custkey"), big, {"c_custkey": "o_custkey"})
+    orders = table(spark, sf_dir, "orders").select((F.col("o_custkey") * 2).alias("key"))
+    return lk.mark_action(table(spark, sf_dir, "customer").select("c_custkey"), orders, {"c_custkey": "key"})
 
 
 @query("J4_keep_if_in", "SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")

@@ -155,9 +155,9 @@ WITH rows AS (
          '{"event_id":' || event_id || ',"event_type":"' || event_type || '"}' AS r FROM events),
 batches AS (SELECT batch_no, count(*) AS records, '[' || string_agg(r, ',' ORDER BY event_id) || ']' AS datas FROM rows GROUP BY batch_no)
 SELECT batch_no, records, md5(datas) AS signature,
-       md5('{"device_id":"app03001","app_id":"app03","datas":' || datas || ',"signature":"' || md5(datas) || '"}') AS body FROM batches""")
+       md5('{"device_id":"unit-7","app_id":"shop-2","datas":' || datas || ',"signature":"' || md5(datas) || '"}') AS body FROM batches""")
 def enveloped(spark, sf_dir):
-    constants = {"device_id": "app03001", "app_id": "app03"}
+    constants = {"device_id": "unit-7", "app_id": "shop-2"}
     out = rec.envelope(events(spark, sf_dir), ["event_id"], 500, constants, ["event_id", "event_type"])
     return out.withColumn("body", F.md5(F.col("body").cast("binary")))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,12 +70,12 @@ def _local_root() -> str:
     return tempfile.mkdtemp(prefix="tidemark-")
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def stage(df: DataFrame, name: str = "stage", parts: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` once to the shared folder, in folders by ``parts``, and read it back.
 
     Several outputs then share one computation that outlives lost executors,
     and each of them still gets column pruning and filter pushdown.
     """
     path = shared_folder(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").partitionBy(*parts).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -30,7 +30,9 @@ class StateTable:
         found = None
         try:
             rows = self.spark.read.schema(STATE_SCHEMA).parquet(self.path)
-        except AnalysisException:  # nothing stored yet
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":  # else nothing is stored yet
+                raise
             rows = None
         if rows is not None:
             last = F.max(F.struct("seq", "mark")).alias("last")

@@ -15,9 +15,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from tidemark.functions import ntz
 from tidemark.operators.numbering import number_rows
 
-# Up to this many leading rows a page comes from one top-k; deeper pages come
-# from the distributed row numbers.
-TOP_ROWS = 100_000
 
 MARKER = re.compile(r"#\[\s*(\w+)[^\]]*\]")
 FRAGMENT = re.compile(r"@\{\s*(\w+)\s*\}")
@@ -184,14 +181,12 @@ def slice_scan(df: DataFrame, id_col: str, slice_id: int, slice_max: int) -> Dat
 
 
 def page(df: DataFrame, order_cols: Sequence[str], offset: int, size: int) -> DataFrame:
-    """Rows ``offset`` .. ``offset + size - 1`` in the given order (which must identify a row).
+    """Rows ``offset`` .. ``offset + size - 1`` in the given order (which must identify a row), sorted by it.
 
-    A page near the start is a top-k. A deep page would make one task sort all
-    rows before it, so it is cut out of the distributed row numbers instead.
+    A page of any depth is cut out of the distributed row numbers; ``page_after`` goes
+    through a table page by page without numbering it.
     """
-    if offset + size <= TOP_ROWS:
-        return df.orderBy(*order_cols).offset(offset).limit(size)
-    return number_rows(df, order_cols, "_row_no", only=(offset, offset + size - 1)).drop("_row_no")
+    return number_rows(df, order_cols, "_row_no", only=(offset, offset + size - 1)).drop("_row_no").orderBy(*order_cols)
 
 
 def page_after(df: DataFrame, order_cols: Sequence[str], after: Sequence[Any] | None, size: int) -> DataFrame:

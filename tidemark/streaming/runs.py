@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemark.operators.changes import flatten_changes
 from tidemark.sinks.tables import Sink, append_changes, fan_out
@@ -44,13 +44,39 @@ def drain(query: StreamingQuery, timeout_s: int | None = None) -> None:
         query.awaitTermination(timeout_s)
 
 
+def _dropped(progress: Any) -> int:
+    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in progress["stateOperators"])
+
+
 def late_rows(query: StreamingQuery) -> int:
-    """Rows that came later than the watermark and were dropped."""
-    return sum(
-        int(op.get("numRowsDroppedByWatermark", 0))
-        for progress in query.recentProgress
-        for op in progress["stateOperators"]
-    )
+    """Rows that came later than the watermark and were dropped.
+
+    A query keeps its newest batches only; beyond them this is an error, and a
+    ``LateRows`` listener, added before the query starts, has the whole number.
+    """
+    kept = query.recentProgress
+    limit = int(SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates"))
+    if len(kept) >= limit and kept[0]["batchId"] > 0:
+        raise ValueError("older batches are no longer known; add a LateRows listener before the query starts")
+    return sum(_dropped(p) for p in kept)
+
+
+class LateRows(StreamingQueryListener):
+    """Counts dropped rows of all batches: ``spark.streams.addListener(counter := LateRows())``."""
+
+    def __init__(self) -> None:
+        self.by_query: dict[str, int] = {}
+
+    def onQueryStarted(self, event: Any) -> None:
+        pass
+
+    def onQueryProgress(self, event: Any) -> None:
+        key = str(event.progress.id)
+        dropped = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        self.by_query[key] = self.by_query.get(key, 0) + dropped
+
+    def onQueryTerminated(self, event: Any) -> None:
+        pass
 
 
 def run_increment(scan: Callable[[Any], Increment], write: Callable[[DataFrame], None], state: StateTable, job_id: str,
