@@ -75,7 +75,8 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str], se
         seen = changes.groupBy(*keys).agg(last_seq(INSERT, "_ins"), last_seq(DELETE, "_del"))
         born = F.col("_ins").isNotNull() & (F.col("_del").isNull() | (F.col("_ins") > F.col("_del")))
         kept = F.col("_del").isNull() & F.coalesce(F.col("_old"), F.lit(False))
-        old = target.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).withColumn("_old", F.lit(True))
+        # The target is cut to the changed keys first, so a small batch does not shuffle it.
+        old = _having_key(target, last, keys).select(*[F.col(k).alias(f"_k_{k}") for k in keys]).withColumn("_old", F.lit(True))
         alive = seen.join(old, _same_key(seen, old, keys), "left").filter(born | kept)
         put = _having_key(put, alive, keys)
     types = dict(target.dtypes)

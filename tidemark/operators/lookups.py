@@ -68,8 +68,12 @@ def lookup_rows(df: DataFrame, dim: DataFrame, on: On, fields: Sequence[str], pr
 
 
 def mark_action(df: DataFrame, target: DataFrame, on: On, name: str = "_op") -> DataFrame:
-    """``U`` where the key exists in the target, else ``I``."""
-    seen = _keyed(target, on, F.lit(True), "_seen")
+    """``U`` where the key exists in the target, else ``I``.
+
+    The target is cut to the keys of ``df`` first, so a small batch does not shuffle it.
+    """
+    found = keep_if_in(target, df, {r: l for l, r in _pairs(on).items()})
+    seen = _keyed(found, on, F.lit(True), "_seen")
     joined = _left_join(df, seen, on)
     return joined.withColumn(name, F.when(F.col("_seen"), F.lit("U")).otherwise(F.lit("I"))).drop("_seen")
 
