@@ -5,13 +5,13 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.operators.changes import apply_changes
-from tidemark.operators.metrics import key_time_metric
+from tidemark.operators.metrics import MetricSpec, key_time_metric, multi_metric
 from tidemark.sinks.tables import read_changes
 from tidemark.sources.state import StateTable
 from tidemark.sources.tables import incremental_scan
 from tidemark.streaming import (
-    drain, file_stream, late_rows, latest_counts, run_increment, stream_apply, stream_key_time_metric,
-    trigger_options, write_updates,
+    drain, file_stream, late_rows, latest_counts, latest_metrics, run_increment, stream_apply, stream_key_time_metric,
+    stream_multi_metric, trigger_options, write_updates,
 )
 
 SCHEMA = "id bigint, k string, ts timestamp_ntz"
@@ -128,3 +128,30 @@ def test_events_as_stream_keep_all_windows(spark, sf_dir, tmp_path):
     got = latest_counts(spark, str(tmp_path / "o"), ["metric", "data_time"], stream.schema)
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     assert got.agg(F.sum("count")).first()[0] == events.count()
+
+
+def test_several_metrics_of_a_stream_equal_their_batch(spark, tmp_path):
+    path = str(tmp_path / "in")
+    for i in range(4):
+        write(spark, path, [(j, None if j % 7 == 0 else f"k{j % 3}", at(i * 200 + j)) for j in range(60)])
+    specs = [
+        MetricSpec("week", "k", "week"), MetricSpec("all", "k"),
+        MetricSpec("late_day", "id", "day", time=F.col("ts") + F.expr("INTERVAL 5 HOURS"), where=F.col("k") != "k1"),
+    ]
+    records = spark.read.parquet(path)
+    stream = stream_multi_metric(file_stream(spark, path, records.schema, max_files=1), specs, "ts", delay="60 days")
+    drain(write_updates(stream, str(tmp_path / "out"), str(tmp_path / "ckpt")))
+    got = latest_metrics(spark, str(tmp_path / "out"), specs, stream.schema)
+    assert set(map(tuple, got.collect())) == set(map(tuple, multi_metric(records, specs, "ts").select(*got.columns).collect()))
+
+
+def test_stream_metrics_are_counts_of_fixed_units(spark, tmp_path):
+    path = str(tmp_path / "in")
+    write(spark, path, [(1, "a", at(0))])
+    sdf = file_stream(spark, path, spark.read.parquet(path).schema)
+    with pytest.raises(ValueError, match="counts"):
+        stream_multi_metric(sdf, [MetricSpec("m", "k", "day", aggs={"s": F.sum("id")})], "ts")
+    with pytest.raises(ValueError, match="unit"):
+        stream_multi_metric(sdf, [MetricSpec("m", "k", "day")], "ts", unit="week")
+    with pytest.raises(ValueError, match="no time"):
+        stream_multi_metric(sdf, [MetricSpec("m", "k", "day")])

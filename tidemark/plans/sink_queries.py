@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.changes import apply_changes
 from tidemark.operators.metrics import MetricSpec, multi_metric, roll_up, with_labels
@@ -18,12 +18,15 @@ from tidemark.sources.records import change_feed
 from tidemark.sources.state import StateTable
 from tidemark.sources.tables import incremental_scan
 from tidemark.streaming import (
+    file_stream,
     latest_counts,
+    latest_metrics,
     run_increment,
     stream_apply,
     stream_fan_out,
     stream_key_metric,
     stream_key_time_metric,
+    stream_multi_metric,
     write_updates,
 )
 
@@ -264,14 +267,61 @@ def streamed_months(spark, sf_dir):
     return roll_up(streamed_counts(spark, stream, ["metric", "data_time"]), "month")
 
 
-@query("W4_restart", "SELECT event_type AS metric, 2 AS runs, count(*) AS count FROM events GROUP BY 1")
-def restarted(spark, sf_dir):
-    """The second run goes on at the checkpoint and finds nothing new to count."""
-    path, checkpoint = shared_folder(spark, "updates"), shared_folder(spark, "checkpoint")
-    for _ in range(2):
-        stream = stream_key_metric(stream_of(spark, sf_dir, "events"), "event_type")
+@query("W1_stream_multi_metric", f"""
+SELECT 'type_by_week' AS metric_type, * FROM ({bucketed('event_type', 'week')})
+UNION ALL SELECT 'user_by_month', CAST(user_id AS VARCHAR), date_trunc('month', ts + INTERVAL 36 HOUR), count(*)
+FROM events WHERE event_type <> 'error' GROUP BY 2, 3
+UNION ALL SELECT 'type', event_type, NULL, count(*) FROM events GROUP BY 2""")
+def streamed_metrics(spark, sf_dir):
+    """Metrics with own keys, times, filters and windows over one stream, with a restart in between."""
+    specs = [
+        MetricSpec("type_by_week", "event_type", "week"),
+        MetricSpec("user_by_month", "user_id", "month", time=F.col("ts") + F.expr("INTERVAL 36 HOURS"), where=F.col("event_type") != "error"),
+        MetricSpec("type", "event_type"),
+    ]
+
+    def counts(rows: DataFrame) -> DataFrame:
+        # The second files hold older rows too: nothing is to be late here.
+        return stream_multi_metric(rows, specs, "ts", delay="36500 days")
+
+    path, schema = in_two_runs(spark, events(spark, sf_dir), F.col("event_id") % 2 == 1, counts)
+    return latest_metrics(spark, path, specs, schema)
+
+
+LATE_CUT = "SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events"
+
+
+@query("W1_late_rows", f"""
+WITH parts AS (SELECT *, ts >= ({LATE_CUT}) OR event_id % 10 = 0 AS second FROM events),
+     mark AS (SELECT max(ts) - INTERVAL 100 SECOND AS m FROM parts WHERE NOT second)
+SELECT event_type AS metric, date_trunc('day', ts) AS data_time, count(*) AS count FROM parts
+WHERE NOT second OR date_trunc('day', ts) + INTERVAL 1 DAY > (SELECT m FROM mark) GROUP BY 1, 2""")
+def late_days(spark, sf_dir):
+    """The second run brings newer rows, and old ones that come behind the watermark: those are dropped."""
+    rows = events(spark, sf_dir)
+    first, last = rows.agg(F.min("ts"), F.max("ts")).first()
+    late = (F.col("ts") >= F.lit(first + (last - first) / 2)) | (F.col("event_id") % 10 == 0)
+    path, schema = in_two_runs(spark, rows, late, lambda sdf: stream_key_time_metric(sdf, "event_type", "ts", "day", "100 seconds"))
+    return latest_counts(spark, path, ["metric", "data_time"], schema)
+
+
+def in_two_runs(spark: SparkSession, rows: DataFrame, second, counts) -> tuple[str, T.StructType]:
+    """Write some files, run the stream, write the files of the ``second`` rows, run it again: updates and their schema."""
+    source, path, checkpoint = shared_folder(spark, "arriving"), shared_folder(spark, "updates"), shared_folder(spark, "checkpoint")
+    for part in (~second, second):
+        rows.where(part).write.mode("append").parquet(source)
+        stream = counts(file_stream(spark, source, rows.schema))
         write_updates(stream, path, checkpoint).awaitTermination()
-    return latest_counts(spark, path, ["metric"], stream.schema).withColumn("runs", F.lit(2))
+    return path, stream.schema
+
+
+@query("W4_restart", """
+SELECT CAST(0 AS BIGINT) AS batch_id, event_type AS metric, count(*) AS count FROM events WHERE event_id % 2 = 0 GROUP BY 2
+UNION ALL SELECT 1, event_type, count(*) FROM events GROUP BY 2 HAVING count(*) FILTER (event_id % 2 = 1) > 0""")
+def restarted(spark, sf_dir):
+    """What each run wrote: the second goes on at the checkpoint, with files that came in between."""
+    path, schema = in_two_runs(spark, events(spark, sf_dir), F.col("event_id") % 2 == 1, lambda sdf: stream_key_metric(sdf, "event_type"))
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])).parquet(path)
 
 
 @query("W5_periodic_increment", "SELECT 0 AS run, max(event_id) AS mark, count(*) AS n FROM events")

@@ -1,7 +1,9 @@
 from tidemark.streaming.metrics import (
     latest_counts,
+    latest_metrics,
     stream_key_metric,
     stream_key_time_metric,
+    stream_multi_metric,
     write_updates,
 )
 from tidemark.streaming.runs import (
@@ -15,6 +17,6 @@ from tidemark.streaming.runs import (
 )
 
 __all__ = [
-    "drain", "file_stream", "late_rows", "latest_counts", "run_increment", "stream_apply",
-    "stream_fan_out", "stream_key_metric", "stream_key_time_metric", "trigger_options", "write_updates",
+    "drain", "file_stream", "late_rows", "latest_counts", "latest_metrics", "run_increment", "stream_apply",
+    "stream_fan_out", "stream_key_metric", "stream_key_time_metric", "stream_multi_metric", "trigger_options", "write_updates",
 ]

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.metrics import UNKNOWN, key_or_default
+from tidemark.functions.times import bucket
+from tidemark.operators.metrics import UNKNOWN, MetricSpec, key_or_default
 from tidemark.streaming.runs import trigger_options
 
 
@@ -40,6 +41,47 @@ def stream_key_metric(sdf: DataFrame, key: Column | str, default: str = UNKNOWN)
     return sdf.groupBy(key_or_default(key, default).alias("metric")).agg(F.count(F.lit(1)).alias("count"))
 
 
+def stream_multi_metric(sdf: DataFrame, specs: Sequence[MetricSpec], time: Column | str | None = None, unit: str = "day",
+                        delay: str = "0 seconds") -> DataFrame:
+    """Several counted metrics over one stream: ``metric_type``, ``metric``, ``data_time``, ``count``.
+
+    Keys, conditions and event times are those of each metric. All are counted by
+    ``unit``, so that only the open units are kept; ``latest_metrics`` rolls what was
+    written up to the window of each metric. The watermark follows the newest of all
+    times; ``delay`` has to cover how far the times of a record lie apart.
+    """
+    if unit not in FIXED_WINDOWS:
+        raise ValueError(f"unit must be one of {tuple(FIXED_WINDOWS)}")
+    if any(s.aggs or s.first for s in specs):
+        raise ValueError("metrics of a stream are counts; other aggregates cannot be rolled up")
+    if len({s.name for s in specs}) < len(specs):
+        raise ValueError("metric names must differ")
+
+    def entry(spec: MetricSpec) -> Column:
+        own = spec.time if spec.time is not None else time
+        if own is None:
+            raise ValueError(f"metric {spec.name!r} has no time")
+        when = (F.col(own) if isinstance(own, str) else own).cast("timestamp")
+        value = F.struct(F.lit(spec.name).alias("metric_type"), key_or_default(spec.key, spec.default).alias("metric"), when.alias("time"))
+        return value if spec.where is None else F.when(spec.where, value)
+
+    rows = sdf.select(F.explode(F.array_compact(F.array(*[entry(s) for s in specs]))).alias("entry")).select("entry.*")
+    counts = rows.withWatermark("time", delay).groupBy("metric_type", "metric", F.window("time", FIXED_WINDOWS[unit]).alias("_w")).agg(
+        F.count(F.lit(1)).alias("count")
+    )
+    return counts.select("metric_type", "metric", F.col("_w.start").cast("timestamp_ntz").alias("data_time"), "count")
+
+
+def latest_metrics(spark: SparkSession, path: str, specs: Sequence[MetricSpec], schema: T.StructType) -> DataFrame:
+    """The newest counts out of the stored updates, by the window of each metric (none: over all time)."""
+    counts = latest_counts(spark, path, ["metric_type", "metric", "data_time"], schema)
+    start = F.lit(None).cast("timestamp_ntz")
+    for spec in specs:
+        if spec.window is not None:
+            start = F.when(F.col("metric_type") == spec.name, bucket("data_time", spec.window)).otherwise(start)
+    return counts.withColumn("data_time", start).groupBy("metric_type", "metric", "data_time").agg(F.sum("count").alias("count"))
+
+
 def write_updates(stream: DataFrame, path: str, checkpoint: str, idle_s: float | None = None) -> StreamingQuery:
     """Write running counts: each micro-batch replaces its own folder, so a
     replayed batch counts once. No window is held back at the end."""
