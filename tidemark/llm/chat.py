@@ -57,8 +57,10 @@ def events_of(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     """
     known = rows.select(named(conv_col).alias("conv"), named(turn_col).alias("turn"), text_of(role_col).alias("role"), text_of(text_col).alias("body"))
     numbered = known.withColumn("message", F.row_number().over(Window.partitionBy("conv").orderBy("turn", "role", "body")).cast("long"))
-    steps = F.sequence(F.lit(0), F.greatest(F.ceil(F.length("body") / delta_chars).cast("int") - 1, F.lit(0)))
-    deltas = F.transform(steps, lambda i: F.struct(i.cast("long").alias("seq"), F.substring(F.col("body"), i * delta_chars + 1, F.lit(delta_chars)).alias("text")))
+    # One pass over a text of any length; an empty one is one empty delta.
+    cut = F.regexp_extract_all("body", F.lit(f"(?s).{{1,{delta_chars}}}"), F.lit(0))
+    cut = F.when(F.col("body") == "", F.array(F.lit(""))).otherwise(cut)
+    deltas = F.transform(cut, lambda text, i: F.struct(i.cast("long").alias("seq"), text.alias("text")))
     return numbered.select("conv", "message", "role", F.inline(deltas)).select("conv", "message", "seq", F.lit(DELTA).alias("kind"), "role", "text")
 
 

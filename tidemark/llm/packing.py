@@ -34,6 +34,8 @@ END_ID = 2
 GROUP_TOKENS = 1 << 22
 # Words whose ids a task remembers; beyond that it starts to remember anew.
 KNOWN_WORDS = 1 << 20
+# Longer words are remembered for their batch only.
+KEPT_BYTES = 64
 # New words that the tokenizer gets at once.
 NEW_WORDS = 1 << 13
 
@@ -74,7 +76,11 @@ class Encoder:
         new = [w for w in set().union(*split) if w not in known]
         for at in range(0, len(new), NEW_WORDS):
             self._learn(new[at:at + NEW_WORDS])
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        for word in new:
+            if len(word) > KEPT_BYTES:
+                del known[word]
+        return out
 
 
 def _encoder(path: str, by_word: bool) -> Encoder:
