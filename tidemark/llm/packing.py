@@ -32,10 +32,9 @@ from tidemark.session import stage
 LENGTH = 4096
 END_ID = 2
 GROUP_TOKENS = 1 << 22
-# Words whose ids a task remembers; beyond that it starts to remember anew.
+# Words, and bytes of them, whose ids a task remembers; beyond that it starts to remember anew.
 KNOWN_WORDS = 1 << 20
-# Longer words are remembered for their batch only.
-KEPT_BYTES = 64
+KNOWN_BYTES = 1 << 25
 # New words that the tokenizer gets at once.
 NEW_WORDS = 1 << 13
 
@@ -52,6 +51,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = by_word
         self.known: dict[bytes, bytes] = {}
+        self.known_bytes = 0
 
     def _learn(self, words: list[bytes]) -> None:
         """Encode words in one line; the places of the tokens tell the words apart."""
@@ -70,17 +70,15 @@ class Encoder:
             return [np.array(self.tokenizer.encode(t.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
         # bytes.split() cuts at ASCII white space, which the tokenizer drops.
         split = [t.split() for t in texts]
-        if len(self.known) > KNOWN_WORDS:
+        if len(self.known) > KNOWN_WORDS or self.known_bytes > KNOWN_BYTES:
             self.known.clear()
+            self.known_bytes = 0
         known = self.known
         new = [w for w in set().union(*split) if w not in known]
         for at in range(0, len(new), NEW_WORDS):
             self._learn(new[at:at + NEW_WORDS])
-        out = [b"".join(map(known.__getitem__, words)) for words in split]
-        for word in new:
-            if len(word) > KEPT_BYTES:
-                del known[word]
-        return out
+        self.known_bytes += sum(map(len, new))
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
 def _encoder(path: str, by_word: bool) -> Encoder:
