@@ -143,3 +143,19 @@ def test_a_hot_key_is_split_over_tasks(spark):
         for key in conf:
             spark.conf.unset(key)
     assert "skew=true" in plan
+
+
+def test_attach_embedding_takes_the_first_vector_in_order(spark):
+    emb = spark.createDataFrame([(1, 2, [1.0]), (1, 1, [5.0]), (2, 1, [3.0])], "k bigint, version int, embedding array<double>")
+    ok, rejected = lk.attach_embedding(spark.range(1, 4).toDF("k"), emb, "k", order_cols=["version"])
+    assert sorted((r.k, r.embedding) for r in ok.collect()) == [(1, [5.0]), (2, [3.0])]
+    assert [r.k for r in rejected.collect()] == [3]
+
+
+def test_mark_action_cuts_the_target_to_the_batch_first(spark):
+    target = spark.range(1_000_000).withColumn("v", F.col("id") * 2)
+    batch = spark.createDataFrame([(5,), (-1,), (None,)], "id bigint")
+    marked = lk.mark_action(batch, target, "id")
+    assert {(r.id, r._op) for r in marked.collect()} == {(5, "U"), (-1, "I"), (None, "I")}
+    plan = marked._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan

@@ -93,10 +93,15 @@ def decode_dim(df: DataFrame, code: str, names: DataFrame, name_col: str, alias:
     return _left_join(df, found, {code: key or code}).withColumn(alias, text).drop("_name")
 
 
-def attach_embedding(df: DataFrame, emb: DataFrame, on: On, vec_col: str = "embedding") -> tuple[DataFrame, DataFrame]:
-    """Records with their vector, and the ones that have none."""
+def attach_embedding(
+    df: DataFrame, emb: DataFrame, on: On, vec_col: str = "embedding", order_cols: Sequence[str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Records with their vector, and the ones that have none.
+
+    Of several vectors per key the first in ``order_cols`` counts (the vector itself by default).
+    """
     pairs = _pairs(on)
-    one = _keyed(emb, on, F.min_by(vec_col, F.col(vec_col)), vec_col)
+    one = _keyed(emb, on, F.min_by(vec_col, F.struct(*(order_cols or [vec_col]))), vec_col)
     return _left_join(df, one, on, "inner"), keep_if_in(df, emb, pairs, negate=True)
 
 

@@ -359,11 +359,13 @@ def streamed_changes(spark, sf_dir):
     return out.withColumn("price", F.round("price", 2))
 
 
-@query("W3_stream_fan_out", """
-SELECT 'all' AS sink, count(*) AS n FROM events UNION ALL SELECT 'errors', count(*) FROM events WHERE event_type = 'error'""")
+@query("W3_stream_fan_out", " UNION ALL ".join(f"""
+SELECT '{sink}' AS sink, CAST({batch} AS BIGINT) AS batch_id, count(*) AS n FROM events WHERE event_id % 2 = {batch} AND {condition}"""
+    for sink, condition in (("all", "true"), ("errors", "event_type = 'error'")) for batch in (0, 1)))
 def streamed_outputs(spark, sf_dir):
-    path = shared_folder(spark, "stream-out")
-    rows = stream_of(spark, sf_dir, "events").select("event_id", "event_type")
+    """Two runs with files in between: each takes the new files only, as one batch to all outputs."""
+    rows = events(spark, sf_dir).select("event_id", "event_type")
+    source, path, checkpoint = shared_folder(spark, "arriving"), shared_folder(spark, "stream-out"), shared_folder(spark, "checkpoint")
 
     def sinks(batch_id: int) -> list[tb.Sink]:
         def to(name: str):
@@ -371,10 +373,12 @@ def streamed_outputs(spark, sf_dir):
 
         return [tb.Sink("all", to("all")), tb.Sink("errors", to("errors"), filter=F.col("event_type") == "error")]
 
-    stream_fan_out(rows, sinks, shared_folder(spark, "checkpoint")).awaitTermination()
+    for odd in (0, 1):
+        rows.where(F.col("event_id") % 2 == odd).write.mode("append").parquet(source)
+        stream_fan_out(file_stream(spark, source, rows.schema), sinks, checkpoint).awaitTermination()
 
     def count(name: str) -> DataFrame:
-        found = spark.read.schema(rows.schema).parquet(f"{path}/{name}")
-        return found.agg(F.lit(name).alias("sink"), F.count("*").alias("n"))
+        found = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("batch_id", T.LongType())])).parquet(f"{path}/{name}")
+        return found.groupBy("batch_id").agg(F.count("*").alias("n")).select(F.lit(name).alias("sink"), "batch_id", "n")
 
     return count("all").unionByName(count("errors"))
