@@ -74,11 +74,16 @@ class Encoder:
             self.known.clear()
             self.known_bytes = 0
         known = self.known
-        new = [w for w in set().union(*split) if w not in known]
+        found = [list(map(known.get, words)) for words in split]
+        lacking = [None in ids for ids in found]
+        new = list({w for words, ids, lacks in zip(split, found, lacking, strict=True) if lacks for w, i in zip(words, ids, strict=True) if i is None})
         for at in range(0, len(new), NEW_WORDS):
             self._learn(new[at:at + NEW_WORDS])
         self.known_bytes += sum(map(len, new))
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        return [
+            b"".join(map(known.__getitem__, words) if lacks else ids)
+            for words, ids, lacks in zip(split, found, lacking, strict=True)
+        ]
 
 
 def _encoder(path: str, by_word: bool) -> Encoder:
