@@ -127,3 +127,13 @@ def test_merge_is_refused_by_plain_files(spark, tmp_path):
             tb.merge_into(changes, "plain_target", ["id"])
     finally:
         spark.sql("DROP TABLE plain_target")
+
+
+def test_the_copy_of_a_fan_out_goes(spark, tmp_path, monkeypatch):
+    import tidemark.session as session
+
+    monkeypatch.setattr(session, "shared_folder", lambda spark, name: str(tmp_path / name))
+    sinks = [tb.Sink(n, lambda df, n=n: tb.overwrite(df, str(tmp_path / n))) for n in ("a", "b")]
+    tb.fan_out(spark.range(5), sinks)
+    assert spark.read.parquet(str(tmp_path / "a")).count() == spark.read.parquet(str(tmp_path / "b")).count() == 5
+    assert not (tmp_path / "fan-out").exists()

@@ -140,6 +140,19 @@ def test_csv_scan(spark, tmp_path):
     assert rows(fs.csv_scan(spark, str(tmp_path), mapping, skip_lines=2)) == wanted
 
 
+def test_lines_to_skip_go_on_in_later_blocks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("".join(f"title {i}\n" for i in range(100)) + "".join(f"{i},n{i}\n" for i in range(40)))
+    (tmp_path / "b.csv").write_text("only titles\n" * 7)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = fs.csv_scan(spark, str(tmp_path), {0: "id", 1: "name"}, skip_lines=100)
+        assert sorted(int(r.id) for r in got.collect()) == list(range(40))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_gb2312_files(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes("编号,名称\n1,解放\n2,小康\n".encode("gb2312"))
     assert rows(fs.text_lines(spark, str(tmp_path), "GB2312").select("line")) == [("1,解放",), ("2,小康",), ("编号,名称",)]

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.changes import apply_changes
 from tidemark.operators.metrics import MetricSpec, key_time_metric, multi_metric
+from tidemark.session import store_batch
 from tidemark.sinks.tables import read_changes
 from tidemark.sources.state import StateTable
 from tidemark.sources.tables import incremental_scan
 from tidemark.streaming import (
     drain, file_stream, late_rows, latest_counts, latest_metrics, run_increment, stream_apply, stream_key_time_metric,
-    stream_multi_metric, trigger_options, write_updates,
+    store_partials, stored_partials, stream_multi_metric, trigger_options, write_updates,
 )
 
 SCHEMA = "id bigint, k string, ts timestamp_ntz"
@@ -155,3 +156,45 @@ def test_stream_metrics_are_counts_of_fixed_units(spark, tmp_path):
         stream_multi_metric(sdf, [MetricSpec("m", "k", "day")], "ts", unit="week")
     with pytest.raises(ValueError, match="no time"):
         stream_multi_metric(sdf, [MetricSpec("m", "k", "day")])
+
+
+def folders(path):
+    return sorted(int(p.name.partition("=")[2]) for p in path.iterdir() if p.name.startswith("batch_id="))
+
+
+def test_stored_updates_are_compacted(spark, tmp_path):
+    path = str(tmp_path / "in")
+    for i in range(8):
+        write(spark, path, [(i * 10 + j, f"k{j % 3}", at(i)) for j in range(10)])
+    stream = stream_key_time_metric(file_stream(spark, path, spark.read.parquet(path).schema, max_files=1), "k", "ts", "day", "10 days")
+    drain(write_updates(stream, str(tmp_path / "out"), str(tmp_path / "ckpt"), every=3))
+    # Batch 6 holds all before it, and batch 7 has removed them.
+    assert folders(tmp_path / "out") == [6, *range(7, max(folders(tmp_path / "out")) + 1)]
+    got = latest_counts(spark, str(tmp_path / "out"), ["metric", "data_time"], stream.schema)
+    assert rows(got) == [("k0", at(0), 32), ("k1", at(0), 24), ("k2", at(0), 24)]
+
+
+def test_a_replayed_compaction_changes_nothing(spark, tmp_path):
+    out = str(tmp_path / "out")
+    schema = spark.createDataFrame([], "k string, count bigint").schema
+
+    def merge(df):
+        return df.groupBy("k").agg(F.sum("count").alias("count"))
+
+    for batch in (0, 1, 2, 2, 3, 3, 4, 4, 5):
+        store_batch(spark.createDataFrame([("a", 10**batch)], schema), out, batch, merge, every=2)
+    assert folders(tmp_path / "out") == [4, 5]
+    assert rows(stored_partials(spark, out, schema, merge)) == [("a", 111111)]
+
+
+def test_partials_of_an_empty_stream(spark, tmp_path):
+    path = str(tmp_path / "in")
+    write(spark, path, [])
+    schema = spark.read.parquet(path).schema
+
+    def count(df):
+        return df.groupBy("k").agg(F.count("*").alias("count"))
+
+    query = store_partials(file_stream(spark, path, schema), count, lambda df: df, str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    drain(query)
+    assert not query.exception()

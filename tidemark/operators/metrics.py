@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
@@ -183,7 +184,7 @@ SEARCH_EVENT = "xcxsearchEventClick"
 SHOW_EVENT = "imp"
 
 
-def user_behaviour_metric(
+def behaviour_words(
     df: DataFrame,
     order_cols: Sequence[str],
     user: str = "USER",
@@ -195,16 +196,10 @@ def user_behaviour_metric(
     update_time: str = "UPDATE_TIME",
     events: tuple[str, str, str] = (PAGE_EVENT, SEARCH_EVENT, SHOW_EVENT),
 ) -> DataFrame:
-    """Behaviour of a user per day.
+    """Distinct words of a user's day: ``metric``, ``data_time``, ``word``, ``first``, ``pages``, ``events``.
 
-    ``mobile``, ``create_time``, ``update_time`` come from the first record in
-    ``order_cols`` order, ``active_level`` counts page events, and ``qry_msg``
-    joins search words and scenes by ``;`` in that order, leaving out a word that
-    the text so far contains.
-
-    Only the first use of a word can add to the text, because the text never
-    shrinks. So rows are reduced to distinct words first, spread by word over
-    the cluster, and a busy user's day arrives as its vocabulary.
+    Parts of the records can be reduced one by one and put together by
+    ``merge_behaviour_words``, as a stream does.
     """
     page, search, show = events
     key = F.col(event)
@@ -213,7 +208,7 @@ def user_behaviour_metric(
     head = F.struct(
         F.col(user).alias("mobile"), F.col(create_time).alias("create_time"), F.col(update_time).alias("update_time")
     )
-    words = (
+    return (
         df.select(
             key_or_default(user).alias("metric"), bucket(time, "day").alias("data_time"),
             word.alias("word"), order.alias("ord"), head.alias("head"), (key == page).alias("page"),
@@ -225,6 +220,17 @@ def user_behaviour_metric(
             F.count(F.lit(1)).alias("events"),
         )
     )
+
+
+def merge_behaviour_words(words: DataFrame) -> DataFrame:
+    """One row per word of a user's day out of several partial ones."""
+    return words.groupBy("metric", "data_time", "word").agg(
+        F.min("first").alias("first"), F.sum("pages").alias("pages"), F.sum("events").alias("events")
+    )
+
+
+def behaviour_days(words: DataFrame) -> DataFrame:
+    """Behaviour of a user per day, out of the distinct words of it."""
     said = F.when(F.col("word").isNotNull(), F.struct(F.col("first.ord").alias("ord"), F.col("word").alias("word")))
     days = words.groupBy("metric", "data_time").agg(
         F.min("first").alias("first"),
@@ -237,6 +243,21 @@ def user_behaviour_metric(
     )
 
 
+def user_behaviour_metric(df: DataFrame, order_cols: Sequence[str], **columns: Any) -> DataFrame:
+    """Behaviour of a user per day.
+
+    ``mobile``, ``create_time``, ``update_time`` come from the first record in
+    ``order_cols`` order, ``active_level`` counts page events, and ``qry_msg``
+    joins search words and scenes by ``;`` in that order, leaving out a word that
+    the text so far contains. ``columns`` are those of ``behaviour_words``.
+
+    Only the first use of a word can add to the text, because the text never
+    shrinks. So rows are reduced to distinct words first, spread by word over
+    the cluster, and a busy user's day arrives as its vocabulary.
+    """
+    return behaviour_days(behaviour_words(df, order_cols, **columns))
+
+
 def _join_new_words(said: str, sep: str = ";") -> Column:
     def add(text: Column, item: Column) -> Column:
         fresh = item["word"]

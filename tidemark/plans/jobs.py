@@ -7,14 +7,17 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import ntz
 from tidemark.operators.changes import apply_changes, flatten_changes
-from tidemark.operators.metrics import LABELS, MetricSpec, multi_metric, user_behaviour_metric
+from tidemark.operators.metrics import LABELS, MetricSpec, merge_partials, multi_metric, user_behaviour_metric
 from tidemark.operators.transforms import add_fields, clean_behaviour, strip_temp
-from tidemark.session import stage
+from tidemark.session import stage, staged, store_batch
 from tidemark.sinks.tables import Sink, fan_out
 from tidemark.sources.records import change_feed
+from tidemark.streaming.metrics import COMPACT_EVERY
+from tidemark.streaming.runs import trigger_options
 
 
 @dataclass(frozen=True)
@@ -39,11 +42,33 @@ class Job:
 
     def run(self, df: DataFrame) -> None:
         """The records are computed once, into the shared folder. Outputs and
-        metrics read from there, each only the columns it needs."""
-        rows = stage(self.prepare(df), "job")
-        fan_out(strip_temp(rows), self.outputs, staged=False)
-        if self.metrics and self.metric_sink is not None:
-            self.metric_sink(multi_metric(rows, self.metrics, self.time, self.labels))
+        metrics read from there, each only the columns it needs; then the copy goes."""
+        with staged(self.prepare(df), "job") as rows:
+            fan_out(strip_temp(rows), self.outputs, computed=False)
+            if self.metrics and self.metric_sink is not None:
+                self.metric_sink(multi_metric(rows, self.metrics, self.time, self.labels))
+
+    def stream(self, sdf: DataFrame, outputs: Callable[[int], Sequence[Sink]], metric_path: str, checkpoint: str,
+               idle_s: float | None = None, every: int = COMPACT_EVERY) -> StreamingQuery:
+        """The job over a stream. ``outputs`` gets the id of the micro-batch, for folders that a replay
+        replaces; the counts of each batch are stored under ``metric_path`` and added up by
+        ``stored_partials(…, add_up)``."""
+        if any(s.aggs or s.first for s in self.metrics):
+            raise ValueError("metrics of a stream are counts")
+
+        def put(batch: DataFrame, batch_id: int) -> None:
+            with staged(self.prepare(batch), "job") as rows:
+                fan_out(strip_temp(rows), outputs(batch_id), computed=False)
+                if self.metrics:
+                    store_batch(multi_metric(rows, self.metrics, self.time), metric_path, batch_id, add_up, every)
+
+        writer = sdf.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
+        return writer.trigger(**trigger_options(idle_s)).start()
+
+
+def add_up(partials: DataFrame) -> DataFrame:
+    """Counts of several metrics out of partial ones."""
+    return merge_partials(partials, ["metric_type", "metric", "data_time"])
 
 
 def detail_and_metrics(df: DataFrame, specs: Sequence[MetricSpec], time: str | Column | None = None,

@@ -215,7 +215,7 @@ def own_time(spark, sf_dir):
 WORD_SQL = "CAST(CAST(json_extract(props, '$.k') AS INT) AS VARCHAR)"
 
 
-@query("A9_user_behaviour", f"""
+BEHAVIOUR_SQL = f"""
 WITH rows AS (
   SELECT CAST(user_id AS VARCHAR) AS metric, date_trunc('day', ts) AS data_time, ts, event_id, event_type, {WORD_SQL} AS word
   FROM events),
@@ -228,16 +228,23 @@ days AS (
          count(*) AS events
   FROM rows GROUP BY ALL)
 SELECT days.metric, days.data_time, mobile, create_time, create_time AS update_time, active_level, qry_msg, events
-FROM days LEFT JOIN texts ON days.metric = texts.metric AND days.data_time = texts.data_time""")
-def behaviour(spark, sf_dir):
+FROM days LEFT JOIN texts ON days.metric = texts.metric AND days.data_time = texts.data_time"""
+BEHAVIOUR = {
+    "order_cols": ["ts", "event_id"], "time": "ts", "search_word": "word", "scene": "word", "create_time": "ts", "update_time": "ts",
+    "events": ("view", "click", "purchase"),
+}
+
+
+def behaviour_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     word = F.from_json("props", "k int")["k"].cast("string")
-    rows = events(spark, sf_dir).select(
+    return events(spark, sf_dir).select(
         "event_id", "ts", F.col("user_id").cast("string").alias("USER"), F.col("event_type").alias("EVENT_KEY"), word.alias("word")
     )
-    return mt.user_behaviour_metric(
-        rows, ["ts", "event_id"], time="ts", search_word="word", scene="word", create_time="ts", update_time="ts",
-        events=("view", "click", "purchase"),
-    )
+
+
+@query("A9_user_behaviour", BEHAVIOUR_SQL)
+def behaviour(spark, sf_dir):
+    return mt.user_behaviour_metric(behaviour_rows(spark, sf_dir), **BEHAVIOUR)
 
 
 @query("A9_custom_accumulator", """

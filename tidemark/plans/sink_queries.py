@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.changes import apply_changes
-from tidemark.operators.metrics import MetricSpec, multi_metric, roll_up, with_labels
+from tidemark.operators.metrics import (
+    MetricSpec, behaviour_days, behaviour_words, merge_behaviour_words, multi_metric, roll_up, with_labels,
+)
+from tidemark.operators.transforms import with_temp
 from tidemark.plans.change_queries import old_orders
-from tidemark.plans.jobs import Job
-from tidemark.plans.metric_queries import LABELS_SQL, LOG_METRICS, LOG_METRICS_SQL, bucketed
+from tidemark.plans.jobs import Job, add_up
+from tidemark.plans.metric_queries import BEHAVIOUR, BEHAVIOUR_SQL, LABELS_SQL, LOG_METRICS, LOG_METRICS_SQL, behaviour_rows, bucketed
 from tidemark.plans.registry import order_changes, query, table
 from tidemark.plans.scan_queries import stream_of
 from tidemark.session import shared_folder
@@ -22,6 +25,8 @@ from tidemark.streaming import (
     latest_counts,
     latest_metrics,
     run_increment,
+    store_partials,
+    stored_partials,
     stream_apply,
     stream_fan_out,
     stream_key_metric,
@@ -288,6 +293,47 @@ def streamed_metrics(spark, sf_dir):
     return latest_metrics(spark, path, specs, schema)
 
 
+@query("W1_stream_behaviour", BEHAVIOUR_SQL)
+def streamed_behaviour(spark, sf_dir):
+    """A user's day in two runs: its words come in parts, which every second batch puts together."""
+    rows = behaviour_rows(spark, sf_dir)
+    source, path, checkpoint = shared_folder(spark, "arriving"), shared_folder(spark, "words"), shared_folder(spark, "checkpoint")
+    for part in (F.col("event_id") % 3 != 0, F.col("event_id") % 3 == 0):
+        rows.where(part).repartition(2).write.mode("append").parquet(source)
+        stream = file_stream(spark, source, rows.schema, max_files=1)
+        store_partials(stream, lambda df: behaviour_words(df, **BEHAVIOUR), merge_behaviour_words, path, checkpoint, every=2).awaitTermination()
+    schema = behaviour_words(rows, **BEHAVIOUR).schema
+    return behaviour_days(stored_partials(spark, path, schema, merge_behaviour_words))
+
+
+@query("A17_stream_job", f"""
+SELECT 'detail' AS metric_type, event_type AS metric, NULL AS data_time, count(*) AS count FROM events GROUP BY 2
+UNION ALL SELECT 'by_month', * FROM ({bucketed('event_type', 'month')})
+UNION ALL SELECT 'by_user', CAST(user_id AS VARCHAR), NULL, count(*) FROM events GROUP BY 2""")
+def streamed_job(spark, sf_dir):
+    """Detail records and metrics out of the same micro-batches, in two runs."""
+    rows = events(spark, sf_dir).select("event_id", "user_id", "event_type", "ts")
+    job = Job(
+        transforms=[lambda df: with_temp(df, kind=F.col("event_type"))],
+        metrics=[MetricSpec("by_month", "_tmp_kind", "month"), MetricSpec("by_user", "user_id")], time="ts",
+    )
+    source, path, checkpoint = shared_folder(spark, "arriving"), shared_folder(spark, "job"), shared_folder(spark, "checkpoint")
+
+    def outputs(batch_id: int) -> list[tb.Sink]:
+        return [tb.Sink("detail", lambda df: tb.overwrite(df, f"{path}/detail/batch_id={batch_id}"))]
+
+    for part in (F.col("event_id") % 3 != 0, F.col("event_id") % 3 == 0):
+        rows.where(part).repartition(2).write.mode("append").parquet(source)
+        job.stream(file_stream(spark, source, rows.schema, max_files=1), outputs, f"{path}/metrics", checkpoint, every=2).awaitTermination()
+    detail = spark.read.schema(rows.schema).parquet(f"{path}/detail")
+    nothing = F.lit(None).cast("timestamp_ntz")
+    per_type = detail.groupBy(F.col("event_type").alias("metric")).agg(F.count("*").alias("count"))
+    schema = T.StructType.fromDDL("metric_type string, metric string, data_time timestamp_ntz, count bigint")
+    return stored_partials(spark, f"{path}/metrics", schema, add_up).unionByName(
+        per_type.withColumns({"metric_type": F.lit("detail"), "data_time": nothing})
+    )
+
+
 LATE_CUT = "SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events"
 
 

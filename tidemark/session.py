@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Runtime settings that the operators count on. Everything here can be changed
 # on a running session; sizes (memory, cores, shuffle partitions) stay with the
@@ -20,6 +21,9 @@ RUNTIME_CONF = {
     # where it costs one more shuffle further up.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Text in any charset of the JVM; bytes that are none of it become the replacement sign.
+    "spark.sql.legacy.javaCharsets": "true",
+    "spark.sql.legacy.codingErrorAction": "true",
     # Keeps the open windows of a stream on disk instead of in the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -76,6 +80,45 @@ def stage(df: DataFrame, name: str = "stage", parts: Sequence[str] = ()) -> Data
     Several outputs then share one computation that outlives lost executors,
     and each of them still gets column pruning and filter pushdown.
     """
-    path = shared_folder(df.sparkSession, name)
+    return _staged(df, shared_folder(df.sparkSession, name), parts)
+
+
+def _staged(df: DataFrame, path: str, parts: Sequence[str] = ()) -> DataFrame:
     df.write.mode("errorifexists").partitionBy(*parts).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def staged(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
+    """As ``stage``, for results that are written before the block ends: the copy then goes."""
+    path = shared_folder(df.sparkSession, name)
+    try:
+        yield _staged(df, path)
+    finally:
+        drop_folder(df.sparkSession, path)
+
+
+def drop_batches(spark: SparkSession, path: str, before: int) -> None:
+    """Remove the folders ``batch_id=<n>`` with n below ``before``."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    for found in folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder):
+        kind, _, number = found.getPath().getName().partition("=")
+        if kind == "batch_id" and int(number) < before:
+            drop_folder(spark, found.getPath().toString())
+
+
+def store_batch(batch: DataFrame, path: str, batch_id: int, merge: Callable[[DataFrame], DataFrame], every: int) -> None:
+    """Store what a micro-batch gives in a folder of its own, which a replay replaces.
+
+    Each ``every``-th batch takes in (``merge``, over rows with ``batch_id``) what was stored before it. The
+    folders it has taken in go with the next batch: a replay can no longer need them then.
+    """
+    spark, root = batch.sparkSession, path.rstrip("/")
+    if batch_id > every and (batch_id - 1) % every == 0:
+        drop_batches(spark, root, batch_id - 1)
+    if batch_id and batch_id % every == 0:
+        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        earlier = spark.read.schema(rows.schema).parquet(root).filter(F.col("batch_id") < batch_id)
+        batch = merge(earlier.unionByName(rows)).select(*batch.columns)
+    batch.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -17,7 +18,7 @@ from tidemark.functions import ntz, zero_pad
 from tidemark.operators.changes import DELETE, compact_changes
 from tidemark.operators.metrics import metrics_by_target
 from tidemark.operators.numbering import first_n, number_rows
-from tidemark.session import stage
+from tidemark.session import staged
 from tidemark.sinks.records import labelled
 
 DATE_PART = re.compile(r"\{dateformat=([^}]+)\}")
@@ -131,21 +132,23 @@ class Sink:
         return rows if self.transform is None else self.transform(rows)
 
 
-def fan_out(df: DataFrame, sinks: Sequence[Sink], staged: bool = True) -> None:
+def fan_out(df: DataFrame, sinks: Sequence[Sink], computed: bool = True) -> None:
     """One read, many outputs. The records are computed once into the shared
-    folder; each output then scans only its columns and rows."""
-    rows = stage(df, "fan-out") if staged and len(sinks) > 1 else df
-    for sink in sinks:
-        sink.write(sink.frame(rows))
+    folder; each output then scans only its columns and rows, and the copy goes
+    when the last one is written. Records that are a plain table already
+    (``computed=False``) are not copied."""
+    with staged(df, "fan-out") if computed and len(sinks) > 1 else nullcontext(df) as rows:
+        for sink in sinks:
+            sink.write(sink.frame(rows))
 
 
 def write_metrics(metrics: DataFrame, path: str, targets: Mapping[str, str], fields: Mapping[str, Mapping[str, str]] | None = None,
                   mode: str = "overwrite") -> None:
     """One table per metric type; ``fields`` renames columns per type."""
-    rows = stage(metrics, "metrics")
-    for name, frame in metrics_by_target(rows, list(targets)).items():
-        frame = frame.drop("metric_type").withColumnsRenamed(dict((fields or {}).get(name, {})))
-        frame.write.mode(mode).parquet(f"{path.rstrip('/')}/{targets[name]}")
+    with staged(metrics, "metrics") as rows:
+        for name, frame in metrics_by_target(rows, list(targets)).items():
+            frame = frame.drop("metric_type").withColumnsRenamed(dict((fields or {}).get(name, {})))
+            frame.write.mode(mode).parquet(f"{path.rstrip('/')}/{targets[name]}")
 
 
 def merge_into(changes: DataFrame, table: str, keys: Sequence[str], seq: str = "seq", op: str = "op") -> None:

@@ -11,7 +11,6 @@ from datetime import datetime, timedelta
 from typing import Any
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
@@ -99,11 +98,9 @@ def text_lines(spark: SparkSession, path: str | list[str], encoding: str = "UTF-
     if _is_utf8(encoding):
         return place
 
-    @F.pandas_udf("string")
-    def decode(data: pd.Series) -> pd.Series:
-        return data.map(lambda b: None if b is None else bytes(b).decode(encoding, "replace").rstrip("\r"))
-
-    return place.withColumn("line", decode(F.col("line").cast("binary")))
+    # The session's settings (``settle``) allow all charsets of the JVM.
+    decoded = F.decode(F.col("line").cast("binary"), encoding)
+    return place.withColumn("line", F.regexp_replace(decoded, r"\r+\z", ""))
 
 
 def _is_utf8(encoding: str) -> bool:
@@ -240,10 +237,11 @@ def csv_scan(
 
     lines = text_lines(spark, path, encoding)
     if skip_lines:
-        # Only the first block of a file can hold lines to skip.
-        first = lines.filter(F.col("block_start") == 0)
-        kept = first.withColumn("_no", F.row_number().over(_in_block())).filter(F.col("_no") > skip_lines)
-        lines = kept.drop("_no").unionByName(lines.filter(F.col("block_start") > 0))
+        # Blocks that begin within the lines to skip: mostly the first one of each file.
+        early = _sum_before_block(lines, F.lit(1), "_before").filter(F.col("_before") < skip_lines)
+        number = F.col("_before") + F.row_number().over(_in_block())
+        kept = lines.join(early, list(BLOCK)).withColumn("_no", number).filter(F.col("_no") > skip_lines)
+        lines = kept.select(*lines.columns).unionByName(lines.join(early, list(BLOCK), "left_anti").select(*lines.columns))
     parsed = F.from_csv(F.col("line"), schema.simpleString()[len("struct<"):-1].replace(":", " "),
                         {"sep": sep, "quote": quote, "escape": quote})
     return lines.filter(F.trim("line") != "").select(parsed.alias("r")).select("r.*").select(*cells)

@@ -1,6 +1,8 @@
 from tidemark.streaming.metrics import (
     latest_counts,
     latest_metrics,
+    store_partials,
+    stored_partials,
     stream_key_metric,
     stream_key_time_metric,
     stream_multi_metric,
@@ -17,6 +19,6 @@ from tidemark.streaming.runs import (
 )
 
 __all__ = [
-    "drain", "file_stream", "late_rows", "latest_counts", "latest_metrics", "run_increment", "stream_apply",
+    "drain", "file_stream", "late_rows", "latest_counts", "latest_metrics", "run_increment", "store_partials", "stored_partials", "stream_apply",
     "stream_fan_out", "stream_key_metric", "stream_key_time_metric", "stream_multi_metric", "trigger_options", "write_updates",
 ]

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.times import bucket
 from tidemark.operators.metrics import UNKNOWN, MetricSpec, key_or_default
+from tidemark.session import store_batch
 from tidemark.streaming.runs import trigger_options
 
 
+# Micro-batches between two compactions of what a stream has stored.
+COMPACT_EVERY = 64
 # Windows of fixed length. Spark forgets them when the watermark has passed.
 FIXED_WINDOWS = {"minute": "1 minute", "hour": "1 hour", "day": "1 day"}
 
@@ -82,12 +85,16 @@ def latest_metrics(spark: SparkSession, path: str, specs: Sequence[MetricSpec],
     return counts.withColumn("data_time", start).groupBy("metric_type", "metric", "data_time").agg(F.sum("count").alias("count"))
 
 
-def write_updates(stream: DataFrame, path: str, checkpoint: str, idle_s: float | None = None) -> StreamingQuery:
+def write_updates(stream: DataFrame, path: str, checkpoint: str, idle_s: float | None = None,
+                  every: int = COMPACT_EVERY) -> StreamingQuery:
     """Write running counts: each micro-batch replaces its own folder, so a
-    replayed batch counts once. No window is held back at the end."""
+    replayed batch counts once. No window is held back at the end. Each ``every``-th
+    batch takes in the newest counts of those before it, whose folders then go;
+    read the counts between runs."""
+    keys = [c for c in stream.columns if c != "count"]
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+        store_batch(batch, path, batch_id, lambda rows: _newest(rows, keys), every)
 
     writer = stream.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger_options(idle_s)).start()
@@ -97,4 +104,25 @@ def latest_counts(spark: SparkSession, path: str, keys: Sequence[str], schema: T
     """The newest count per key out of the stored updates."""
     full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
     rows = spark.read.schema(full).parquet(path)
+    return _newest(rows, keys)
+
+
+def _newest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.max_by("count", "batch_id").alias("count"))
+
+
+def store_partials(sdf: DataFrame, partial: Callable[[DataFrame], DataFrame], merge: Callable[[DataFrame], DataFrame],
+                   path: str, checkpoint: str, idle_s: float | None = None, every: int = COMPACT_EVERY) -> StreamingQuery:
+    """Any aggregate that can be merged, over a stream: ``partial`` reduces a micro-batch, ``merge`` puts
+    partial rows together. The stream keeps no state, and no row is too late."""
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        store_batch(partial(batch), path, batch_id, merge, every)
+
+    writer = sdf.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger_options(idle_s)).start()
+
+
+def stored_partials(spark: SparkSession, path: str, schema: T.StructType, merge: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``store_partials`` has stored so far, put together."""
+    return merge(spark.read.schema(schema).parquet(path))
