@@ -1,8 +1,9 @@
 """Quality classifier without hand labels: weak labellers, their accuracies, a hashed linear scorer.
 
 1. Every document is profiled in one pass (Arrow batches, numpy over the bytes), and
-   overlapping heuristics vote good, bad or nothing. Only the number of documents per
-   pattern of votes leaves the executors; there are at most 3^labellers of them,
+   overlapping heuristics vote good, bad or nothing. Votes and features are written once
+   to the shared folder; everything after reads them there. Only the number of documents
+   per pattern of votes leaves the executors; there are at most 3^labellers of them,
    however many documents there are.
 2. Expectation-maximisation over those counts estimates how accurate each labeller
    is on good and on bad documents, and how many are good. A pattern's posterior
@@ -10,7 +11,7 @@
 3. A logistic scorer over hashed features (triples of character classes, binned
    statistics) is fitted to the posteriors of about ``FIT_ROWS`` documents, chosen by
    a hash of the identifier. This bound is a parameter; counts and scores cover all.
-4. One more pass scores every document. Those below ``THRESHOLD`` are rejected.
+4. Every document is scored by its features. Those below ``THRESHOLD`` are rejected.
 
 Toxicity is another matter: these labellers look at form alone, so that a well-formed
 text is kept whatever it says.
@@ -24,20 +25,20 @@ untouched.
 from __future__ import annotations
 
 import operator
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.llm.common import named, ready, text_of
+from tidemark.llm.common import named, packed, ready, text_of, unpacked
+from tidemark.session import stage
 
 FIT_ROWS = 8192
 FEATURES = 1024
 THRESHOLD = 0.5
 GOOD, NONE, BAD = 1, 0, -1
+FEATURE = np.dtype([("place", "<u2"), ("weight", "<f4")])
 
 # Classes of bytes: lower-case letter, upper-case letter, digit, white space, end of
 # a sentence, other punctuation of prose, symbol, anything beyond ASCII (a letter).
@@ -137,107 +138,104 @@ def expectation_maximisation(patterns: list[tuple[int, ...]], counts: list[int],
 
 @dataclass(frozen=True)
 class QualityModel:
-    posteriors: dict[tuple[int, ...], float]
+    posteriors: dict[str, float]
     weights: np.ndarray
     bias: float
 
-    def score(self, features: np.ndarray) -> float:
-        z = self.bias + float((self.weights[features[0].astype(np.int64)] * features[1]).sum())
-        return 1 / (1 + float(np.exp(-np.clip(z, -60, 60))))
+    def scores(self, features: list[bytes]) -> np.ndarray:
+        """Scores of documents by their features (``FEATURE`` records)."""
+        together = np.frombuffer(b"".join(features), dtype=FEATURE)
+        owner = np.repeat(np.arange(len(features)), [len(f) // FEATURE.itemsize for f in features])
+        z = self.bias + np.bincount(owner, self.weights[together["place"]] * together["weight"], len(features))
+        return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def _fit_linear(rows: list[tuple[np.ndarray, np.ndarray, float]], rounds: int = 300) -> tuple[np.ndarray, float]:
+def _fit_linear(rows: list[tuple[bytes, float]], rounds: int = 300) -> tuple[np.ndarray, float]:
     """Logistic regression on posteriors; Adam on all rows."""
     x = np.zeros((len(rows), FEATURES), dtype=np.float32)
-    for i, (places, values, _) in enumerate(rows):
-        np.add.at(x[i], places, values)
-    y = np.array([p for *_, p in rows], dtype=np.float32)
+    for i, (features, _) in enumerate(rows):
+        each = np.frombuffer(features, dtype=FEATURE)
+        np.add.at(x[i], each["place"], each["weight"])
+    y = np.array([p for _, p in rows], dtype=np.float32)
     theta = np.zeros(FEATURES + 1)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, rounds + 1):
-        p = 1 / (1 + np.exp(-np.clip(x @ theta[:-1].astype(np.float32) + theta[-1], -30, 30)))
-        off = (p - y) / len(y)
+        # All in single precision: a mixed product would copy the whole matrix in every round.
+        p = 1 / (1 + np.exp(-np.clip(x @ theta[:-1].astype(np.float32) + np.float32(theta[-1]), -30, 30)))
+        off = (p - y) / np.float32(len(y))
         slope = np.append(x.T @ off + 1e-5 * theta[:-1], off.sum())
         first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
         theta -= 0.1 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
     return theta[:-1], float(theta[-1])
 
 
-def _bodies(df: DataFrame, text_col: str) -> DataFrame:
-    return df.select(text_of(text_col).cast("binary").alias("body"))
+def _profiled(text_col: str) -> Column:
+    """Struct of the pattern of votes (comma-joined) and the features (``FEATURE`` records)."""
+    table = _class_table()
 
+    @F.arrow_udf(T.StructType([T.StructField("pattern", T.StringType()), T.StructField("features", T.BinaryType())]))
+    def profiles(bodies: pa.Array) -> pa.Array:
+        patterns, features = [], []
+        for body in bodies:
+            stats, hashed = profile(body.as_py(), table)
+            records = np.empty(hashed.shape[1], dtype=FEATURE)
+            records["place"], records["weight"] = hashed
+            patterns.append(",".join(map(str, votes(stats))))
+            features.append(records.tobytes())
+        return pa.StructArray.from_arrays([pa.array(patterns, pa.string()), pa.array(features, pa.binary())], names=["pattern", "features"])
+
+    return profiles(text_of(text_col).cast("binary"))
 
-def fit_quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS) -> QualityModel:
-    """Vote counts over all documents, their EM, and a scorer fitted to about ``fit_rows`` of them."""
-    ready(df.sparkSession)
-    table = _class_table()
 
-    def patterns(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, int] = {}
-        for batch in parts:
-            for text in batch.column("body"):
-                key = ",".join(map(str, votes(profile(text.as_py(), table)[0])))
-                found[key] = found.get(key, 0) + 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["pattern", "n"])
+def _fit(profiles: DataFrame, fit_rows: int) -> QualityModel:
+    """Vote counts over all documents, their EM, and a scorer fitted to about ``fit_rows`` of them.
 
-    counted = _bodies(df, text_col).mapInArrow(patterns, "pattern string, n bigint").groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").collect()
-    keys = [tuple(map(int, row["pattern"].split(","))) for row in counted]
+    ``profiles`` has id and profile.
+    """
+    counted = profiles.groupBy("profile.pattern").agg(F.count("*").alias("n")).orderBy("pattern").collect()
     total = sum(row["n"] for row in counted)
-    posteriors = dict(zip(keys, expectation_maximisation(keys, [row["n"] for row in counted]).tolist(), strict=True))
-
-    def examples(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts:
-            found = [profile(text.as_py(), table) for text in batch.column("body")]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([f[0].astype(np.int64).tolist() for _, f in found], pa.list_(pa.int64())),
-                    pa.array([f[1].tolist() for _, f in found], pa.list_(pa.float64())),
-                    pa.array([posteriors.get(votes(stats), 0.5) for stats, _ in found], pa.float64()),
-                ],
-                names=["places", "weights", "posterior"],
-            )
+    cast = [tuple(map(int, row["pattern"].split(","))) for row in counted]
+    posteriors = dict(zip((row["pattern"] for row in counted), expectation_maximisation(cast, [row["n"] for row in counted]).tolist(), strict=True))
 
     share = min(1.0, fit_rows / max(1, total))
-    cut = F.pmod(F.xxhash64(named(id_col), F.lit("fit")), F.lit(1 << 30)) < int(share * (1 << 30))
-    sample = _bodies(df.where(cut), text_col).mapInArrow(examples, "places array<bigint>, weights array<double>, posterior double")
+    cut = F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(1 << 30)) < int(share * (1 << 30))
     # One repeated identifier may bring more rows than its share.
-    rows = [(np.array(r["places"]), np.array(r["weights"]), r["posterior"]) for r in sample.limit(2 * fit_rows).collect()]
+    sample = profiles.where(cut).select("profile.pattern", "profile.features").limit(2 * fit_rows).collect()
+    rows = [(bytes(r["features"]), posteriors[r["pattern"]]) for r in sample]
     # Without bad documents there is nothing to tell apart: everything stays.
-    if not any(p < THRESHOLD for *_, p in rows):
+    if not any(p < THRESHOLD for _, p in rows):
         return QualityModel(posteriors, np.zeros(FEATURES), 1.0)
     return QualityModel(posteriors, *_fit_linear(rows))
 
 
-def _scored(df: DataFrame, text_col: str, model: QualityModel) -> DataFrame:
-    """All columns of ``df``, and ``body`` replaced by ``posterior`` and ``score``."""
-    table = _class_table()
+def _score(model: QualityModel) -> Column:
+    @F.arrow_udf(T.DoubleType())
+    def score(features: pa.Array) -> pa.Array:
+        return pa.array(model.scores(features.to_pylist()))
+
+    return score(F.col("profile.features"))
 
-    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts:
-            found = [profile(text.as_py(), table) for text in batch.column("body")]
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            columns.append(pa.array([model.posteriors.get(votes(stats), 0.5) for stats, _ in found], pa.float64()))
-            columns.append(pa.array([model.score(features) for _, features in found], pa.float64()))
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "posterior", "score"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != "body")
-    return df.mapInArrow(batches, f"{fields}, posterior double, score double")
+def _posterior(model: QualityModel) -> Column:
+    @F.arrow_udf(T.DoubleType())
+    def posterior(patterns: pa.Array) -> pa.Array:
+        return pa.array([model.posteriors[p] for p in patterns.to_pylist()], pa.float64())
+
+    return posterior(F.col("profile.pattern"))
 
 
 def classify_quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: id, posterior (of the weak labels), score (of the scorer), kept."""
-    model = fit_quality(df, id_col, text_col, fit_rows)
-    source = df.select(named(id_col).alias("id"), text_of(text_col).cast("binary").alias("body"))
-    return _scored(source, text_col, model).select(F.col("id").alias(id_col), "posterior", "score", (F.col("score") >= threshold).alias("kept"))
+    ready(df.sparkSession)
+    profiles = stage(df.select(named(id_col).alias("id"), _profiled(text_col).alias("profile")), "profiles")
+    model = _fit(profiles, fit_rows)
+    scored = profiles.select("id", _posterior(model).alias("posterior"), _score(model).alias("score"))
+    return scored.select(F.col("id").alias(id_col), "posterior", "score", (F.col("score") >= threshold).alias("kept"))
 
 
 def drop_low_quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the scorer keeps, with all their columns."""
-    model = fit_quality(df, id_col, text_col, fit_rows)
-    table = _class_table()
-
-    @F.pandas_udf("double")
-    def score(bodies: pd.Series) -> pd.Series:
-        return bodies.map(lambda body: model.score(profile(bytes(body), table)[1])).astype(float)
-
-    return df.where(score(text_of(text_col).cast("binary")) >= threshold)
+    ready(df.sparkSession)
+    profiles = stage(df.select(packed(df).alias("doc"), named(id_col).alias("id"), _profiled(text_col).alias("profile")), "profiles")
+    model = _fit(profiles.select("id", "profile"), fit_rows)
+    return profiles.where(_score(model) >= threshold).select(*unpacked("doc", df.columns))
