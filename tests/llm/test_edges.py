@@ -231,6 +231,36 @@ def test_pages_without_an_article_lose_what_their_host_repeats(spark):
     assert got[9].startswith("Welcome") and got[9].endswith("forever")
 
 
+def test_pages_keep_what_only_their_copies_or_short_passages_share(spark):
+    story = " ".join(f"word{i}" for i in range(60))
+    shared = "eight words that two different pages both hold"
+    footer = "All rights to the texts of this site are with those who wrote them and nobody may print them without asking"
+
+    def page(*blocks):
+        return "<body>" + "".join(f"<div>{b}</div>" for b in blocks) + "</body>"
+
+    rows = [
+        (1, "http://h/1", page(story, "Conclusion")), (2, "https://h/1", page(story, "Conclusion")), (3, "http://h/1?print", f"<nav>Top</nav>{page(story, 'Conclusion')}"),
+        (4, "http://h/4", page(f"Here stand {shared} in the middle of one", "Conclusion", footer)), (5, "http://h/5", page(f"There are {shared} at another place", "Conclusion", footer)),
+    ]
+    got = {r.page_id: r.text for r in html_text.extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got[1] == got[2] == got[3] == f"{story} Conclusion"
+    assert got[4] == f"Here stand {shared} in the middle of one Conclusion" and got[5] == f"There are {shared} at another place Conclusion"
+
+
+@pytest.mark.parametrize("page", [
+    '<div class="layout has-sidebar"><article>The text of it.</article><aside>Side</aside></div>',
+    '<div class="content-sidebar-wrap"><main><p>The text of it.</p><div id="comments"><article>Nice</article></div></main></div>',
+    '<main><div class="has-sidebar"><article>The text of it.</article></div></main>',
+    '<article>The text of it.<div class="comments"><article>Much longer than the text is this comment on it.</article></div></article>',
+    '<article>The text of it.</article><div class="related"><article>Teaser</article></div><nav><article>Not the text of it at all</article></nav>',
+    '<form id="all"><input name="q"><article>The text of it.</article></form>',
+    '<div class="has-sidebar"><article>The text of it.<div class="share">Share</div></article><div class="comments"><article>Nice</article></div></div>',
+])
+def test_marked_wrappers_of_an_article_are_kept(page):
+    assert [text for place, text in html_text.blocks(page) if place == "main"] == ["The text of it."]
+
+
 def brute_topk(rows, k, every):
     quant = [(i, [int(np.floor(1024 * float(np.float32(x)))) for x in v]) for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = set()
