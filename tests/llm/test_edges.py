@@ -204,6 +204,20 @@ def test_licenses(docs, empty, spark):
     assert (got[5].n_words, got[5].first_word) == (100_003, 100_000)
 
 
+def test_licenses_with_words_left_out_or_put_in(spark):
+    mit, apache, bsd = (licenses.TEMPLATES[i][0].split() for i in (0, 3, 8))
+    texts = {
+        "mit": [mit[:15] + mit[16:], mit[:15] + ["really"] + mit[15:], mit[:15] + mit[17:], mit[:8] + ["really"] + mit[8:24] + mit[25:], mit[:8] + mit[9:24] + ["really"] + mit[24:]],
+        "apache-2": [apache[:6] + apache[7:]], "bsd": [bsd[:9] + bsd[10:], bsd[:9] + ["all", "of"] + bsd[9:]],
+    }
+    rows = [(label, f"See here {' '.join(words)} and so on") for label, many in texts.items() for words in many]
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.labels == r.doc_id and [s.label for s in r.spans] == [r.doc_id], r
+        assert r.spans[0].start == 2 and r.spans[0].end == r.n_words - 3 and r.score >= licenses.COVERAGE
+
+
 PAGE = """<html><head><title>T</title></head><body class="page"><header>Top</header><nav>Home <a>About</a></nav>
 <div class="cookie-notice">We use cookies</div><main><h1>Head &amp; line</h1><p>First  <b>bold</b>&nbsp;word<br>next<script>var a = "<p>";</script>
 <form>Name</form><ul><li>one<li>two</ul><div id="comments"><p>Nice!</p></div><p>Last.</main><aside>Side</aside><footer>&copy; x</footer></body></html>"""

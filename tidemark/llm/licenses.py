@@ -6,8 +6,9 @@ cannot be in a template, all others become rows (document, place, gram). Spark j
 them to the places that the gram has in the templates. A match of a template puts
 many of its grams on one diagonal (place in the document minus place in the
 template), so votes are added up by (document, template, diagonal). Diagonals next
-to each other are merged, as a word more or less shifts the rest of a text, and a
-merged run is verified by its share of the template's grams.
+to each other whose places go on or overlap are merged, as a word more or less shifts
+the rest of a text up or down, and a merged run is verified by its share of the
+template's grams, each counted once.
 
 Phrases of the contract are templates that have to match in full, on one diagonal.
 
@@ -86,6 +87,42 @@ def _grams(codes: list[int], size: int) -> np.ndarray:
     return np.where(known, gram, -1)
 
 
+def _runs(diagonals: list[tuple[int, list[int]]], drift: int) -> list[tuple[int, int, int]]:
+    """(votes, lo, hi) of the runs of a template in a text, by ``lo``; a diagonal comes with its places in the template.
+
+    Diagonals that differ by at most ``drift`` are in one run if a place of one is near
+    the places of the other, on whichever side.
+    """
+    marks = sorted((d + min(ats), d + max(ats), d, ats) for d, ats in diagonals)
+    root = list(range(len(marks)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    # A diagonal is no longer than the template, so only some of those before can be near.
+    longest = max((hi - lo for lo, hi, *_ in marks), default=0)
+    first = 0
+    for i, (lo, _, d, _) in enumerate(marks):
+        while lo - marks[first][0] > longest + K + drift:
+            first += 1
+        for j in range(first, i):
+            if abs(marks[j][2] - d) <= drift and lo - marks[j][1] <= K + drift:
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    runs: dict[int, list] = {}
+    for i, mark in enumerate(marks):
+        runs.setdefault(find(i), []).append(mark)
+    return [
+        (
+            min(len({at for *_, ats in run for at in ats}), len({d + at for *_, d, ats in run for at in ats})),
+            min(lo for lo, *_ in run), max(hi for _, hi, *_ in run),
+        )
+        for run in runs.values()
+    ]
+
+
 def scan_licenses(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases: dict[str, str] = PHRASES, templates=TEMPLATES, coverage: float = COVERAGE
 ) -> DataFrame:
@@ -128,15 +165,21 @@ def scan_licenses(
     hits = coded.select(*keys, F.explode_outer("hits").alias("hit")).select(*keys, "hit.place", "hit.gram")
     voted = hits.join(F.broadcast(positions), "gram", "left").withColumn("diagonal", F.col("place") - F.col("at"))
     # Votes of a diagonal; rows without any match go through as one row without a template.
-    diagonals = voted.groupBy(*keys, "template", "label", "base", "grams", "diagonal").agg(
-        F.countDistinct("at").alias("votes"), F.min("place").alias("lo"), F.max("place").alias("hi")
-    )
-    # Merge neighbours: a diagonal near the one before it, whose places go on, continues its run. Phrases stay on one.
-    order = Window.partitionBy("row", "template").orderBy("diagonal")
-    near = (F.col("diagonal") - F.lag("diagonal").over(order) <= DRIFT) & (F.col("lo") - F.lag("hi").over(order) <= K + DRIFT) & (F.col("lo") > F.lag("hi").over(order))
-    runs = diagonals.withColumn("new", F.when(~F.col("base") & near, 0).otherwise(1)).withColumn("run", F.sum("new").over(order))
-    matches = runs.groupBy(*keys, "template", "label", "base", "grams", "run").agg(
-        F.sum("votes").alias("votes"), F.min("lo").alias("lo"), (F.max("hi") + K).alias("hi")
+    diagonals = voted.groupBy(*keys, "template", "label", "base", "grams", "diagonal").agg(F.collect_set("at").alias("ats"))
+    grouped = diagonals.groupBy(*keys, "template", "label", "base", "grams").agg(F.collect_list(F.struct("diagonal", "ats")).alias("diagonals"))
+
+    @F.arrow_udf("array<struct<votes:bigint,lo:bigint,hi:bigint>>")
+    def merged(groups: pa.Array, base: pa.Array) -> pa.Array:
+        out = []
+        for group, phrase in zip(groups.to_pylist(), base.to_pylist(), strict=True):
+            marks = [(g["diagonal"], g["ats"]) for g in group if g["diagonal"] is not None]
+            # Phrases stay on one diagonal.
+            found = [r for m in marks for r in _runs([m], 0)] if phrase else _runs(marks, DRIFT)
+            out.append([{"votes": v, "lo": lo, "hi": hi} for v, lo, hi in found or [(0, None, None)]])
+        return pa.array(out, pa.list_(pa.struct([("votes", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])))
+
+    matches = grouped.select(*keys, "template", "label", "base", "grams", F.posexplode(merged("diagonals", "base")).alias("run", "r")).select(
+        *keys, "template", "label", "base", "grams", "run", "r.votes", "r.lo", (F.col("r.hi") + K).alias("hi")
     )
     share = F.when(F.col("template").isNotNull(), F.least(F.col("votes") / F.col("grams"), F.lit(1.0))).otherwise(0.0)
     found = matches.withColumn("share", share).withColumn(
