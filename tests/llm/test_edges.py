@@ -126,6 +126,27 @@ def test_quality(docs, empty):
     assert quality.drop_low_quality(docs).columns == docs.columns
 
 
+def test_quality_rejects_few_bad_documents_whatever_the_fit_sample(spark):
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("aeinrstlodu"), rng.integers(2, 9))) for _ in range(800)]
+
+    def prose():
+        return " ".join(" ".join(rng.choice(words, 12)).capitalize() + "." for _ in range(4))
+
+    bad = {i * 250 for i in range(12)}
+    rows = [(i, " ".join(rng.choice(list("#$%^&*@~|<>"), 60)) if i in bad else prose()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for fit_rows in (8192, 64):
+        assert {r.doc_id for r in quality.classify_quality(df, fit_rows=fit_rows).collect() if not r.kept} == bad, fit_rows
+    assert quality.drop_low_quality(df, fit_rows=64).count() == 3000 - len(bad)
+
+
+def test_fit_sample_takes_rare_patterns_whole():
+    quotas = quality._quotas([1_000_000, 100, 1, 5000], 1000)
+    assert quotas[1:3] == [100, 1] and 1000 <= sum(quotas) <= 1004 and quotas[0] >= 500
+    assert quality._quotas([5, 3], 8) == [5, 3] and quality._quotas([], 8) == []
+
+
 def test_simhash(docs, empty):
     got = simhash.simhash_dedup(docs).collect()
     assert len(got) == docs.count()

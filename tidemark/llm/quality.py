@@ -9,8 +9,11 @@
    is on good and on bad documents, and how many are good. A pattern's posterior
    labels its documents.
 3. A logistic scorer over hashed features (triples of character classes, binned
-   statistics) is fitted to the posteriors of about ``FIT_ROWS`` documents, chosen by
-   a hash of the identifier. This bound is a parameter; counts and scores cover all.
+   statistics) is fitted to the posteriors of about ``FIT_ROWS`` documents. Half of them
+   go by the shares of the patterns, the others fill up the rare patterns, whose
+   documents are all in it; weights restore the shares, and what counts is set off
+   against the rarer of good and bad, so that few bad ones among many are learnt as well.
+   This bound is a parameter; counts and scores cover all.
 4. Every document is scored by its features. Those below ``THRESHOLD`` are rejected.
 
 Toxicity is another matter: these labellers look at form alone, so that a well-formed
@@ -18,13 +21,15 @@ text is kept whatever it says.
 
 Defined results: null and empty text, and texts too short for any labeller to vote,
 are scored like all others; repeated rows get equal results; a table in which no
-labeller ever votes bad, as an empty one, rejects nothing; other columns are carried
+pattern of any document is more bad than good, as an empty one, rejects nothing; other columns are carried
 untouched.
 """
 
 from __future__ import annotations
 
+import math
 import operator
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -150,20 +155,39 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def _fit_linear(rows: list[tuple[bytes, float]], rounds: int = 300) -> tuple[np.ndarray, float]:
-    """Logistic regression on posteriors; Adam on all rows."""
+def _quotas(counts: list[int], fit_rows: int) -> list[int]:
+    """How many documents of each pattern are fitted to: half by share, the others level, so that rare patterns are whole."""
+    total = sum(counts)
+    if total <= fit_rows:
+        return counts
+    by_share = [fit_rows / 2 * n / total for n in counts]
+    room, left, level = fit_rows / 2, len(counts), 0.0
+    for rest in sorted(n - share for n, share in zip(counts, by_share, strict=True)):
+        level = room / left
+        if rest > level:
+            break
+        room, left = room - rest, left - 1
+    return [min(n, math.ceil(share + level)) for n, share in zip(counts, by_share, strict=True)]
+
+
+def _fit_linear(rows: list[tuple[bytes, float, float]], rounds: int = 300) -> tuple[np.ndarray, float]:
+    """Logistic regression on posteriors of weighted rows; Adam on all rows."""
     x = np.zeros((len(rows), FEATURES), dtype=np.float32)
-    for i, (features, _) in enumerate(rows):
+    for i, (features, *_) in enumerate(rows):
         each = np.frombuffer(features, dtype=FEATURE)
         np.add.at(x[i], each["place"], each["weight"])
-    y = np.array([p for _, p in rows], dtype=np.float32)
+    y = np.array([p for _, p, _ in rows], dtype=np.float32)
+    weight = np.array([w for *_, w in rows])
+    # By the mass of the rarer side, or its slope would be lost beside the penalty.
+    rarer = max(0.5, min(weight @ y, weight @ (1 - y)))
+    weight = (weight / rarer).astype(np.float32)
     theta = np.zeros(FEATURES + 1)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, rounds + 1):
         # All in single precision: a mixed product would copy the whole matrix in every round.
         p = 1 / (1 + np.exp(-np.clip(x @ theta[:-1].astype(np.float32) + np.float32(theta[-1]), -30, 30)))
-        off = (p - y) / np.float32(len(y))
-        slope = np.append(x.T @ off + 1e-5 * theta[:-1], off.sum())
+        off = (p - y) * weight
+        slope = np.append(x.T @ off + 1e-4 * theta[:-1], off.sum())
         first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
         theta -= 0.1 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
     return theta[:-1], float(theta[-1])
@@ -193,18 +217,23 @@ def _fit(profiles: DataFrame, fit_rows: int) -> QualityModel:
     ``profiles`` has id and profile.
     """
     counted = profiles.groupBy("profile.pattern").agg(F.count("*").alias("n")).orderBy("pattern").collect()
-    total = sum(row["n"] for row in counted)
     cast = [tuple(map(int, row["pattern"].split(","))) for row in counted]
     posteriors = dict(zip((row["pattern"] for row in counted), expectation_maximisation(cast, [row["n"] for row in counted]).tolist(), strict=True))
 
-    share = min(1.0, fit_rows / max(1, total))
-    cut = F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(1 << 30)) < int(share * (1 << 30))
-    # One repeated identifier may bring more rows than its share.
-    sample = profiles.where(cut).select("profile.pattern", "profile.features").limit(2 * fit_rows).collect()
-    rows = [(bytes(r["features"]), posteriors[r["pattern"]]) for r in sample]
     # Without bad documents there is nothing to tell apart: everything stays.
-    if not any(p < THRESHOLD for _, p in rows):
+    if not any(p < THRESHOLD for p in posteriors.values()):
         return QualityModel(posteriors, np.zeros(FEATURES), 1.0)
+
+    numbers = {row["pattern"]: row["n"] for row in counted}
+    quotas = _quotas(list(numbers.values()), fit_rows)
+    cuts = [(pattern, math.ceil(quota / n * (1 << 30))) for (pattern, n), quota in zip(numbers.items(), quotas, strict=True)]
+    few = F.broadcast(profiles.sparkSession.createDataFrame(cuts, "pattern string, cut bigint"))
+    drawn = profiles.select("profile.pattern", "profile.features", F.pmod(F.xxhash64("id", "profile.features", F.lit("fit")), F.lit(1 << 30)).alias("draw"))
+    chosen = drawn.join(few, "pattern").where("draw < cut")
+    # One repeated row may bring more than its share: whole patterns come before it.
+    sample = chosen.orderBy(F.col("cut").desc(), "draw").limit(2 * fit_rows + len(cuts)).select("pattern", "features").collect()
+    drawn_of = Counter(r["pattern"] for r in sample)
+    rows = [(bytes(r["features"]), posteriors[r["pattern"]], numbers[r["pattern"]] / drawn_of[r["pattern"]]) for r in sample]
     return QualityModel(posteriors, *_fit_linear(rows))
 
 
