@@ -2,10 +2,13 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import rows
+from oracle import connect, differences
 from pyspark.sql import functions as F
 
 from tidemark.operators.changes import apply_changes
 from tidemark.operators.metrics import MetricSpec, key_time_metric, multi_metric
+from tidemark.plans import scan_queries
+from tidemark.plans.catalog import QUERIES
 from tidemark.session import store_batch
 from tidemark.sinks.tables import read_changes
 from tidemark.sources.state import StateTable
@@ -198,3 +201,15 @@ def test_partials_of_an_empty_stream(spark, tmp_path):
     query = store_partials(file_stream(spark, path, schema), count, lambda df: df, str(tmp_path / "out"), str(tmp_path / "ckpt"))
     drain(query)
     assert not query.exception()
+
+
+@pytest.mark.parametrize("name", ["W1_stream_key_time_metric", "W2_flush_open_windows", "W1_stream_month_metric"])
+def test_no_row_of_a_table_is_late_in_several_batches(spark, sf_dir, tmp_path, monkeypatch, name):
+    """The same rows, the newest files first and one file for each batch."""
+    table = spark.read.parquet(f"{sf_dir}/events.parquet").orderBy(F.col("ts").desc()).collect()
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    for i in range(4):
+        part = table[len(table) * i // 4:len(table) * (i + 1) // 4]
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(scan_queries, "file_stream", lambda *how, **more: file_stream(*how, **more | {"max_files": 1}))
+    assert differences(spark, connect(sf_dir), QUERIES[name].run, QUERIES[name].sql, str(tmp_path)) is None

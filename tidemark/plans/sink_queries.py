@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.changes import apply_changes
 from tidemark.operators.metrics import (
-    MetricSpec, behaviour_days, behaviour_words, merge_behaviour_words, multi_metric, roll_up, with_labels,
+    MetricSpec, behaviour_days, behaviour_words, key_time_metric, merge_behaviour_words, merge_partials, multi_metric, roll_up, with_labels,
 )
 from tidemark.operators.transforms import with_temp
 from tidemark.plans.change_queries import old_orders
@@ -252,24 +252,36 @@ def streamed_counts(spark: SparkSession, stream: DataFrame, keys: list[str]) ->
     return latest_counts(spark, path, keys, stream.schema)
 
 
+def streamed_windows(spark: SparkSession, sf_dir: str, key: str, window_type: str) -> DataFrame:
+    """Counts by key and window over all files of a table, in whatever order they come: no row is too late."""
+    path, checkpoint = shared_folder(spark, "partials"), shared_folder(spark, "checkpoint")
+    stream = stream_of(spark, sf_dir, "events")
+
+    def counts(rows: DataFrame) -> DataFrame:
+        return key_time_metric(rows, key, "ts", window_type, labels=())
+
+    def merged(partials: DataFrame) -> DataFrame:
+        return merge_partials(partials, ["metric", "data_time"])
+
+    store_partials(stream, counts, merged, path, checkpoint).awaitTermination()
+    return stored_partials(spark, path, counts(stream).schema, merged)
+
+
 @query("W1_stream_key_time_metric", f"SELECT *, {LABELS_SQL} FROM ({bucketed('event_type', 'day')})")
 def streamed_days(spark, sf_dir):
-    stream = stream_key_time_metric(stream_of(spark, sf_dir, "events"), "event_type", "ts", "day", "100 seconds")
-    return with_labels(streamed_counts(spark, stream, ["metric", "data_time"]))
+    return with_labels(streamed_windows(spark, sf_dir, "event_type", "day"))
 
 
 @query("W2_flush_open_windows", bucketed("CAST(user_id AS VARCHAR)", "hour"))
 def streamed_hours(spark, sf_dir):
     """No window is held back at the end of the stream."""
-    stream = stream_key_time_metric(stream_of(spark, sf_dir, "events"), "user_id", "ts", "hour", "10 minutes")
-    return streamed_counts(spark, stream, ["metric", "data_time"])
+    return streamed_windows(spark, sf_dir, "user_id", "hour")
 
 
 @query("W1_stream_month_metric", bucketed("event_type", "month"))
 def streamed_months(spark, sf_dir):
     """Streamed by day, rolled up to months."""
-    stream = stream_key_time_metric(stream_of(spark, sf_dir, "events"), "event_type", "ts", "day")
-    return roll_up(streamed_counts(spark, stream, ["metric", "data_time"]), "month")
+    return roll_up(streamed_windows(spark, sf_dir, "event_type", "day"), "month")
 
 
 @query("W1_stream_multi_metric", f"""
