@@ -82,6 +82,22 @@ def test_secrets(docs, empty, spark):
     assert got[7].n_entropy == 300
 
 
+def test_entropy_finds_what_is_glued_to_other_words(spark):
+    token, letters, upper = "q7Zk2Lp9Xv4Rt8Wm1Yc6Bn3D", "QzRbXkWvTnMpLsHgFdYcJaKeUiOyBw", "4FA93C07E1B85D26A0F3"
+    blob = "aZ3kP9xQ7mB2vT6sL1dR8wXY"
+    found = {
+        "latest_key=" + token: (11, 35), "contest/" + token: None, "test/" + token: None, blob + "xxxx" + token: None, blob + "000000" + token: None,
+        letters: (0, 30), "KEY=" + upper: (4, 24), "some-KEY/" + upper: None, "wJa7rXUt/FEMIqK7MDq/bPxRfiCYzZk8LmKEYq+a": None,
+        "test_" + token: (), "sample-" + token + "/x": (), "123e4567-e89b-12d3-a456-426614174000": (), "id=123e4567-e89b-12d3-a456-426614174000": (),
+        "incompatibleSettingsOfTheSession": (), "usr/share/common/settings/interfaces": (), "key=" + "1" * 30: (), "x" * 30 + "1": (),
+    }
+    got = {r.doc_id: [s for s in r.found if s.kind == "entropy"] for r in secrets.scan_secrets(spark.createDataFrame([(t, t) for t in found], "doc_id string, text string")).collect()}
+    for text, span in found.items():
+        assert len(got[text]) == (span != ()), text
+        if span:
+            assert (got[text][0].start, got[text][0].end) == span, text
+
+
 def test_entropy_windows_are_those_of_plain_counts(spark):
     import math
     from collections import Counter

@@ -7,7 +7,10 @@ the pieces and of the matches add up to the places, in code points.
 The entropy of a token is that of its windows of ``WINDOW`` characters. The window
 slides by one character at a time; the counts of the character that leaves and of
 the one that enters change, and with them the sum of c * log2(c). Each class of
-characters has its own bound. Tokens on the allow list are not reported.
+characters has its own bound; a window goes by its own class where that asks for less
+than the one of its token, so that what is glued to a secret does not hide it. Tokens end
+at ``=``. A part of a token, between slashes, that is named as an example is not reported,
+and no window that holds an entry of the allow list.
 
 Defined results: null text counts as empty; a text without secrets gives zeros, an
 empty span list and the digest of the empty string; repeated rows give repeated
@@ -32,14 +35,20 @@ PATTERNS = (
 KINDS = (*(kind for kind, *_ in PATTERNS), "entropy")
 
 WINDOW = 20
-TOKEN = r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW
-# Bits that a window needs, by the characters of the whole token. A token without a
-# digit reads like a word, one of digits alone like a number: neither has a bound.
-CLASS_BITS = ((r"^[0-9]+$", None), (r"^[0-9a-fA-F]+$", 3.0), (r"^[A-Za-z0-9]+$", 3.5), (r"[0-9]", 3.7))
+TOKEN = r"[A-Za-z0-9+/_-]{%d,}" % WINDOW
+# Bits that a window needs, by the characters of the whole token. A number has no bound;
+# a token without a digit may be made of words, which often reach 3.7 bits.
+CLASS_BITS = ((r"^[0-9]+$", None), (r"^[A-Za-z]+$", 3.9), (r"^[^0-9]+$", 4.0), (r"^[0-9a-fA-F]+$", 3.0), (r"^[A-Za-z0-9]+$", 3.5), (r"[0-9]", 3.7))
+# The same for windows that hold a digit but not digits alone.
+HEX_BITS, ALNUM_BITS = 3.0, 3.5
+# Parts between slashes that are not reported, and what no reported window holds.
 ALLOWED = (
-    r"(?i)example|sample|dummy|placeholder|changeme|test|x{4}|0{6}|1234567",
+    r"(?i)(^|[_-])(example|sample|dummy|placeholder|changeme|test)([_-]|$)",
     r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$",
 )
+ALLOWED_IN_WINDOW = r"(?i)example|sample|dummy|placeholder|changeme|test|x{4}|0{6}|1234567"
+# Stands for the characters of an allowed part.
+_GONE = "="
 
 _SPAN = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
@@ -70,28 +79,63 @@ def _of_length(kind: str, least: int):
     return found
 
 
-def _bits_needed(token: Column, bits=CLASS_BITS, allowed=ALLOWED) -> Column:
-    """The bound for a token; null where it is not to be reported."""
+def _bits_needed(token: Column, bits=CLASS_BITS) -> Column:
+    """The bound for a token; null where it has none."""
     bound = F.lit(None).cast("double")
     for pattern, value in reversed(bits):
         bound = F.when(token.rlike(pattern), F.lit(value).cast("double")).otherwise(bound)
-    for pattern in allowed:
-        bound = F.when(token.rlike(pattern), F.lit(None).cast("double")).otherwise(bound)
     return bound
 
 
-def window_range(token: Column, bits: Column) -> Column:
-    """Struct (lo, hi): from the first to the last window of at least ``bits`` bits; null fields if none has."""
+def _without_allowed(token: Column, allowed=ALLOWED) -> Column:
+    """The token with its allowed parts blotted out; places stay."""
+    def part(text: Column) -> Column:
+        known = F.lit(False)
+        for pattern in allowed:
+            known = known | text.rlike(pattern)
+        return F.when(known, F.repeat(F.lit(_GONE), F.length(text))).otherwise(text)
+
+    return F.array_join(F.transform(F.split(token, "/"), part), "/")
+
+
+def _kinds() -> Column:
+    """By code: digits, hexadecimal digits, letters and digits, blotted out characters, each in a byte of its own."""
+    def kind(ch: str) -> int:
+        return ch.isdigit() + (ch in "0123456789abcdefABCDEF") * (1 << 8) + ch.isalnum() * (1 << 16) + (ch == _GONE) * (1 << 24)
+
+    return F.array(*[F.lit(kind(chr(code))) for code in range(128)])
+
+
+def window_range(token: Column, bits: Column, by_window: bool = False) -> Column:
+    """Struct (lo, hi): from the first to the last window of at least ``bits`` bits; null fields if none has.
+
+    ``by_window``: the class of a window may lower its bound, and allowed ones do not count.
+    """
     weight = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 1)])
     codes = F.transform(F.filter(F.split(token, ""), lambda ch: ch != ""), lambda ch: F.ascii(ch))
     # Each step gets the entering code and, WINDOW characters behind, the leaving one.
     moves = F.arrays_zip(codes, F.concat(F.array_repeat(F.lit(-1), WINDOW), codes))
     none = F.lit(None).cast("int")
+    kinds = _kinds()
+    windows = F.sequence(F.lit(0), F.greatest(F.length(token) - WINDOW, F.lit(0)))
+    held = F.transform(windows, lambda i: F.substring(token, i + 1, WINDOW).rlike(ALLOWED_IN_WINDOW))
+    held = F.when(token.rlike(ALLOWED_IN_WINDOW), held).otherwise(F.array().cast("array<boolean>"))
+
     zero = F.struct(
         F.lit(0).alias("i"), F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("sum"),
-        none.alias("lo"), none.alias("hi"),
+        none.alias("lo"), none.alias("hi"), F.lit(0).alias("kinds"), held.alias("held"),
     )
 
+    def enough(acc: Column, entropy: Column, seen: Column) -> Column:
+        if not by_window:
+            return entropy >= bits
+        digits = seen.bitwiseAND(0xFF)
+        all_of = [F.shiftright(seen, by).bitwiseAND(0xFF) == WINDOW for by in (8, 16)]
+        mixed = (digits > 0) & (digits < WINDOW)
+        bound = F.least(bits, F.when(mixed & all_of[0], HEX_BITS).when(mixed & all_of[1], ALNUM_BITS))
+        allowed = F.coalesce(F.get(acc["held"], acc["i"] + 1 - WINDOW), F.lit(False))
+        return (entropy >= bound) & (F.shiftright(seen, 24) == 0) & ~allowed
+
     def change(acc_counts: Column, code: Column, by: int) -> Column:
         return F.transform(acc_counts, lambda c, k: F.when(k == code, c + by).otherwise(c))
 
@@ -103,13 +147,16 @@ def window_range(token: Column, bits: Column) -> Column:
         had = F.get(acc["counts"], enter) - F.when(enter == leave, 1).otherwise(0)
         total = acc["sum"] - lost + F.get(weight, had + 1) - F.get(weight, had)
         entropy = F.lit(math.log2(WINDOW)) - total / WINDOW
-        high = (acc["i"] >= WINDOW - 1) & (entropy >= bits)
+        seen = acc["kinds"] + F.get(kinds, enter) - F.when(leave >= 0, F.get(kinds, leave)).otherwise(0)
+        high = (acc["i"] >= WINDOW - 1) & enough(acc, entropy, seen)
         return F.struct(
             (acc["i"] + 1).alias("i"),
             change(change(acc["counts"], leave, -1), enter, 1).alias("counts"),
             total.alias("sum"),
             F.when(high & acc["lo"].isNull(), acc["i"] + 1 - WINDOW).otherwise(acc["lo"]).alias("lo"),
             F.when(high, acc["i"] + 1).otherwise(acc["hi"]).alias("hi"),
+            seen.alias("kinds"),
+            acc["held"].alias("held"),
         )
 
     # The zip is as long as its longer side: moves without an entering code are cut off.
@@ -117,15 +164,19 @@ def window_range(token: Column, bits: Column) -> Column:
 
 
 def _high_entropy(value: Column, start: Column, end: Column) -> Column:
+    # Windows of few different characters are below any bound; those without a digit have that of their token.
     bits = _bits_needed(value)
+    least = F.pow(F.lit(2.0), F.when(value.rlike("[0-9]"), HEX_BITS).otherwise(bits))
+    different = F.size(F.array_distinct(F.split(value, "")))
+    left = _without_allowed(value)
 
     def spans(found: Column) -> Column:
         return F.when(found["lo"].isNotNull(), _span(start + found["lo"], "entropy", start + found["hi"])).otherwise(_NONE().cast(_SPAN))
 
     # transform over one element computes the range once.
     return F.when(
-        value.rlike("[0-9]") & bits.isNotNull(),
-        F.flatten(F.transform(F.array(window_range(value, bits)), spans)),
+        bits.isNotNull() & (different >= least) & left.rlike("[^%s]{%d}" % (_GONE, WINDOW)),
+        F.flatten(F.transform(F.array(window_range(left, bits, by_window=True)), spans)),
     ).otherwise(_NONE().cast(_SPAN))
 
 
