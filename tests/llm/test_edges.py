@@ -335,6 +335,23 @@ def test_topk(spark, spread):
     assert topk.topk_inner(df.limit(0)).collect() == []
 
 
+def test_topk_keeps_k_of_many_equal_vectors(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(None if i % 50 == 7 else 300 - i, [1.5, 1.25] if i % 3 else rng.random(2).tolist()) for i in range(300)]
+    frames, scored = [], topk._scored
+
+    def kept(*given):
+        frames.append(scored(*given))
+        return frames[-1]
+
+    monkeypatch.setattr(topk, "_scored", kept)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    got = topk.topk_inner(df, k=4, query_every=20, block=400, query_block=8).collect()
+    # The equal ones are in one block.
+    assert [f.groupBy("q_uid", "score").count().agg(F.max("count")).first()[0] <= 4 for f in frames] == [True, True]
+    assert {(r.query_id, r.rank, r.vec_id, r.score) for r in got} == brute_topk(rows, 4, 20)
+
+
 def test_topk_beyond_exact_doubles(spark):
     rows = [(i, [2e5 * (i + 1), -6e4 * i]) for i in range(8)]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")

@@ -70,26 +70,31 @@ def _products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     return np.clip(exact, _LEAST, _MOST).astype(np.int64)
 
 
-def _packed_blocks(rows: DataFrame, keys: list[str], id_kind: str) -> DataFrame:
-    """One row per block: ids, uids and vectors as bytes, longest vector first."""
+def _packed_blocks(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per block: uids, their places by (id, null last, uid), and vectors as bytes, longest vector first."""
 
     def one(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["no_id", "some_id", "uid"]).assign(place=np.arange(len(group)))
         group = group.sort_values(["norm", "uid"], ascending=[False, True])
         return pd.DataFrame({
             **{name: [value] for name, value in zip(keys, key, strict=True)},
-            "uids": [group["uid"].to_numpy(np.int64).tobytes()],
+            "uids": [group["uid"].to_numpy(np.int64).tobytes()], "places": [group["place"].to_numpy(np.int64).tobytes()],
             "vecs": [b"".join(group["vec"])], "rows": [len(group)],
             "most": [float(group["norm"].max())],
         })
 
     kinds = dict(rows.dtypes)
-    schema = ", ".join(f"{name} {kinds[name]}" for name in keys) + ", uids binary, vecs binary, rows bigint, most double"
+    schema = ", ".join(f"{name} {kinds[name]}" for name in keys) + ", uids binary, places binary, vecs binary, rows bigint, most double"
+    # A null would turn whole numbers into floating ones.
+    some_id = F.coalesce("id", F.lit(0).cast(kinds["id"]))
+    rows = rows.withColumns({"no_id": F.col("id").isNull(), "some_id": some_id}).drop("id")
     return rows.groupBy(*keys).applyInPandas(one, schema)
 
 
 class _Block:
-    def __init__(self, uids: bytes, vecs: bytes, rows: int):
+    def __init__(self, uids: bytes, places: bytes, vecs: bytes, rows: int):
         self.uids = np.frombuffer(uids, dtype="<i8")
+        self.places = np.frombuffer(places, dtype="<i8")
         self.vecs = np.frombuffer(vecs, dtype="<i8").reshape(rows, -1)
         self.norms = np.linalg.norm(self.vecs.astype(float), axis=1)
         self.sorted: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -130,23 +135,28 @@ class _Block:
         return best[best < long_enough]
 
 
-def _best(uids: np.ndarray, scores: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k best scores and all that tie with the last of them."""
+def _best(uids: np.ndarray, places: np.ndarray, scores: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best scores; of those that tie with the last of them, the first by place."""
     other = uids != own
-    uids, scores = uids[other], scores[other]
+    uids, places, scores = uids[other], places[other], scores[other]
     if len(scores) > k:
         least = np.partition(scores, len(scores) - k)[len(scores) - k]
-        uids, scores = uids[scores >= least], scores[scores >= least]
+        above, ties = np.flatnonzero(scores > least), np.flatnonzero(scores == least)
+        room = k - len(above)
+        if len(ties) > room:
+            ties = ties[np.argpartition(places[ties], room - 1)[:room]]
+        kept = np.concatenate((above, ties))
+        uids, scores = uids[kept], scores[kept]
     return uids, scores
 
 
 def _scored(pairs: DataFrame, k: int) -> DataFrame:
-    """Block pairs to (query uid, uid, score): per query and block the k best, ties included."""
+    """Block pairs to (query uid, uid, score): per query and block the k best."""
 
     def work(parts):
         for part in parts:
             for row in part.itertuples(index=False):
-                block = _Block(row.uids, row.vecs, row.rows)
+                block = _Block(row.uids, row.places, row.vecs, row.rows)
                 queries = np.frombuffer(row.q_vecs, dtype="<i8").reshape(row.q_rows, -1)
                 q_uids = np.frombuffer(row.q_uids, dtype="<i8")
                 bounds = np.frombuffer(row.q_bounds, dtype="<f8")
@@ -160,10 +170,10 @@ def _scored(pairs: DataFrame, k: int) -> DataFrame:
                 for at, i in enumerate(prefix):
                     n = len(block.uids[places[i]])
                     if n:
-                        out.append((q_uids[i], *_best(block.uids[:n], together[at, :n], q_uids[i], k)))
+                        out.append((q_uids[i], *_best(block.uids[:n], block.places[:n], together[at, :n], q_uids[i], k)))
                 for i, p in enumerate(places):
                     if not isinstance(p, slice) and len(p):
-                        out.append((q_uids[i], *_best(block.uids[p], _products(queries[i:i + 1], block.vecs[p])[0], q_uids[i], k)))
+                        out.append((q_uids[i], *_best(block.uids[p], block.places[p], _products(queries[i:i + 1], block.vecs[p])[0], q_uids[i], k)))
                 if out:
                     yield pd.DataFrame({
                         "q_uid": np.repeat([o[0] for o in out], [len(o[1]) for o in out]).astype(np.int64),
@@ -190,12 +200,12 @@ def topk_inner(
     vectors = stage(known, "vectors")
     sizes = vectors.groupBy("dim", "bucket").agg(F.ceil(F.count("*") / block).alias("parts"))
     as_bytes = _vector_bytes(vectors.join(sizes, ["dim", "bucket"]).withColumn("part", F.pmod(F.xxhash64("uid"), "parts")))
-    blocks = stage(_packed_blocks(as_bytes, ["dim", "bucket", "part"], "").withColumn("block", F.monotonically_increasing_id()), "blocks")
+    blocks = stage(_packed_blocks(as_bytes, ["dim", "bucket", "part"]).withColumn("block", F.monotonically_increasing_id()), "blocks")
 
     chosen = vectors.where(F.col("id") % query_every == 0)
     q_sizes = chosen.groupBy("dim").agg(F.ceil(F.count("*") / query_block).alias("parts"))
     q_bytes = _vector_bytes(chosen.join(q_sizes, "dim").withColumn("part", F.pmod(F.xxhash64("uid"), "parts")))
-    queries = stage(_packed_blocks(q_bytes, ["dim", "part"], "").select(
+    queries = stage(_packed_blocks(q_bytes, ["dim", "part"]).select(
         F.col("dim").alias("q_dim"), F.col("part").alias("q_part"), F.col("uids").alias("q_uids"), F.col("vecs").alias("q_vecs"), F.col("rows").alias("q_rows"),
     ), "queries")
 
@@ -203,7 +213,7 @@ def topk_inner(
     marks = blocks.select("dim", "block", "most", "rows")
     seeds = marks.groupBy("dim").agg(F.max(F.struct("most", "block")).getField("block").alias("seed"))
     seeded = queries.join(seeds, queries["q_dim"] == seeds["dim"]).drop("dim").withColumn("q_bounds", _no_bounds("q_rows"))
-    paired = seeded.join(blocks.select("block", "uids", "vecs", "rows"), F.col("seed") == F.col("block"))
+    paired = seeded.join(blocks.select("block", "uids", "places", "vecs", "rows"), F.col("seed") == F.col("block"))
     first = _scored(paired, k)
     nth = F.row_number().over(Window.partitionBy("q_uid").orderBy(F.col("score").desc()))
     bound = first.withColumn("nth", nth).where(F.col("nth") == k).select("q_uid", F.col("score").alias("bound"))
@@ -211,7 +221,7 @@ def topk_inner(
 
     # Second round: every block that some query of the block may still need.
     reach = bounded.select("q_dim", "q_part", "ease").join(marks, F.col("q_dim") == F.col("dim")).where(F.col("ease") <= F.col("most") * (1 + SLACK)).select("q_dim", "q_part", "block")
-    pairs = reach.join(bounded.drop("ease"), ["q_dim", "q_part"]).join(blocks.select("block", "uids", "vecs", "rows"), "block")
+    pairs = reach.join(bounded.drop("ease"), ["q_dim", "q_part"]).join(blocks.select("block", "uids", "places", "vecs", "rows"), "block")
     scored = _scored(pairs.repartition("q_part", "block"), k)
     ids = vectors.select("uid", "id")
     better = Window.partitionBy("q_uid").orderBy(F.col("score").desc(), F.col("id").asc_nulls_last(), "uid")
