@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import string
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.session import settle
@@ -34,3 +37,26 @@ def packed(df: DataFrame) -> Column:
 
 def unpacked(row: str, columns: list[str]) -> list[Column]:
     return [F.col(f"{row}.c{i}").alias(name) for i, name in enumerate(columns)]
+
+
+# Bytes to themselves: digits, small letters and all of UTF-8 beyond ASCII. Large letters become small, the rest blank.
+WORD_BYTES = bytes(
+    b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
+)
+WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Bytes of a text that are cut into words at once.
+CUT_BYTES = 1 << 20
+
+
+def word_runs(body: bytes) -> Iterator[list[bytes]]:
+    """The words of a text (``WORDS``, A-Z lower-cased), as lists of about ``CUT_BYTES`` of it."""
+    blanked, at = body.translate(WORD_BYTES), 0
+    while at < len(blanked):
+        end = len(blanked) if at + CUT_BYTES >= len(blanked) else blanked.find(b" ", at + CUT_BYTES)
+        end = len(blanked) if end < 0 else end
+        yield blanked[at:end].split()
+        at = end
+
+
+def lower_ascii(text: Column) -> Column:
+    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, exact_dedup, html_text, licenses, mixing, packing, quality, secrets, simhash, topk
+from tidemark.llm import (
+    chat, decontaminate, exact_dedup, html_text, licenses, mixing, packing, quality, resampling, secrets, simhash, topk,
+)
 from tidemark.llm.common import ready
 from tidemark.plans.registry import Query, table
 
@@ -121,3 +123,49 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), length=4096, end_id=2)
+
+
+# Words of a text as the contract has them; the class is one of bytes below 0x80 and of all beyond.
+WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query("op11_decontaminate", f"""
+WITH docs AS (SELECT row_number() OVER () AS uid, doc_id, {WORDS_SQL} AS w FROM documents),
+items AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {WORDS_SQL} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, unnest(list_transform(range(0, greatest(len(w) - 10, 0) + 1), lambda i: w[i + 1:i + 10])) AS v FROM items WHERE len(w) > 0
+), each AS (SELECT DISTINCT v FROM windows),
+tokens AS (SELECT uid, unnest(range(1, len(w) + 1)) AS place, unnest(w) AS word FROM docs),
+amounts AS (SELECT word, count(*) AS n FROM tokens GROUP BY word),
+terms AS (SELECT v, generate_subscripts(v, 1) AS i, unnest(v) AS word FROM each),
+rarest AS (
+  SELECT v, arg_min(i, n) AS i, arg_min(word, n) AS word FROM (SELECT v, i, word, coalesce(n, 0) AS n FROM terms LEFT JOIN amounts USING (word)) GROUP BY v
+), anchors AS (
+  SELECT uid, place, v, i, w FROM rarest JOIN tokens USING (word) JOIN docs USING (uid)
+), hits AS (
+  SELECT uid, v, place - i + 1 AS start FROM anchors WHERE place - i >= 0 AND w[place - i + 1:place - i + len(v)] = v
+), near AS (
+  SELECT DISTINCT uid, v FROM anchors
+  WHERE len(list_filter(range(greatest(place - len(v) - 4, 1), place + 1), lambda s: list_has_all(w[s:s + len(v) + 4], v))) > 0
+), covered AS (
+  SELECT uid, count(DISTINCT place) AS n_hit FROM (SELECT uid, unnest(range(start, start + len(v))) AS place FROM hits) GROUP BY uid
+), owned AS (
+  SELECT uid, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items FROM (SELECT DISTINCT uid, item FROM hits JOIN windows USING (v)) GROUP BY uid
+), close AS (
+  SELECT uid, count(DISTINCT item) AS n_near FROM near JOIN windows USING (v) GROUP BY uid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
+FROM docs LEFT JOIN covered USING (uid) LEFT JOIN owned USING (uid) LEFT JOIN close USING (uid)
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10, slop=5)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"), F.size("near_items").cast("long").alias("n_near"),
+    )
+
+
+@query("op12_resampling")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), buckets=10_000, least_words=20, percent=5, seed=42)
