@@ -32,7 +32,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.common import WORDS, lower_ascii, named, ready, text_of, word_runs
 from tidemark.session import stage
@@ -273,14 +273,16 @@ def matches(postings: DataFrame, queries: Queries) -> DataFrame:
     return postings.mapInArrow(work, schema)
 
 
-def _covered(spans: Column) -> Column:
-    """Words in any of the spans."""
-    def add(acc: Column, s: Column) -> Column:
-        start = F.greatest(acc["upto"], s["start"])
-        return F.struct((acc["n"] + F.greatest(s["end"] - start, F.lit(0).cast("long"))).alias("n"), F.greatest(acc["upto"], s["end"]).alias("upto"))
-
-    zero = F.lit(0).cast("long")
-    return F.aggregate(F.array_sort(spans), F.struct(zero.alias("n"), zero.alias("upto")), add, lambda acc: acc["n"])
+def merged_spans(found: DataFrame) -> DataFrame:
+    """uid, spans, n_hit: the spans of all blocks, those that overlap or touch made one."""
+    each = found.select("uid", F.inline("spans"))
+    upto = F.max("end").over(Window.partitionBy("uid").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
+    begins = each.withColumn("first", F.coalesce(F.col("start") > upto, F.lit(True)).cast("int"))
+    group = F.sum("first").over(Window.partitionBy("uid").orderBy("start").rowsBetween(Window.unboundedPreceding, 0))
+    whole = begins.withColumn("group", group).groupBy("uid", "group").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return whole.groupBy("uid").agg(
+        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"), F.sum(F.col("end") - F.col("start")).alias("n_hit"),
+    )
 
 
 def decontaminate(
@@ -312,14 +314,13 @@ def decontaminate(
 
     # Every phrase is a proximity match too.
     hit = found.where(F.size("near") > 0)
-    spans = hit.groupBy("uid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     windows = [hit.select("uid", F.explode(c).alias("window"), F.lit(c == "windows").alias("exact")) for c in ("near", "windows")]
     items = windows[0].unionByName(windows[1]).join(owners, "window").groupBy("uid", "item").agg(F.max("exact").alias("exact")).groupBy("uid").agg(
         F.array_sort(F.collect_list(F.when(F.col("exact"), F.col("item")))).alias("items"), F.array_sort(F.collect_list("item")).alias("near_items"),
     )
     none = F.array().cast("array<string>")
-    return documents.join(spans.join(items, "uid"), "uid", "left").select(
+    return documents.join(items.join(merged_spans(hit), "uid", "left"), "uid", "left").select(
         F.col("id").alias(id_col), "n_words", F.coalesce("spans", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("spans"),
-        F.coalesce(_covered(F.col("spans")), F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", none).alias("items"),
+        F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", none).alias("items"),
         F.coalesce("near_items", none).alias("near_items"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    chat, decontaminate, exact_dedup, html_text, licenses, mixing, packing, quality, resampling, secrets, simhash, topk,
+    chat, decontaminate, exact_dedup, html_text, licenses, mixing, packing, prefix_trie, quality, resampling, secrets, simhash, topk,
 )
 from tidemark.llm.common import ready
 from tidemark.plans.registry import Query, table
@@ -169,3 +169,42 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_resampling")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), buckets=10_000, least_words=20, percent=5, seed=42)
+
+
+@query("op13_prefix_trie", r"""
+WITH tab AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)
+), rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+), own AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text)) AS turns
+  FROM rows GROUP BY conv_id
+), heads AS (
+  SELECT conv_id, turns, conv_id - conv_id % 20 AS base, xor(4294967295, list_reduce(
+    list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295::BIGINT)) % 4 AS h FROM own, tab
+), rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(b.turns, [])[1:h], o.turns[h + 1:]) AS s FROM heads o LEFT JOIN own b ON b.conv_id = o.base
+), prefixes AS (
+  SELECT conv_id, len(s) AS n, unnest(range(0, len(s) + 1)) AS d, s FROM rebuilt
+), nodes AS (
+  SELECT s[1:d] AS p, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d) AS ends
+  FROM prefixes GROUP BY 1, 2
+), children AS (
+  SELECT p[1:depth - 1] AS p, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1, 2
+), own_saved AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children,
+         CASE WHEN n.depth = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(p[n.depth].text, '[^\x20\x09-\x0D]+')) END AS saved
+  FROM nodes n LEFT JOIN children c USING (p, depth)
+), above AS (
+  SELECT p, saved, (n_children = 0)::BIGINT AS leaf, unnest(range(0, depth + 1)) AS up FROM own_saved
+), sums AS (
+  SELECT p[1:up] AS p, up AS depth, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM above GROUP BY 1, 2
+)
+SELECT n.conv_id, n.depth, q.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM own_saved n JOIN sums USING (p, depth) LEFT JOIN nodes q ON q.p = n.p[1:n.depth - 1] AND q.depth = n.depth - 1
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), group=20, shares=4)
