@@ -10,6 +10,7 @@ from tidemark.operators.numbering import first_n, number_rows
 from tidemark.sources import files as fs
 from tidemark.sources import records as rc
 from tidemark.sources import tables as tb
+from tidemark.sinks.commits import CommitConflict
 from tidemark.sources.state import StateTable, state_id
 
 
@@ -277,3 +278,24 @@ def test_windows_line_ends(spark, tmp_path):
     (tmp_path / "a.txt").write_bytes(b"one\r\ntwo\r\n\r\nla\rst")
     lines = fs.with_pointer(fs.text_lines(spark, str(tmp_path)))
     assert rows(lines.select("pointer", "line")) == [(0, "one"), (10, ""), (12, "la\rst"), (5, "two")]
+
+
+def test_of_two_runs_of_a_job_one_fails(spark, tmp_path):
+    one, two = (StateTable(spark, str(tmp_path / "state")) for _ in range(2))
+    assert one.read("a/b job") is None and two.read("a/b job") is None
+    one.commit("a/b job", 5)
+    with pytest.raises(CommitConflict):
+        two.commit("a/b job", 4)
+    assert two.read("a/b job") == 5
+    two.commit("a/b job", 6)
+    two.commit("a/b job", 7)
+    assert StateTable(spark, str(tmp_path / "state")).read("a/b job") == 7
+    assert one.read("other", default=3) == 3
+
+
+def test_many_runs_leave_few_files(spark, tmp_path):
+    state = StateTable(spark, str(tmp_path / "state"))
+    for mark in range(1000):
+        state.commit("job", mark)
+    assert state.read("job") == 999
+    assert len(list((tmp_path / "state" / "job=job").glob("*.json"))) == 16

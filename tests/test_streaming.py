@@ -3,13 +3,16 @@ from datetime import datetime, timedelta
 import pytest
 from conftest import rows
 from oracle import connect, differences
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tidemark.operators.changes import apply_changes
-from tidemark.operators.metrics import MetricSpec, key_time_metric, multi_metric
-from tidemark.plans import scan_queries
+from tidemark.operators.metrics import (
+    SEARCH_EVENT, MetricSpec, behaviour_days, behaviour_words, key_time_metric, merge_behaviour_words, multi_metric,
+)
+from tidemark.plans import jobs, scan_queries
 from tidemark.plans.catalog import QUERIES
-from tidemark.session import store_batch
+from tidemark.plans.jobs import Job
+from tidemark.sinks.batches import store_batch
 from tidemark.sinks.tables import read_changes
 from tidemark.sources.state import StateTable
 from tidemark.sources.tables import incremental_scan
@@ -162,7 +165,7 @@ def test_stream_metrics_are_counts_of_fixed_units(spark, tmp_path):
 
 
 def folders(path):
-    return sorted(int(p.name.partition("=")[2]) for p in path.iterdir() if p.name.startswith("batch_id="))
+    return sorted(int(p.name.split("-")[1]) for p in path.iterdir() if p.name.startswith("batch-"))
 
 
 def test_stored_updates_are_compacted(spark, tmp_path):
@@ -177,17 +180,57 @@ def test_stored_updates_are_compacted(spark, tmp_path):
     assert rows(got) == [("k0", at(0), 32), ("k1", at(0), 24), ("k2", at(0), 24)]
 
 
-def test_a_replayed_compaction_changes_nothing(spark, tmp_path):
-    out = str(tmp_path / "out")
-    schema = spark.createDataFrame([], "k string, count bigint").schema
+def add_up(df):
+    return df.groupBy("k").agg(F.sum("count").alias("count"))
+
+
+@pytest.mark.parametrize("replay", [False, True])
+def test_stored_partials_are_right_after_any_number_of_batches(spark, tmp_path, replay):
+    out, schema = str(tmp_path / "out"), spark.createDataFrame([], "k string, count bigint").schema
+    assert rows(stored_partials(spark, out, schema, add_up)) == []
+    for batch in range(3 * 3 + 1):
+        for _ in range(1 + replay):
+            store_batch(spark.createDataFrame([("a", 2**batch), (None, 1)], schema), out, batch, add_up, every=3)
+            assert rows(stored_partials(spark, out, schema, add_up)) == [("a", 2**(batch + 1) - 1), (None, batch + 1)]
+    assert len(folders(tmp_path / "out")) <= 2 * 3
+    with pytest.raises(ValueError, match="another run"):
+        store_batch(spark.createDataFrame([("a", 1)], schema), out, 0, add_up, every=3)
+
 
-    def merge(df):
-        return df.groupBy("k").agg(F.sum("count").alias("count"))
+def test_a_batch_that_fails_while_it_takes_others_in_loses_nothing(spark, tmp_path):
+    out, schema = str(tmp_path / "out"), spark.createDataFrame([], "k string, count bigint").schema
+    for batch in range(2):
+        store_batch(spark.createDataFrame([("a", 10**batch)], schema), out, batch, add_up, every=2)
 
-    for batch in (0, 1, 2, 2, 3, 3, 4, 4, 5):
-        store_batch(spark.createDataFrame([("a", 10**batch)], schema), out, batch, merge, every=2)
-    assert folders(tmp_path / "out") == [4, 5]
-    assert rows(stored_partials(spark, out, schema, merge)) == [("a", 111111)]
+    def broken(df):
+        return df.withColumn("k", F.raise_error(F.lit("lost")).cast("string"))
+
+    with pytest.raises(Exception, match="lost"):
+        store_batch(spark.createDataFrame([("a", 100)], schema), out, 2, broken, every=2)
+    assert rows(stored_partials(spark, out, schema, add_up)) == [("a", 11)]
+    store_batch(spark.createDataFrame([("a", 100)], schema), out, 2, add_up, every=2)
+    assert rows(stored_partials(spark, out, schema, add_up)) == [("a", 111)]
+
+
+@pytest.mark.parametrize("files", [2, 3, 4, 5, 6])
+def test_counts_of_a_job_and_of_behaviour_when_the_last_batch_takes_in_others(spark, tmp_path, files):
+    path = str(tmp_path / "in")
+    for i in range(files):
+        write(spark, path, [(i * 100 + j, f"k{j % 3}", at(i)) for j in range(100)])
+    stream = file_stream(spark, path, spark.read.parquet(path).schema, max_files=1)
+    job = Job(metrics=[MetricSpec("all", "k"), MetricSpec("day", "k", "day")], time="ts")
+    drain(job.stream(stream, lambda n: [], str(tmp_path / "job"), str(tmp_path / "c1"), every=2))
+    schema = T.StructType.fromDDL("metric_type string, metric string, data_time timestamp_ntz, count bigint")
+    found = stored_partials(spark, str(tmp_path / "job"), schema, jobs.add_up)
+    assert rows(found.groupBy("metric_type").agg(F.sum("count"))) == [("all", files * 100), ("day", files * 100)]
+
+    def words(df):
+        text = df.withColumns({"word": F.concat("k", (F.col("id") % 7).cast("string")), "kind": F.lit(SEARCH_EVENT), "made": F.col("ts")})
+        return behaviour_words(text, ["id"], "k", "ts", "kind", "word", "word", "made", "made")
+
+    drain(store_partials(stream, words, merge_behaviour_words, str(tmp_path / "words"), str(tmp_path / "c2"), every=2))
+    stored = stored_partials(spark, str(tmp_path / "words"), words(spark.read.parquet(path)).schema, merge_behaviour_words)
+    assert rows(behaviour_days(stored)) == rows(behaviour_days(words(spark.read.parquet(path))))
 
 
 def test_partials_of_an_empty_stream(spark, tmp_path):

@@ -13,7 +13,8 @@ from tidemark.functions import ntz
 from tidemark.operators.changes import apply_changes, flatten_changes
 from tidemark.operators.metrics import LABELS, MetricSpec, merge_partials, multi_metric, user_behaviour_metric
 from tidemark.operators.transforms import add_fields, clean_behaviour, strip_temp
-from tidemark.session import stage, staged, store_batch
+from tidemark.session import stage, staged
+from tidemark.sinks.batches import store_batch
 from tidemark.sinks.tables import Sink, fan_out
 from tidemark.sources.records import change_feed
 from tidemark.streaming.metrics import COMPACT_EVERY

@@ -17,6 +17,7 @@ from tidemark.plans.scan_queries import stream_of
 from tidemark.session import shared_folder
 from tidemark.sinks import records as rec
 from tidemark.sinks import tables as tb
+from tidemark.sinks.batches import stored_rows
 from tidemark.sources.records import change_feed
 from tidemark.sources.state import StateTable
 from tidemark.sources.tables import incremental_scan
@@ -379,7 +380,7 @@ UNION ALL SELECT 1, event_type, count(*) FROM events GROUP BY 2 HAVING count(*)
 def restarted(spark, sf_dir):
     """What each run wrote: the second goes on at the checkpoint, with files that came in between."""
     path, schema = in_two_runs(spark, events(spark, sf_dir), F.col("event_id") % 2 == 1, lambda sdf: stream_key_metric(sdf, "event_type"))
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])).parquet(path)
+    return stored_rows(spark, path, schema)
 
 
 @query("W5_periodic_increment", "SELECT 0 AS run, max(event_id) AS mark, count(*) AS n FROM events")

@@ -1,4 +1,4 @@
-"""Incremental state: the last mark of each job, kept in a small Parquet table."""
+"""Incremental state: the last mark of each job, kept in a commit log."""
 
 from __future__ import annotations
 
@@ -7,12 +7,11 @@ import json
 from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Any
+from urllib.parse import quote
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession, functions as F
-
-STATE_SCHEMA = "job_id string, seq bigint, mark string"
+from pyspark.sql import SparkSession
 
+from tidemark.sinks.commits import CommitLog
 
 def state_id(job_id: str, query: str | None = None) -> str:
     """The key of a job's state: the job id, or job id and query, so that a
@@ -22,39 +21,29 @@ def state_id(job_id: str, query: str | None = None) -> str:
 
 @dataclass
 class StateTable:
+    """One commit log per job. A run that reads the mark and then stores a new one fails with
+    ``CommitConflict`` where another run of the job has stored one in between."""
+
     spark: SparkSession
     path: str
-    _seq: dict[str, int] = field(default_factory=dict)
+    _seen: dict[str, int] = field(default_factory=dict)
 
-    def _latest(self, job_id: str):
-        found = None
-        try:
-            rows = self.spark.read.schema(STATE_SCHEMA).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":  # else nothing is stored yet
-                raise
-            rows = None
-        if rows is not None:
-            last = F.max(F.struct("seq", "mark")).alias("last")
-            found = rows.filter(F.col("job_id") == job_id).agg(last).first()["last"]
-        self._seq[job_id] = -1 if found is None else found["seq"]
-        return found
+    def _log(self, job_id: str) -> CommitLog:
+        return CommitLog(self.spark, f"{self.path.rstrip('/')}/job={quote(job_id, safe='')}")
 
     def read(self, job_id: str, default: Any = None, from_first: bool = False) -> Any:
         """The stored mark. ``from_first`` starts over from ``default``."""
-        last = self._latest(job_id)
-        return default if last is None or from_first else _decode(last["mark"])
+        self._seen[job_id], state = self._log(job_id).latest()
+        return default if "mark" not in state or from_first else _decode(state["mark"])
 
     def commit(self, job_id: str, mark: Any) -> None:
         """Store the mark. Call it after the output was written: a crash in between
         replays the increment, it never skips one."""
-        if job_id not in self._seq:
-            self._latest(job_id)
-        self._seq[job_id] += 1
-        row = [(job_id, self._seq[job_id], _encode(mark))]
-        rows = self.spark.createDataFrame(row, STATE_SCHEMA).coalesce(1)
-        # One folder per job, so that a job reads only its own few rows.
-        rows.write.mode("append").partitionBy("job_id").parquet(self.path)
+        log = self._log(job_id)
+        seen = self._seen.get(job_id)
+        version = (log.latest()[0] if seen is None else seen) + 1
+        log.commit(version, {"mark": _encode(mark)})
+        self._seen[job_id] = version
 
 
 def _encode(mark: Any) -> str:

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.times import bucket
 from tidemark.operators.metrics import UNKNOWN, MetricSpec, key_or_default
-from tidemark.session import store_batch
+from tidemark.sinks.batches import store_batch, stored_rows
 from tidemark.streaming.runs import trigger_options
 
 
@@ -87,10 +87,9 @@ def latest_metrics(spark: SparkSession, path: str, specs: Sequence[MetricSpec],
 
 def write_updates(stream: DataFrame, path: str, checkpoint: str, idle_s: float | None = None,
                   every: int = COMPACT_EVERY) -> StreamingQuery:
-    """Write running counts: each micro-batch replaces its own folder, so a
-    replayed batch counts once. No window is held back at the end. Each ``every``-th
-    batch takes in the newest counts of those before it, whose folders then go;
-    read the counts between runs."""
+    """Write running counts: a replayed batch replaces what it stored, so it counts once. No
+    window is held back at the end. After ``every`` batches the next one takes in the newest
+    counts of those before it, whose folders then go; read the counts between runs."""
     keys = [c for c in stream.columns if c != "count"]
 
     def put(batch: DataFrame, batch_id: int) -> None:
@@ -102,9 +101,7 @@ def write_updates(stream: DataFrame, path: str, checkpoint: str, idle_s: float |
 
 def latest_counts(spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType) -> DataFrame:
     """The newest count per key out of the stored updates."""
-    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    rows = spark.read.schema(full).parquet(path)
-    return _newest(rows, keys)
+    return _newest(stored_rows(spark, path, schema), keys)
 
 
 def _newest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -125,4 +122,4 @@ def store_partials(sdf: DataFrame, partial: Callable[[DataFrame], DataFrame], me
 
 def stored_partials(spark: SparkSession, path: str, schema: T.StructType, merge: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """What ``store_partials`` has stored so far, put together."""
-    return merge(spark.read.schema(schema).parquet(path))
+    return merge(stored_rows(spark, path, schema)).select(*schema.names)
