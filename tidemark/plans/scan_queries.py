@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.fs as pfs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import format_time, ntz, to_millis
@@ -37,6 +38,7 @@ from tidemark.sources.records import (
     truncate_bytes,
 )
 from tidemark.sources.state import StateTable
+from tidemark.sources.tail import tail_files
 from tidemark.sources.tables import (
     expr_scan,
     filter_scan,
@@ -308,6 +310,67 @@ def streamed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(out)
 
 
+def append_lines(lines: DataFrame, folder: str, run: int) -> None:
+    """Append to the files of a folder what comes by ``run``, and the first half of the line after that.
+
+    ``lines`` has ``file``, ``run``, ``place`` and ``line``; a task writes its files one after another. What a
+    file has already is left out, so a repeated task changes nothing.
+    """
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, have, at, out, done = None, 0, 0, None, False
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["file"] != name:
+                    if out is not None:
+                        out.close()
+                    name, at, done = row["file"], 0, False
+                    files, place = pfs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pfs.LocalFileSystem(), folder)
+                    files.create_dir(place)
+                    path = f"{place}/part-{name}.log"
+                    have = max(files.get_file_info(path).size or 0, 0)
+                    out = files.open_append_stream(path)
+                data = row["line"].encode()
+                if row["run"] > run:
+                    data, done = b"" if done else data[:len(data) // 2], True
+                out.write(data[max(0, have - at):])
+                at += len(data)
+        if out is not None:
+            out.close()
+        yield pa.RecordBatch.from_arrays([pa.array([name or 0], pa.int64())], names=["file"])
+
+    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lines.repartition(parts, "file").sortWithinPartitions("file", "run", "place")
+    dealt.mapInArrow(write, "file bigint").write.format("noop").mode("overwrite").save()
+
+
+@query("S21_tail_files", """
+SELECT event_id, event_type, user_id, epoch_us(ts) AS us FROM events""")
+def tailed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log of records of two lines that grows between three runs; each run ends within a record."""
+    events = table(spark, sf_dir, "events")
+    text = F.concat(
+        F.lit("["), F.unix_micros(F.col("ts").cast("timestamp")).cast("string"), F.lit("] "), F.col("event_id").cast("string"), F.lit(";"), F.col("event_type"),
+        F.lit("\n  user "), F.col("user_id").cast("string"), F.lit("\n"),
+    )
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = events.select(
+        F.pmod(F.xxhash64("event_id"), F.lit(files)).alias("file"), (F.col("event_id") % 3).alias("run"), F.col("event_id").alias("place"), text.alias("line"),
+    )
+    folder, out, checkpoint = (shared_folder(spark, n) for n in ("growing", "records", "checkpoint"))
+    for run in range(3):
+        append_lines(lines, folder, run)
+        # In the last run the files are at rest, so their last records are whole.
+        stream = tail_files(spark, folder, r"part-\d+\.log", r"^\[\d+\] ", idle_s=0 if run == 2 else None).select("record")
+        writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    part = F.regexp_extract
+    record = F.col("record")
+    return spark.read.schema("record string").parquet(out).select(
+        part(record, r"\] (\d+);", 1).cast("bigint").alias("event_id"), part(record, r";(.*)", 1).alias("event_type"),
+        part(record, r"\n  user (\d+)$", 1).cast("bigint").alias("user_id"), part(record, r"^\[(\d+)", 1).cast("bigint").alias("us"),
+    )
+
+
 @query("S22_archive_scan", """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, len(string_split(text, chr(10))) AS n,
