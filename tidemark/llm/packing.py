@@ -1,8 +1,10 @@
 """Pack documents into sequences of tokens, best fit decreasing.
 
-1. Tokens: words repeat, so a task keeps the ids of the words it has met and asks the
-   tokenizer for new ones only, many at a time. That is exact for a tokenizer that drops white space
-   and never joins across it (``word_bpe_49k``); ``by_word=False`` encodes whole texts.
+1. Tokens: words repeat, so a worker keeps the ids of the words it has met. A new word is cut into
+   its stem, in small letters, and the marks at its end, and the tokenizer is asked for parts that
+   are new, many at a time. That is exact for a tokenizer that lower-cases, drops white space and
+   joins neither across it nor letters with marks (``word_bpe_49k``); ``by_word=False`` encodes
+   whole texts.
 2. A document longer than a sequence is first cut into full windows; what is left
    over is its last piece. The pieces (numbers, no ids) are written once.
 3. Pieces are dealt into groups of about ``GROUP_TOKENS`` tokens by their place in
@@ -32,17 +34,39 @@ from tidemark.session import stage
 LENGTH = 4096
 END_ID = 2
 GROUP_TOKENS = 1 << 22
-# Words, and bytes of them, whose ids a task remembers; beyond that it starts to remember anew.
+# Words that a worker remembers, in two halves: the newer half is what was met since the older one was
+# full, so a word that comes again and again is never forgotten. About 150 bytes a word.
 KNOWN_WORDS = 1 << 20
-KNOWN_BYTES = 1 << 25
 # New words that the tokenizer gets at once.
-NEW_WORDS = 1 << 13
+NEW_WORDS = 1 << 9
+# ASCII punctuation; at the end of a word it is a token run of its own.
+MARKS = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum())
+
+
+class Memory:
+    """Words to their ids in two generations: what the older one alone knows moves when it is met."""
+
+    def __init__(self, most: int):
+        self.most = max(2, most)
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def add(self, word: bytes, ids: bytes) -> None:
+        self.new[word] = ids
+        if len(self.new) >= self.most // 2:
+            self.new, self.old = {}, self.new
+
+    def get(self, word: bytes) -> bytes | None:
+        found = self.new.get(word)
+        if found is None and (found := self.old.get(word)) is not None:
+            self.add(word, found)
+        return found
 
 
 class Encoder:
     """Little-endian 32-bit ids of texts in UTF-8."""
 
-    def __init__(self, path: str, by_word: bool):
+    def __init__(self, path: str, by_word: bool, known_words: int = KNOWN_WORDS):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -50,47 +74,82 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = by_word
-        self.known: dict[bytes, bytes] = {}
-        self.known_bytes = 0
+        self.words = Memory(known_words)
+        # Parts of words: lower-case stems, and marks at the end.
+        self.parts = Memory(known_words)
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, parts: list[bytes]) -> dict[bytes, bytes]:
         """Encode words in one line; the places of the tokens tell the words apart."""
-        texts = [w.decode() for w in words]
-        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        data = np.array(found.ids, dtype="<u4").tobytes()
-        ends = np.cumsum([len(t) + 1 for t in texts])
-        cuts = np.searchsorted([start for start, _ in found.offsets], ends).tolist()
-        at = 0
-        for word, cut in zip(words, cuts, strict=True):
-            self.known[word] = data[at * 4:cut * 4]
-            at = cut
+        learnt = {}
+        for at in range(0, len(parts), NEW_WORDS):
+            some = parts[at:at + NEW_WORDS]
+            texts = [w.decode() for w in some]
+            found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            data = np.array(found.ids, dtype="<u4").tobytes()
+            ends = np.cumsum([len(t) + 1 for t in texts])
+            cuts = np.searchsorted([start for start, _ in found.offsets], ends).tolist()
+            learnt.update(zip(some, [data[a * 4:b * 4] for a, b in zip([0, *cuts], cuts)], strict=True))
+        return learnt
+
+    @staticmethod
+    def cut(word: bytes) -> tuple[bytes, bytes]:
+        """A word as stem and marks, which are encoded one by one; no marks where they may not be cut off.
+
+        The tokenizer lower-cases, and cuts between a letter and a run of marks; a small letter may end in an accent.
+        """
+        stem = word.rstrip(MARKS)
+        if stem.isalpha() or stem and stem[-1] >= 0x80 and stem.decode()[-1].lower()[-1].isalpha():
+            return stem.lower(), word[len(stem):]
+        return word, b""
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
             return [np.array(self.tokenizer.encode(t.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
         # bytes.split() cuts at ASCII white space, which the tokenizer drops.
         split = [t.split() for t in texts]
-        if len(self.known) > KNOWN_WORDS or self.known_bytes > KNOWN_BYTES:
-            self.known.clear()
-            self.known_bytes = 0
-        known = self.known
-        found = [list(map(known.get, words)) for words in split]
+        new = self.words.new
+        found = [list(map(new.get, words)) for words in split]
         lacking = [None in ids for ids in found]
-        new = list({w for words, ids, lacks in zip(split, found, lacking, strict=True) if lacks for w, i in zip(words, ids, strict=True) if i is None})
-        for at in range(0, len(new), NEW_WORDS):
-            self._learn(new[at:at + NEW_WORDS])
-        self.known_bytes += sum(map(len, new))
-        return [
-            b"".join(map(known.__getitem__, words) if lacks else ids)
+        missing = {w for words, ids, lacks in zip(split, found, lacking, strict=True) if lacks for w, i in zip(words, ids, strict=True) if i is None}
+        # What this batch lacks, out of the older generation or out of its parts.
+        here: dict[bytes, bytes] = {}
+        cut: dict[bytes, tuple[bytes, bytes]] = {}
+        for word in missing:
+            ids = self.words.old.get(word)
+            if ids is None:
+                cut[word] = self.cut(word)
+            else:
+                here[word] = ids
+        parts: dict[bytes, bytes] = {}
+        unknown = []
+        for part in {p for both in cut.values() for p in both if p}:
+            ids = self.parts.get(part)
+            if ids is None:
+                unknown.append(part)
+            else:
+                parts[part] = ids
+        learnt = self._learn(unknown)
+        for part, ids in learnt.items():
+            self.parts.add(part, ids)
+        parts |= learnt
+        parts[b""] = b""
+        for word, (stem, marks) in cut.items():
+            here[word] = parts[stem] + parts[marks]
+        out = [
+            b"".join([i if i is not None else here[w] for w, i in zip(words, ids, strict=True)] if lacks else ids)
             for words, ids, lacks in zip(split, found, lacking, strict=True)
         ]
+        for word, ids in here.items():
+            self.words.add(word, ids)
+        return out
 
 
 def _encoder(path: str, by_word: bool) -> Encoder:
     """The encoder of this worker process: it serves many tasks, and what it has learnt stays."""
-    import tokenizers
+    import sys
+    import types
 
-    kept = tokenizers.__dict__.setdefault("kept_encoders", {})
+    kept = vars(sys.modules.setdefault("tidemark_worker", types.ModuleType("tidemark_worker"))).setdefault("encoders", {})
     if (path, by_word) not in kept:
         kept[path, by_word] = Encoder(path, by_word)
     return kept[path, by_word]
