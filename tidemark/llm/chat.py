@@ -27,7 +27,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import named, text_of
+from tidemark.llm.common import let, named, running_sums, text_of
 
 # Fixed values of the template.
 START, END = "<|im_start|>", "<|im_end|>"
@@ -50,18 +50,30 @@ def _role_in(role: Column) -> Column:
     return F.replace(F.replace(unescape(role), F.lit("%0A"), F.lit("\n")), F.lit("%25"), F.lit("%"))
 
 
-def events_of(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", delta_chars: int = 512) -> DataFrame:
+def events_of(
+    rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", delta_chars: int = 512, revised: bool = False,
+) -> DataFrame:
     """Messages as the log in which they would have been streamed: deltas of ``delta_chars`` code points.
 
-    Rows go by turn, then role and text; rows that agree in all of them stay apart.
+    With ``revised`` one message in three was drafted (its text backwards) and regenerated, and one was
+    drafted and edited. Rows go by turn, then role and text; rows that agree in all of them stay apart.
     """
     known = rows.select(named(conv_col).alias("conv"), named(turn_col).alias("turn"), text_of(role_col).alias("role"), text_of(text_col).alias("body"))
     numbered = known.withColumn("message", F.row_number().over(Window.partitionBy("conv").orderBy("turn", "role", "body")).cast("long"))
+
+    def event(seq: Column, kind: str, text: Column) -> Column:
+        return F.struct(seq.cast("long").alias("seq"), F.lit(kind).alias("kind"), text.alias("text"))
+
     # One pass over a text of any length; an empty one is one empty delta.
     cut = F.regexp_extract_all("body", F.lit(f"(?s).{{1,{delta_chars}}}"), F.lit(0))
     cut = F.when(F.col("body") == "", F.array(F.lit(""))).otherwise(cut)
-    deltas = F.transform(cut, lambda text, i: F.struct(i.cast("long").alias("seq"), text.alias("text")))
-    return numbered.select("conv", "message", "role", F.inline(deltas)).select("conv", "message", "seq", F.lit(DELTA).alias("kind"), "role", "text")
+    log = F.transform(cut, lambda text, i: event(i, DELTA, text))
+    if revised:
+        draft = event(F.lit(-2), DELTA, F.substring(F.reverse("body"), 1, delta_chars))
+        anew = F.concat(F.array(draft, event(F.lit(-1), REGENERATE, F.lit(""))), log)
+        edited = F.array(draft, event(F.lit(0), EDIT, F.col("body")))
+        log = F.when(F.col("message") % 3 == 0, anew).when(F.col("message") % 3 == 1, edited).otherwise(log)
+    return numbered.select("conv", "message", "role", F.inline(log)).select("conv", "message", "seq", "kind", "role", "text")
 
 
 def fold_events(events: DataFrame) -> DataFrame:
@@ -91,19 +103,15 @@ def render(messages: DataFrame) -> DataFrame:
             F.concat(F.lit(START), _role_out(m["role"]), F.lit("\n")).alias("head"), escape(m["text"]).alias("body"), (m["role"] == "assistant").alias("learn")
         ),
     )
-    spans = "array<struct<start:int,end:int>>"
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(spans).alias("spans"))
+    heads, bodies = F.transform("pieces", lambda p: F.length(p["head"])), F.transform("pieces", lambda p: F.length(p["body"]))
+    sizes = F.zip_with(heads, bodies, lambda h, b: h + b + len(END) + 1)
 
-    def step(acc: Column, p: Column) -> Column:
-        start = acc["at"] + F.length(p["head"])
-        end = start + F.length(p["body"])
-        new = F.array(F.struct(start.alias("start"), end.alias("end"))).cast(spans)
-        return F.struct(
-            (end + len(END) + 1).alias("at"), F.when(p["learn"], F.concat(acc["spans"], new)).otherwise(acc["spans"]).alias("spans")
-        )
+    def span(p: Column, at: Column) -> Column:
+        start = at + F.length(p["head"])
+        return F.when(p["learn"], F.struct(start.alias("start"), (start + F.length(p["body"])).alias("end")))
 
     whole = F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["body"], F.lit(END + "\n"))), "")
-    loss = F.aggregate("pieces", zero, step, lambda acc: acc["spans"])
+    loss = F.array_compact(F.zip_with("pieces", running_sums(sizes), span))
     return listed.withColumn("pieces", pieces).select("conv", whole.alias("formatted"), loss.alias("loss"))
 
 
@@ -120,8 +128,25 @@ def parse(formatted: Column) -> Column:
 
 
 def masked(formatted: Column, loss: Column) -> Column:
-    """The texts under the mask, read back and put together."""
-    return F.array_join(F.transform(loss, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["end"] - s["start"]))), "")
+    """The texts under the mask, read back and put together; a span lies within one message.
+
+    The text is cut at the marks once, and each span follows the message that it lies in when both
+    are sorted by place, so the work grows with the text and not with text times spans.
+    """
+    def messages(parts: Column) -> Column:
+        starts = running_sums(F.transform(parts, lambda p: F.length(p) + len(START)))
+        return F.zip_with(parts, starts, lambda p, at: F.struct(at.alias("at"), F.lit(None).cast("int").alias("end"), p.alias("text")))
+
+    def texts(placed: Column) -> Column:
+        before = F.concat(F.slice(placed, 1, 1), placed)
+        return F.zip_with(placed, F.slice(before, F.lit(1), F.size(placed)), lambda s, m: F.when(
+            s["end"].isNotNull(), unescape(F.substring(m["text"], s["at"] - m["at"] + 1, s["end"] - s["at"]))
+        ))
+
+    spans = F.transform(loss, lambda s: F.struct(s["start"].alias("at"), s["end"].alias("end"), F.lit(None).cast("string").alias("text")))
+    parts = F.split(formatted, r"<\|im_start\|>", -1)
+    # Where a span begins right behind a mark, the message has the place too and goes first: it has no end.
+    return F.array_join(let(F.array_sort(F.concat(let(parts, messages), spans)), texts), "")
 
 
 def format_chats(events: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -60,3 +60,31 @@ def word_runs(body: bytes) -> Iterator[list[bytes]]:
 
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once for each row."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+SUMMED = 256
+
+
+def running_sums(amounts: Column) -> Column:
+    """For each element (int) the sum of those before it; blocks, as each added element copies the array so far."""
+
+    def added(values: Column, start: Column) -> Column:
+        zero = F.struct(start.alias("at"), F.array().cast("array<int>").alias("sums"))
+        return F.aggregate(
+            values, zero, lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.array_append(acc["sums"], acc["at"]).alias("sums")), lambda acc: acc["sums"]
+        )
+
+    def blocks(a: Column) -> Column:
+        last = F.greatest(F.floor((F.size(a) - 1) / SUMMED), F.lit(0)).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(a, b * SUMMED + 1, SUMMED))
+
+    def summed(cut: Column) -> Column:
+        totals = F.transform(cut, lambda block: F.aggregate(block, F.lit(0), lambda acc, x: acc + x))
+        return F.flatten(F.zip_with(cut, added(totals, F.lit(0)), added))
+
+    return let(amounts, lambda a: let(blocks(a), summed))

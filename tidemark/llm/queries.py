@@ -89,7 +89,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text")
     )
-    chats = chat.format_chats(chat.events_of(rows.unionByName(own)))
+    chats = chat.format_chats(chat.events_of(rows.unionByName(own), revised=True))
     read = chats.withColumn("turns", chat.parse(F.col("formatted"))).withColumn("learned", chat.masked(F.col("formatted"), F.col("loss")))
     lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(

@@ -23,7 +23,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import named, text_of
+from tidemark.llm.common import let, named, running_sums, text_of
 
 # Fixed values of the contract: kind, pattern, group that is measured, least length.
 PATTERNS = (
@@ -54,15 +54,16 @@ _SPAN = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
 
 def _places(gaps: str, hits: str, values: str, found) -> Column:
-    """Fold pieces and matches into spans; ``found(value, start, end)`` gives an array of new ones."""
-    start_state = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans"))
+    """Spans out of pieces and matches; ``found(value, start, end)`` gives an array of those of a match."""
+    def spans(x: Column, at: Column) -> Column:
+        start = at + F.length(x[gaps])
+        return found(x[values], start, start + F.coalesce(F.length(x[hits]), F.lit(0)))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x[gaps])
-        end = start + F.coalesce(F.length(x[hits]), F.lit(0))
-        return F.struct(end.alias("at"), F.concat(acc["spans"], found(x[values], start, end)).alias("spans"))
+    def listed(pairs: Column) -> Column:
+        sizes = F.transform(pairs, lambda x: F.length(x[gaps]) + F.coalesce(F.length(x[hits]), F.lit(0)))
+        return F.flatten(F.zip_with(pairs, running_sums(sizes), spans))
 
-    return F.aggregate(F.arrays_zip(gaps, hits, values), start_state, step, lambda acc: acc["spans"])
+    return let(F.arrays_zip(gaps, hits, values), listed)
 
 
 def _span(start: Column, kind: str, end: Column) -> Column:
@@ -112,55 +113,49 @@ def window_range(token: Column, bits: Column, by_window: bool = False) -> Column
     ``by_window``: the class of a window may lower its bound, and allowed ones do not count.
     """
     weight = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 1)])
-    codes = F.transform(F.filter(F.split(token, ""), lambda ch: ch != ""), lambda ch: F.ascii(ch))
-    # Each step gets the entering code and, WINDOW characters behind, the leaving one.
-    moves = F.arrays_zip(codes, F.concat(F.array_repeat(F.lit(-1), WINDOW), codes))
     none = F.lit(None).cast("int")
     kinds = _kinds()
     windows = F.sequence(F.lit(0), F.greatest(F.length(token) - WINDOW, F.lit(0)))
     held = F.transform(windows, lambda i: F.substring(token, i + 1, WINDOW).rlike(ALLOWED_IN_WINDOW))
     held = F.when(token.rlike(ALLOWED_IN_WINDOW), held).otherwise(F.array().cast("array<boolean>"))
+    zero = F.struct(F.lit(0.0).alias("sum"), none.alias("lo"), none.alias("hi"), F.lit(0).alias("kinds"))
 
-    zero = F.struct(
-        F.lit(0).alias("i"), F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("sum"),
-        none.alias("lo"), none.alias("hi"), F.lit(0).alias("kinds"), held.alias("held"),
-    )
-
-    def enough(acc: Column, entropy: Column, seen: Column) -> Column:
+    def enough(entropy: Column, seen: Column, allowed: Column) -> Column:
         if not by_window:
             return entropy >= bits
         digits = seen.bitwiseAND(0xFF)
         all_of = [F.shiftright(seen, by).bitwiseAND(0xFF) == WINDOW for by in (8, 16)]
         mixed = (digits > 0) & (digits < WINDOW)
         bound = F.least(bits, F.when(mixed & all_of[0], HEX_BITS).when(mixed & all_of[1], ALNUM_BITS))
-        allowed = F.coalesce(F.get(acc["held"], acc["i"] + 1 - WINDOW), F.lit(False))
         return (entropy >= bound) & (F.shiftright(seen, 24) == 0) & ~allowed
 
-    def change(acc_counts: Column, code: Column, by: int) -> Column:
-        return F.transform(acc_counts, lambda c, k: F.when(k == code, c + by).otherwise(c))
-
-    def step(acc: Column, move: Column) -> Column:
-        enter, leave = move["0"], move["1"]
-        before = F.coalesce(F.get(acc["counts"], leave), F.lit(0))
-        lost = F.when(leave >= 0, F.get(weight, before) - F.get(weight, before - 1)).otherwise(0.0)
-        # The count of the entering code, after the leaving one has gone.
-        had = F.get(acc["counts"], enter) - F.when(enter == leave, 1).otherwise(0)
-        total = acc["sum"] - lost + F.get(weight, had + 1) - F.get(weight, had)
-        entropy = F.lit(math.log2(WINDOW)) - total / WINDOW
-        seen = acc["kinds"] + F.get(kinds, enter) - F.when(leave >= 0, F.get(kinds, leave)).otherwise(0)
-        high = (acc["i"] >= WINDOW - 1) & enough(acc, entropy, seen)
-        return F.struct(
-            (acc["i"] + 1).alias("i"),
-            change(change(acc["counts"], leave, -1), enter, 1).alias("counts"),
-            total.alias("sum"),
-            F.when(high & acc["lo"].isNull(), acc["i"] + 1 - WINDOW).otherwise(acc["lo"]).alias("lo"),
-            F.when(high, acc["i"] + 1).otherwise(acc["hi"]).alias("hi"),
-            seen.alias("kinds"),
-            acc["held"].alias("held"),
-        )
-
-    # The zip is as long as its longer side: moves without an entering code are cut off.
-    return F.aggregate(F.slice(moves, F.lit(1), F.size(codes)), zero, step, lambda acc: F.struct(acc["lo"].alias("lo"), acc["hi"].alias("hi")))
+    def many(window: Column, code: Column) -> Column:
+        return F.size(window) - F.size(F.array_remove(window, code))
+
+    def range_of(codes: Column, held: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            enter, full = F.get(codes, i), i >= WINDOW
+            # Only the counts of the leaving and of the entering character change: WINDOW characters lie
+            # before the entering one, and those that stay are all but the first of them.
+            leave = F.get(codes, i - WINDOW)
+            before = F.slice(codes, F.greatest(i - WINDOW, F.lit(0)) + 1, F.least(i, F.lit(WINDOW)))
+            stay = F.slice(codes, F.greatest(i - WINDOW + 1, F.lit(0)) + 1, F.least(i, F.lit(WINDOW - 1)))
+            gone, had = many(before, leave), many(stay, enter)
+            lost = F.when(full, F.get(weight, gone) - F.get(weight, gone - 1)).otherwise(0.0)
+            total = acc["sum"] - lost + F.get(weight, had + 1) - F.get(weight, had)
+            entropy = F.lit(math.log2(WINDOW)) - total / WINDOW
+            seen = acc["kinds"] + F.get(kinds, enter) - F.when(full, F.get(kinds, leave)).otherwise(0)
+            allowed = F.coalesce(F.get(held, i + 1 - WINDOW), F.lit(False))
+            high = (i >= WINDOW - 1) & enough(entropy, seen, allowed)
+            return F.struct(
+                total.alias("sum"), F.when(high & acc["lo"].isNull(), i + 1 - WINDOW).otherwise(acc["lo"]).alias("lo"),
+                F.when(high, i + 1).otherwise(acc["hi"]).alias("hi"), seen.alias("kinds"),
+            )
+
+        return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), zero, step, lambda acc: F.struct(acc["lo"].alias("lo"), acc["hi"].alias("hi")))
+
+    codes = F.transform(F.filter(F.split(token, ""), lambda ch: ch != ""), lambda ch: F.ascii(ch))
+    return let(codes, lambda c: let(held, lambda h: range_of(c, h)))
 
 
 def _high_entropy(value: Column, start: Column, end: Column) -> Column:
