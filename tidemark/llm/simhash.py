@@ -150,18 +150,18 @@ def components(edges: DataFrame) -> DataFrame:
 def simhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = DISTANCE) -> DataFrame:
     """One row per input row: id, fingerprint (16 hex digits), component_id (its smallest identifier), text_hash, kept.
 
-    One row of a component is kept: that of the smallest identifier, then text hash.
+    One row of a component is kept: that of the smallest identifier, then text hash, then any of those that repeat it.
     """
     if distance != DISTANCE:
         raise ValueError("the shared middle of two fingerprints proves 2 differing bits, no other number")
-    docs = stage(fingerprints(df, id_col, text_col, shingle), "fingerprints")
-    first = F.struct(F.col("id").isNull().alias("last"), F.col("id").alias("id"), F.col("text_hash").alias("text_hash"))
+    docs = stage(fingerprints(df, id_col, text_col, shingle).withColumn("place", F.monotonically_increasing_id()), "fingerprints")
+    first = F.struct(F.col("id").isNull().alias("last"), F.col("id").alias("id"), F.col("text_hash").alias("text_hash"), F.col("place").alias("place"))
     nodes = stage(docs.groupBy("fp").agg(F.min(first).alias("first"), F.count("*").alias("rows")), "nodes")
     roots = components(links(nodes.select("fp")))
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
     firsts = rooted.groupBy("root").agg(F.min("first").alias("first"))
     member = rooted.select("fp", "root").join(firsts, "root").select("fp", "first")
-    kept = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    kept = F.col("place") == F.col("first.place")
     return docs.join(member, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("first.id").alias("component_id"), "text_hash", kept.alias("kept"),
@@ -169,9 +169,14 @@ def simhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = DISTANCE) -> DataFrame:
-    """One document of each component, with all its columns (rows that agree in identifier and text are one document)."""
+    """One row of each component, with all its columns. Of rows that agree in identifier and text any one stays."""
     found = simhash_dedup(df, id_col, text_col, shingle, distance)
-    gone = found.where("not kept").select(named(id_col).alias("id"), "text_hash").distinct()
+    # Documents of which not every row stays: mostly all rows go, and one stays where the kept row is repeated.
+    decided = found.groupBy(named(id_col).alias("id"), "text_hash").agg(F.max("kept").alias("one"), F.count("*").alias("rows"))
+    decided = decided.where(~F.col("one") | (F.col("rows") > 1))
     docs = df.select(named(id_col).alias("d_id"), F.xxhash64(text_of(text_col)).alias("d_hash"), packed(df).alias("doc"))
-    same = docs["d_id"].eqNullSafe(gone["id"]) & (docs["d_hash"] == gone["text_hash"])
-    return docs.join(gone, same, "left_anti").select(*unpacked("doc", df.columns))
+    same = docs["d_id"].eqNullSafe(decided["id"]) & (docs["d_hash"] == decided["text_hash"])
+    met = docs.join(decided, same, "left")
+    nth = F.row_number().over(Window.partitionBy("d_id", "d_hash").orderBy(F.lit(1)))
+    repeated = met.where("one").select("d_id", "d_hash", "doc").withColumn("nth", nth).where("nth = 1")
+    return met.where(F.col("one").isNull()).select("doc").unionByName(repeated.select("doc")).select(*unpacked("doc", df.columns))
