@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tidemark.functions import bucket, calendar_labels
@@ -258,6 +259,45 @@ def user_behaviour_metric(df: DataFrame, order_cols: Sequence[str], **columns: A
     return behaviour_days(behaviour_words(df, order_cols, **columns))
 
 
+# From this many words on a day's text is put together by an automaton.
+MANY_WORDS = 512
+
+
+def join_new_words(words: Sequence[str], sep: str = ";") -> str | None:
+    """Words in order, leaving out each that the text so far contains.
+
+    A word without ``sep`` is in the text if and only if it is part of an earlier word: that one is in the
+    text, or is part of a word before it that is. So the words are matched against each other once, by an
+    automaton over all of them, and not against a text that grows.
+    """
+    import ahocorasick
+
+    first: dict[str, int] = {}
+    for i, word in enumerate(words):
+        first.setdefault(word, i)
+    inside = ahocorasick.Automaton()
+    for word, i in first.items():
+        if word:
+            inside.add_word(word, i)
+    host: dict[int, int] = {}
+    if len(inside):
+        inside.make_automaton()
+        for word, i in first.items():
+            for _, part in inside.iter(word):
+                if i < host.get(part, part):
+                    host[part] = i
+    text: list[str] = []
+    for word, i in first.items():
+        # The empty word is in any text, and a word with the separator may lie across several.
+        if word == "" or sep in word:
+            fresh = not text or word not in sep.join(text)
+        else:
+            fresh = i not in host
+        if fresh:
+            text.append(word)
+    return sep.join(text) if text else None
+
+
 def _join_new_words(said: str, sep: str = ";") -> Column:
     def add(text: Column, item: Column) -> Column:
         fresh = item["word"]
@@ -265,7 +305,14 @@ def _join_new_words(said: str, sep: str = ";") -> Column:
             F.when(text.isNull(), fresh).when(F.contains(text, fresh), text).otherwise(F.concat(text, F.lit(sep), fresh))
         )
 
-    return F.aggregate(said, F.lit(None).cast("string"), add)
+    @F.pandas_udf("string")
+    def joined(words: pd.Series) -> pd.Series:
+        return words.map(lambda w: None if w is None else join_new_words(w, sep))
+
+    # Adding words one by one looks through the text for each: only for days of few words.
+    short = F.aggregate(F.when(F.size(said) < MANY_WORDS, F.col(said)), F.lit(None).cast("string"), add)
+    many = joined(F.when(F.size(said) >= MANY_WORDS, F.transform(said, lambda item: item["word"])))
+    return F.coalesce(many, short)
 
 
 def metrics_by_target(metrics: DataFrame, names: Sequence[str]) -> dict[str, DataFrame]:

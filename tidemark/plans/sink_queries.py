@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.changes import apply_changes
@@ -22,6 +25,8 @@ from tidemark.sources.records import change_feed
 from tidemark.sources.state import StateTable
 from tidemark.sources.tables import incremental_scan
 from tidemark.streaming import (
+    EndMarks,
+    closed_rows,
     file_stream,
     latest_counts,
     latest_metrics,
@@ -33,8 +38,10 @@ from tidemark.streaming import (
     stream_key_metric,
     stream_key_time_metric,
     stream_multi_metric,
+    write_closed,
     write_updates,
 )
+from tidemark.streaming.state import stream_behaviour
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,21 +275,83 @@ def streamed_windows(spark: SparkSession, sf_dir: str, key: str, window_type: st
     return stored_partials(spark, path, counts(stream).schema, merged)
 
 
-@query("W1_stream_key_time_metric", f"SELECT *, {LABELS_SQL} FROM ({bucketed('event_type', 'day')})")
-def streamed_days(spark, sf_dir):
-    return with_labels(streamed_windows(spark, sf_dir, "event_type", "day"))
+@query("W1_stream_backfill", bucketed("event_type", "day"))
+def streamed_backfill(spark, sf_dir):
+    """A table read as a stream from its beginning, whose files come in any order of time."""
+    return streamed_windows(spark, sf_dir, "event_type", "day")
 
 
-@query("W2_flush_open_windows", bucketed("CAST(user_id AS VARCHAR)", "hour"))
-def streamed_hours(spark, sf_dir):
-    """No window is held back at the end of the stream."""
-    return streamed_windows(spark, sf_dir, "user_id", "hour")
+# How long the streams in order of time wait for late rows.
+DELAY_S = 100
+
+
+def arriving_in_order(spark: SparkSession, rows: DataFrame, source: str, runs: int) -> Iterator[datetime]:
+    """Write the rows of one part of time after the other; before each next part the caller runs the stream."""
+    first, last = rows.agg(F.min("ts"), F.max("ts")).first()
+    step = (last - first) / runs
+    for i in range(runs):
+        after = F.lit(True) if i == 0 else F.col("ts") >= F.lit(first + i * step)
+        before = F.lit(True) if i == runs - 1 else F.col("ts") < F.lit(first + (i + 1) * step)
+        rows.where(after & before).write.mode("append").parquet(source)
+        yield last
+
+
+def in_order_of_time(spark: SparkSession, sf_dir: str, key: str, window_type: str) -> DataFrame:
+    """Counts by key and window of four runs in order of time: what comes later than the watermark is dropped, here nothing."""
+    rows = events(spark, sf_dir)
+    source, path, checkpoint = shared_folder(spark, "arriving"), shared_folder(spark, "updates"), shared_folder(spark, "checkpoint")
+    for _ in arriving_in_order(spark, rows, source, 4):
+        stream = stream_key_time_metric(file_stream(spark, source, rows.schema), key, "ts", window_type, f"{DELAY_S} seconds")
+        write_updates(stream, path, checkpoint).awaitTermination()
+    return latest_counts(spark, path, ["metric", "data_time"], stream.schema)
+
+
+@query("W1_stream_key_time_metric", f"SELECT *, {LABELS_SQL} FROM ({bucketed('event_type', 'day')})")
+def streamed_days(spark, sf_dir):
+    return with_labels(in_order_of_time(spark, sf_dir, "event_type", "day"))
 
 
 @query("W1_stream_month_metric", bucketed("event_type", "month"))
 def streamed_months(spark, sf_dir):
     """Streamed by day, rolled up to months."""
-    return roll_up(streamed_windows(spark, sf_dir, "event_type", "day"), "month")
+    return roll_up(in_order_of_time(spark, sf_dir, "event_type", "day"), "month")
+
+
+def closed_and_flushed(spark: SparkSession, rows: DataFrame, time: str, window_s: int, closing) -> DataFrame:
+    """What a stream in append mode gives out over two runs in order of time, and then (``flushed``) at its end."""
+    source, path, checkpoint = shared_folder(spark, "arriving"), shared_folder(spark, "closed"), shared_folder(spark, "checkpoint")
+    marks = EndMarks(spark, shared_folder(spark, "marks"))
+
+    def run() -> DataFrame:
+        stream = closing(marks.attach(file_stream(spark, source, rows.schema), time))
+        write_closed(stream, path, checkpoint).awaitTermination()
+        return closed_rows(spark, path, stream.schema)
+
+    for newest in arriving_in_order(spark, rows, source, 2):
+        before = run()
+    last = before.agg(F.max("batch_id")).first()[0]
+    marks.put(newest, window_s, DELAY_S)
+    return run().withColumn("flushed", F.col("batch_id") > F.lit(-1 if last is None else last)).drop("batch_id")
+
+
+@query("W2_flush_open_windows", f"""
+SELECT *, data_time + INTERVAL 1 HOUR > (SELECT max(ts) - INTERVAL {DELAY_S} SECOND FROM events) AS flushed
+FROM ({bucketed("CAST(user_id AS VARCHAR)", "hour")})""")
+def streamed_hours(spark, sf_dir):
+    """Closed hours as the watermark passes them; those still open at the end come by the flush."""
+    return closed_and_flushed(
+        spark, events(spark, sf_dir), "ts", 3600, lambda sdf: stream_key_time_metric(sdf, "user_id", "ts", "hour", f"{DELAY_S} seconds")
+    )
+
+
+@query("A9_stream_state", BEHAVIOUR_SQL)
+def behaviour_state(spark, sf_dir):
+    """A user's day kept as state, given out when the day is over and, for the last day, at the end of the stream."""
+    # The watermark follows the ends of days, so the mark is put a day and the delay behind the newest one.
+    found = closed_and_flushed(
+        spark, behaviour_rows(spark, sf_dir), "ts", 24 * 3600, lambda sdf: stream_behaviour(sdf, delay=f"{DELAY_S} seconds", **BEHAVIOUR)
+    )
+    return found.drop("flushed")
 
 
 @query("W1_stream_multi_metric", f"""

@@ -1,4 +1,6 @@
+from tidemark.streaming.flush import EndMarks, without_marks
 from tidemark.streaming.metrics import (
+    closed_rows,
     latest_counts,
     latest_metrics,
     store_partials,
@@ -6,6 +8,7 @@ from tidemark.streaming.metrics import (
     stream_key_metric,
     stream_key_time_metric,
     stream_multi_metric,
+    write_closed,
     write_updates,
 )
 from tidemark.streaming.runs import (
@@ -19,6 +22,7 @@ from tidemark.streaming.runs import (
 )
 
 __all__ = [
-    "drain", "file_stream", "late_rows", "latest_counts", "latest_metrics", "run_increment", "store_partials", "stored_partials", "stream_apply",
-    "stream_fan_out", "stream_key_metric", "stream_key_time_metric", "stream_multi_metric", "trigger_options", "write_updates",
+    "EndMarks", "closed_rows", "drain", "file_stream", "late_rows", "latest_counts", "latest_metrics", "run_increment", "store_partials", "stored_partials", "stream_apply",
+    "stream_fan_out", "stream_key_metric", "stream_key_time_metric", "stream_multi_metric", "trigger_options", "without_marks",
+    "write_closed", "write_updates",
 ]

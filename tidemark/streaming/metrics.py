@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.times import bucket
 from tidemark.operators.metrics import UNKNOWN, MetricSpec, key_or_default
 from tidemark.sinks.batches import store_batch, stored_rows
+from tidemark.streaming.flush import without_marks
 from tidemark.streaming.runs import trigger_options
 
 
@@ -27,11 +28,11 @@ def stream_key_time_metric(sdf: DataFrame, key: Column | str, time: str, window_
     dropped and counted (``late_rows``). Any output mode works: ``append`` gives
     closed windows, ``update`` running counts. For weeks, months and years,
     stream by day and ``roll_up`` what was written: the stream then never has
-    to keep more than the open days.
+    to keep more than the open days. ``EndMarks`` attached to ``sdf`` give out the last windows.
     """
     if window_type not in FIXED_WINDOWS:
         raise ValueError(f"window_type must be one of {tuple(FIXED_WINDOWS)}; stream by day and roll up")
-    event = sdf.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
+    event = without_marks(sdf.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay), time)
     start = F.window(time, FIXED_WINDOWS[window_type])
     counts = event.groupBy(start.alias("_w"), key_or_default(key, default).alias("metric")).agg(
         F.count(F.lit(1)).alias("count")
@@ -99,6 +100,22 @@ def write_updates(stream: DataFrame, path: str, checkpoint: str, idle_s: float |
     return writer.trigger(**trigger_options(idle_s)).start()
 
 
+def write_closed(stream: DataFrame, path: str, checkpoint: str, idle_s: float | None = None, every: int = COMPACT_EVERY) -> StreamingQuery:
+    """Write what is given out once (append mode): closed windows, the state of keys whose time is over.
+
+    ``closed_rows`` reads it, with the batch that gave it out unless later batches have taken it in."""
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        store_batch(batch, path, batch_id, lambda rows: rows, every)
+
+    writer = stream.writeStream.outputMode("append").foreachBatch(put).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger_options(idle_s)).start()
+
+
+def closed_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return stored_rows(spark, path, schema)
+
+
 def latest_counts(spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType) -> DataFrame:
     """The newest count per key out of the stored updates."""
     return _newest(stored_rows(spark, path, schema), keys)
