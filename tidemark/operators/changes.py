@@ -76,12 +76,12 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str], se
         born = F.col("_ins").isNotNull() & (F.col("_del").isNull() | (F.col("_ins") > F.col("_del")))
         kept = F.col("_del").isNull() & F.coalesce(F.col("_old"), F.lit(False))
         # The target is cut to the changed keys first, so a small batch does not shuffle it.
-        old = _having_key(target, last, keys).select(*[F.col(k).alias(f"_k_{k}") for k in keys]).withColumn("_old", F.lit(True))
+        old = having_key(target, last, keys).select(*[F.col(k).alias(f"_k_{k}") for k in keys]).withColumn("_old", F.lit(True))
         alive = seen.join(old, _same_key(seen, old, keys), "left").filter(born | kept)
-        put = _having_key(put, alive, keys)
+        put = having_key(put, alive, keys)
     types = dict(target.dtypes)
     rows = put.select(*[F.col(c).cast(types[c]).alias(c) for c in cols])
-    return _having_key(target, last.select(*keys), keys, "left_anti").unionByName(rows)
+    return having_key(target, last.select(*keys), keys, "left_anti").unionByName(rows)
 
 
 def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -89,7 +89,7 @@ def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(and_, [left[k].eqNullSafe(right[f"_k_{k}"]) for k in keys])
 
 
-def _having_key(df: DataFrame, found: DataFrame, keys: Sequence[str], how: str = "left_semi") -> DataFrame:
+def having_key(df: DataFrame, found: DataFrame, keys: Sequence[str], how: str = "left_semi") -> DataFrame:
     wanted = found.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
     return df.join(wanted, _same_key(df, wanted, keys), how)
 

@@ -21,6 +21,7 @@ from tidemark.session import shared_folder
 from tidemark.sinks import records as rec
 from tidemark.sinks import tables as tb
 from tidemark.sinks.batches import stored_rows
+from tidemark.sinks.buckets import BucketTable, stream_into
 from tidemark.sources.records import change_feed
 from tidemark.sources.state import StateTable
 from tidemark.sources.tables import incremental_scan
@@ -471,6 +472,24 @@ def streamed_keys(spark, sf_dir):
     return streamed_counts(spark, stream_key_metric(stream_of(spark, sf_dir, "events"), "event_type"), ["metric"])
 
 
+@query("W7_bucket_table", """
+SELECT o_orderkey, o_custkey, round(CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END, 2) AS price
+FROM orders WHERE o_orderkey % 7 <> 0
+UNION ALL SELECT -1 - c_custkey, c_custkey, round(c_acctbal, 2) FROM customer""")
+def bucket_table(spark, sf_dir):
+    """A change feed in three parts, streamed into a table of hash buckets that is merged when it is read."""
+    feed_path, checkpoint = shared_folder(spark, "feed"), shared_folder(spark, "checkpoint")
+    old = old_orders(spark, sf_dir)
+    buckets = BucketTable(spark, shared_folder(spark, "buckets"), old.schema, ["o_orderkey"], buckets=16, most_deltas=2)
+    buckets.load(old)
+    shop = change_feed(order_changes(spark, sf_dir), ["shop.orders"])
+    # Inserts come last: their seq is that of the first change of a key.
+    for op in ("D", "U", "I"):
+        shop.where(F.col("op") == op).write.mode("append").parquet(feed_path)
+        stream_into(file_stream(spark, feed_path, shop.schema), buckets, checkpoint, "feed").awaitTermination()
+    return buckets.read().withColumn("price", F.round("price", 2))
+
+
 @query("W7_stream_apply", """
 SELECT o_orderkey, o_custkey, round(CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END, 2) AS price
 FROM orders WHERE o_orderkey % 7 <> 0
