@@ -7,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 
 from tidemark.operators.changes import apply_changes
 from tidemark.operators.metrics import (
-    SEARCH_EVENT, MetricSpec, behaviour_days, behaviour_words, key_time_metric, merge_behaviour_words, multi_metric,
+    SEARCH_EVENT, MetricSpec, behaviour_days, behaviour_words, count_of, greatest_of, key_time_metric, mean_of, merge_behaviour_words, multi_metric, total_of,
 )
 from tidemark.plans import jobs, scan_queries
 from tidemark.plans.catalog import QUERIES
@@ -156,7 +156,7 @@ def test_stream_metrics_are_counts_of_fixed_units(spark, tmp_path):
     path = str(tmp_path / "in")
     write(spark, path, [(1, "a", at(0))])
     sdf = file_stream(spark, path, spark.read.parquet(path).schema)
-    with pytest.raises(ValueError, match="counts"):
+    with pytest.raises(ValueError, match="Mergeable"):
         stream_multi_metric(sdf, [MetricSpec("m", "k", "day", aggs={"s": F.sum("id")})], "ts")
     with pytest.raises(ValueError, match="unit"):
         stream_multi_metric(sdf, [MetricSpec("m", "k", "day")], "ts", unit="week")
@@ -256,3 +256,21 @@ def test_no_row_of_a_table_is_late_in_several_batches(spark, sf_dir, tmp_path, m
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet")
     monkeypatch.setattr(scan_queries, "file_stream", lambda *how, **more: file_stream(*how, **more | {"max_files": 1}))
     assert differences(spark, connect(sf_dir), QUERIES[name].run, QUERIES[name].sql, str(tmp_path)) is None
+
+
+def test_aggregates_of_a_streamed_job_equal_their_batch(spark, tmp_path):
+    path = str(tmp_path / "in")
+    for i in range(5):
+        write(spark, path, [(j * (i + 1), None if j % 7 == 0 else f"k{j % 3}", at(i * 10 + (j * 5 % 13))) for j in range(40)])
+    specs = [
+        MetricSpec("day", "k", "day", aggs={"sum": total_of("id"), "mean": mean_of(F.when(F.col("k") != "k1", F.col("id")))}, first={"first": "id"}, order=["ts", "id"]),
+        MetricSpec("all", "k", aggs={"most": greatest_of("id"), "even": count_of(F.col("id") % 2 == 0)}),
+    ]
+    records = spark.read.parquet(path)
+    job = Job(metrics=specs, time="ts")
+    drain(job.stream(file_stream(spark, path, records.schema, max_files=1), lambda n: [], str(tmp_path / "m"), str(tmp_path / "c"), every=2))
+    got = job.stored_metrics(records, str(tmp_path / "m"))
+    whole = multi_metric(records, specs, "ts")
+    assert sorted(got.columns) == sorted(whole.columns)
+    assert rows(got.select(*whole.columns)) == rows(whole)
+    assert got.where("metric_type = 'day' and sum is not null and first is not null").count() > 3

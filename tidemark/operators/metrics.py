@@ -7,7 +7,7 @@ task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -72,14 +72,60 @@ def tumbling_metric(df: DataFrame, key: Column | str, time: Column | str, second
     return counted.select("metric", F.col("_w.start").cast("timestamp_ntz").alias("data_time"), "count")
 
 
+@dataclass(frozen=True)
+class Mergeable:
+    """An aggregate that can be put together out of parts, as streams and runs need it.
+
+    ``part`` is an aggregate over records, ``merge`` one over the column that holds parts, and
+    ``value`` what a part amounts to.
+    """
+
+    part: Column
+    merge: Callable[[Column], Column]
+    value: Callable[[Column], Column] = lambda part: part
+
+
+def total_of(value: Column | str) -> Mergeable:
+    return Mergeable(F.sum(_col(value)), F.sum)
+
+
+def least_of(value: Column | str) -> Mergeable:
+    return Mergeable(F.min(_col(value)), F.min)
+
+
+def greatest_of(value: Column | str) -> Mergeable:
+    return Mergeable(F.max(_col(value)), F.max)
+
+
+def count_of(condition: Column) -> Mergeable:
+    return Mergeable(F.count_if(condition), F.sum)
+
+
+def mean_of(value: Column | str) -> Mergeable:
+    """The mean, out of a sum and a count. Nulls do not count."""
+    part = F.struct(F.sum(_col(value)).alias("sum"), F.count(_col(value)).alias("n"))
+
+    def merge(parts: Column) -> Column:
+        return F.struct(F.sum(parts["sum"]).alias("sum"), F.sum(parts["n"]).alias("n"))
+
+    return Mergeable(part, merge, lambda part: part["sum"] / F.nullif(part["n"], F.lit(0).cast("bigint")))
+
+
+def first_of(value: Column | str, *order: Column | str) -> Mergeable:
+    """The value of the first record in this order."""
+    row = F.struct(*[_col(c).alias(f"o{i}") for i, c in enumerate(order)], _col(value).alias("value"))
+    return Mergeable(F.min(row), F.min, lambda part: part["value"])
+
+
 @dataclass(frozen=True)
 class MetricSpec:
     """One metric of a set that is computed over the same records.
 
     ``time`` is this metric's own event time (``None`` = the default of the
     set), ``window`` the calendar window (``None`` = no time). ``aggs`` are
-    extra aggregate columns over columns of the input, named; ``first`` are
-    columns taken from the first record in ``order`` order.
+    extra aggregate columns over columns of the input, named (over streams
+    ``Mergeable`` ones); ``first`` are columns taken from the first record in
+    ``order`` order.
     """
 
     name: str
@@ -88,7 +134,7 @@ class MetricSpec:
     time: Column | str | None = None
     where: Column | None = None
     default: str = UNKNOWN
-    aggs: Mapping[str, Column] = field(default_factory=dict)
+    aggs: Mapping[str, Column | Mergeable] = field(default_factory=dict)
     first: Mapping[str, Column | str] = field(default_factory=dict)
     order: Sequence[str] = ()
 
@@ -104,10 +150,20 @@ class MetricSpec:
         return value if self.where is None else F.when(self.where, value)
 
 
+    def own_aggs(self) -> dict[str, Column | Mergeable]:
+        """Extra columns by name: ``aggs``, and ``first`` as the value of the least record."""
+        firsts = {
+            name: first_of(value, *self.order) if self.order else Mergeable(F.min_by(_col(value), _col(value)), F.min) for name, value in self.first.items()
+        }
+        return {**self.aggs, **firsts}
+
+
 def multi_metric(df: DataFrame, specs: Sequence[MetricSpec], time: Column | str | None = None,
-                 labels: Sequence[str] = ()) -> DataFrame:
+                 labels: Sequence[str] = (), parts: bool = False) -> DataFrame:
     """Several metrics over the same records: one scan, one shuffle.
 
+    With ``parts`` mergeable aggregates are left as parts, for ``merge_metrics``.
+
     Each record is unpivoted to one small row per metric, and all are aggregated
     at once. ``metric_type`` tells the metrics apart; an extra column is null on
     rows of a metric that does not have it.
@@ -123,10 +179,9 @@ def multi_metric(df: DataFrame, specs: Sequence[MetricSpec], time: Column | str
     found: dict[str, Column] = {}
     for mark, spec in zip(names, specs):
         mine = F.col("_metric") == mark
-        own = dict(spec.aggs)
-        for name, value in spec.first.items():
-            own[name] = F.min_by(_col(value), F.struct(*spec.order) if spec.order else _col(value))
-        for name, agg in own.items():
+        for name, agg in spec.own_aggs().items():
+            if isinstance(agg, Mergeable):
+                agg = agg.part if parts else agg.value(agg.part)
             value = F.when(mine, agg)
             found[name] = F.coalesce(found[name], value) if name in found else value
     aggs = [F.count(F.lit(1)).alias("count"), *[c.alias(n) for n, c in found.items()]]
@@ -138,6 +193,26 @@ def multi_metric(df: DataFrame, specs: Sequence[MetricSpec], time: Column | str
     return with_labels(out, labels=labels) if labels else out
 
 
+def mergeable_of(specs: Sequence[MetricSpec]) -> dict[str, Mergeable]:
+    """The extra columns of all metrics; a name stands for the same aggregate wherever it is used."""
+    found: dict[str, Mergeable] = {}
+    for spec in specs:
+        for name, agg in spec.own_aggs().items():
+            if not isinstance(agg, Mergeable):
+                raise ValueError(f"{name!r} of metric {spec.name!r} cannot be put together out of parts: use a Mergeable")
+            found.setdefault(name, agg)
+    return found
+
+
+def merge_metrics(partials: DataFrame, specs: Sequence[MetricSpec], done: bool = False) -> DataFrame:
+    """One row per metric, key and window out of partial ones; with ``done`` parts become values."""
+    aggs = mergeable_of(specs)
+    merged = partials.groupBy("metric_type", "metric", "data_time").agg(
+        F.sum("count").alias("count"), *[a.merge(F.col(n)).alias(n) for n, a in aggs.items()]
+    )
+    return merged.withColumns({n: a.value(F.col(n)) for n, a in aggs.items()}) if done and aggs else merged
+
+
 def run_metric(run: DataFrame, state: DataFrame | None, keys: Sequence[str], reset: bool) -> DataFrame:
     """Counts after a run: of this run alone (``reset``), or added to those so far."""
     if reset or state is None:

@@ -11,10 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import ntz
 from tidemark.operators.changes import apply_changes, flatten_changes
-from tidemark.operators.metrics import LABELS, MetricSpec, merge_partials, multi_metric, user_behaviour_metric
+from tidemark.operators.metrics import LABELS, MetricSpec, merge_metrics, merge_partials, mergeable_of, multi_metric, user_behaviour_metric
 from tidemark.operators.transforms import add_fields, clean_behaviour, strip_temp
 from tidemark.session import stage, staged
-from tidemark.sinks.batches import store_batch
+from tidemark.sinks.batches import store_batch, stored_rows
 from tidemark.sinks.tables import Sink, fan_out
 from tidemark.sources.records import change_feed
 from tidemark.streaming.metrics import COMPACT_EVERY
@@ -52,21 +52,26 @@ class Job:
     def stream(self, sdf: DataFrame, outputs: Callable[[int], Sequence[Sink]], metric_path: str, checkpoint: str,
                idle_s: float | None = None, every: int = COMPACT_EVERY) -> StreamingQuery:
         """The job over a stream. ``outputs`` gets the id of the micro-batch, for folders that a replay
-        replaces; the counts of each batch are stored under ``metric_path`` and added up by
-        ``stored_partials(…, add_up)``."""
-        if any(s.aggs or s.first for s in self.metrics):
-            raise ValueError("metrics of a stream are counts")
+        replaces; the metrics of each batch are stored as parts under ``metric_path`` and put together by
+        ``stored_metrics``. Extra columns have to be ``Mergeable``."""
+        mergeable_of(self.metrics)
 
         def put(batch: DataFrame, batch_id: int) -> None:
             with staged(self.prepare(batch), "job") as rows:
                 fan_out(strip_temp(rows), outputs(batch_id), computed=False)
                 if self.metrics:
-                    store_batch(multi_metric(rows, self.metrics, self.time), metric_path, batch_id, add_up, every)
+                    store_batch(multi_metric(rows, self.metrics, self.time, parts=True), metric_path, batch_id, lambda p: merge_metrics(p, self.metrics), every)
 
         writer = sdf.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
         return writer.trigger(**trigger_options(idle_s)).start()
 
 
+    def stored_metrics(self, df: DataFrame, metric_path: str) -> DataFrame:
+        """What ``stream`` has stored so far; ``df`` is any frame with the fields of the stream."""
+        schema = multi_metric(self.prepare(df), self.metrics, self.time, parts=True).schema
+        return merge_metrics(stored_rows(df.sparkSession, metric_path, schema), self.metrics, done=True)
+
+
 def add_up(partials: DataFrame) -> DataFrame:
     """Counts of several metrics out of partial ones."""
     return merge_partials(partials, ["metric_type", "metric", "data_time"])

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.changes import apply_changes
 from tidemark.operators.metrics import (
-    MetricSpec, behaviour_days, behaviour_words, key_time_metric, merge_behaviour_words, merge_partials, multi_metric, roll_up, with_labels,
+    MetricSpec, behaviour_days, behaviour_words, count_of, first_of, key_time_metric, least_of, mean_of, merge_behaviour_words, merge_partials, multi_metric,
+    roll_up, total_of, with_labels,
 )
 from tidemark.operators.transforms import with_temp
 from tidemark.plans.change_queries import old_orders
@@ -376,6 +377,31 @@ def streamed_metrics(spark, sf_dir):
     return latest_metrics(spark, path, specs, schema)
 
 
+@query("W1_stream_aggregates", """
+SELECT 'type_by_month' AS metric_type, event_type AS metric, date_trunc('month', ts) AS data_time, count(*) AS count,
+       sum(user_id)::BIGINT AS users, min(ts) AS earliest, arg_min(event_id, (ts, event_id)) AS first_event, NULL::BIGINT AS high, NULL::DOUBLE AS mean_user
+FROM events GROUP BY 2, 3
+UNION ALL SELECT 'user_by_day', CAST(user_id AS VARCHAR), date_trunc('day', ts), count(*), NULL, min(ts), NULL,
+       count(*) FILTER (value > 50), round(avg(user_id), 6)
+FROM events WHERE event_type <> 'error' GROUP BY 2, 3""")
+def streamed_aggregates(spark, sf_dir):
+    """Sums, minima, first records, conditions and means of two metrics, by day under a watermark in three runs in order of time."""
+    rows = events(spark, sf_dir)
+    specs = [
+        MetricSpec("type_by_month", "event_type", "month", aggs={
+            "users": total_of("user_id"), "earliest": least_of("ts"), "first_event": first_of("event_id", "ts", "event_id"),
+        }),
+        MetricSpec("user_by_day", "user_id", "day", where=F.col("event_type") != "error", aggs={
+            "earliest": least_of("ts"), "high": count_of(F.col("value") > 50), "mean_user": mean_of("user_id"),
+        }),
+    ]
+    source, path, checkpoint = shared_folder(spark, "arriving"), shared_folder(spark, "updates"), shared_folder(spark, "checkpoint")
+    for _ in arriving_in_order(spark, rows, source, 3):
+        stream = stream_multi_metric(file_stream(spark, source, rows.schema), specs, "ts", delay=f"{DELAY_S} seconds")
+        write_updates(stream, path, checkpoint).awaitTermination()
+    return latest_metrics(spark, path, specs, stream.schema).withColumn("mean_user", F.round("mean_user", 6))
+
+
 @query("W1_stream_behaviour", BEHAVIOUR_SQL)
 def streamed_behaviour(spark, sf_dir):
     """A user's day in two runs: its words come in parts, which every second batch puts together."""

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.times import bucket
-from tidemark.operators.metrics import UNKNOWN, MetricSpec, key_or_default
+from tidemark.operators.metrics import UNKNOWN, MetricSpec, key_or_default, mergeable_of, merge_metrics
 from tidemark.sinks.batches import store_batch, stored_rows
 from tidemark.streaming.flush import without_marks
 from tidemark.streaming.runs import trigger_options
@@ -16,6 +16,7 @@ from tidemark.streaming.runs import trigger_options
 
 # Micro-batches between two compactions of what a stream has stored.
 COMPACT_EVERY = 64
+METRIC_KEYS = ["metric_type", "metric", "data_time"]
 # Windows of fixed length. Spark forgets them when the watermark has passed.
 FIXED_WINDOWS = {"minute": "1 minute", "hour": "1 hour", "day": "1 day"}
 
@@ -47,17 +48,16 @@ def stream_key_metric(sdf: DataFrame, key: Column | str, default: str = UNKNOWN)
 
 def stream_multi_metric(sdf: DataFrame, specs: Sequence[MetricSpec], time: Column | str | None = None, unit: str = "day",
                         delay: str = "0 seconds") -> DataFrame:
-    """Several counted metrics over one stream: ``metric_type``, ``metric``, ``data_time``, ``count``.
+    """Several metrics over one stream: ``metric_type``, ``metric``, ``data_time``, ``count`` and the extra columns as parts.
 
-    Keys, conditions and event times are those of each metric. All are counted by
-    ``unit``, so that only the open units are kept; ``latest_metrics`` rolls what was
-    written up to the window of each metric. The watermark follows the newest of all
-    times; ``delay`` has to cover how far the times of a record lie apart.
+    Keys, conditions and event times are those of each metric; extra columns have to be ``Mergeable``. All
+    are computed by ``unit``, so that only the open units are kept; ``latest_metrics`` rolls what was
+    written up to the window of each metric. The watermark follows the newest of all times; ``delay`` has
+    to cover how far the times of a record lie apart.
     """
     if unit not in FIXED_WINDOWS:
         raise ValueError(f"unit must be one of {tuple(FIXED_WINDOWS)}")
-    if any(s.aggs or s.first for s in specs):
-        raise ValueError("metrics of a stream are counts; other aggregates cannot be rolled up")
+    mergeable_of(specs)
     if len({s.name for s in specs}) < len(specs):
         raise ValueError("metric names must differ")
 
@@ -66,24 +66,31 @@ def stream_multi_metric(sdf: DataFrame, specs: Sequence[MetricSpec], time: Colum
         if own is None:
             raise ValueError(f"metric {spec.name!r} has no time")
         when = (F.col(own) if isinstance(own, str) else own).cast("timestamp")
-        value = F.struct(F.lit(spec.name).alias("metric_type"), key_or_default(spec.key, spec.default).alias("metric"), when.alias("time"))
+        value = F.struct(F.lit(spec.name).alias("metric_type"), key_or_default(spec.key, spec.default).alias("metric"), when.alias("_time"))
         return value if spec.where is None else F.when(spec.where, value)
 
-    rows = sdf.select(F.explode(F.array_compact(F.array(*[entry(s) for s in specs]))).alias("entry")).select("entry.*")
-    counts = rows.withWatermark("time", delay).groupBy("metric_type", "metric", F.window("time", FIXED_WINDOWS[unit]).alias("_w")).agg(
-        F.count(F.lit(1)).alias("count")
+    # Only aggregates look at the record itself.
+    needed = sdf.columns if any(s.own_aggs() for s in specs) else []
+    rows = sdf.select(*needed, F.explode(F.array_compact(F.array(*[entry(s) for s in specs]))).alias("_entry")).select(*needed, "_entry.*")
+    found: dict[str, Column] = {}
+    for spec in specs:
+        for name, agg in spec.own_aggs().items():
+            value = F.when(F.col("metric_type") == spec.name, agg.part)
+            found[name] = F.coalesce(found[name], value) if name in found else value
+    counts = rows.withWatermark("_time", delay).groupBy("metric_type", "metric", F.window("_time", FIXED_WINDOWS[unit]).alias("_w")).agg(
+        F.count(F.lit(1)).alias("count"), *[value.alias(name) for name, value in found.items()]
     )
-    return counts.select("metric_type", "metric", F.col("_w.start").cast("timestamp_ntz").alias("data_time"), "count")
+    return counts.select("metric_type", "metric", F.col("_w.start").cast("timestamp_ntz").alias("data_time"), "count", *found)
 
 
 def latest_metrics(spark: SparkSession, path: str, specs: Sequence[MetricSpec], schema: T.StructType) -> DataFrame:
-    """The newest counts out of the stored updates, by the window of each metric (none: over all time)."""
-    counts = latest_counts(spark, path, ["metric_type", "metric", "data_time"], schema)
+    """The newest metrics out of the stored updates, by the window of each (none: over all time)."""
+    counts = latest_counts(spark, path, METRIC_KEYS, schema)
     start = F.lit(None).cast("timestamp_ntz")
     for spec in specs:
         if spec.window is not None:
             start = F.when(F.col("metric_type") == spec.name, bucket("data_time", spec.window)).otherwise(start)
-    return counts.withColumn("data_time", start).groupBy("metric_type", "metric", "data_time").agg(F.sum("count").alias("count"))
+    return merge_metrics(counts.withColumn("data_time", start), specs, done=True)
 
 
 def write_updates(stream: DataFrame, path: str, checkpoint: str, idle_s: float | None = None,
@@ -91,7 +98,7 @@ def write_updates(stream: DataFrame, path: str, checkpoint: str, idle_s: float |
     """Write running counts: a replayed batch replaces what it stored, so it counts once. No
     window is held back at the end. After ``every`` batches the next one takes in the newest
     counts of those before it, whose folders then go; read the counts between runs."""
-    keys = [c for c in stream.columns if c != "count"]
+    keys = [c for c in stream.columns if c in METRIC_KEYS]
 
     def put(batch: DataFrame, batch_id: int) -> None:
         store_batch(batch, path, batch_id, lambda rows: _newest(rows, keys), every)
@@ -122,7 +129,10 @@ def latest_counts(spark: SparkSession, path: str, keys: Sequence[str], schema: T
 
 
 def _newest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.max_by("count", "batch_id").alias("count"))
+    values = [c for c in rows.columns if c not in (*keys, "batch_id")]
+    # Parts may hold what cannot be ordered, and a batch has a key once.
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_newest"))
+    return newest.select(*keys, "_newest.*")
 
 
 def store_partials(sdf: DataFrame, partial: Callable[[DataFrame], DataFrame], merge: Callable[[DataFrame], DataFrame],
