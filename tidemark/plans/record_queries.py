@@ -195,7 +195,7 @@ def per_table(spark, sf_dir):
 @query("P17_row_number", "SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS row_no FROM events")
 def row_numbers(spark, sf_dir):
     rows = events(spark, sf_dir).select("event_id", "ts")
-    return number_rows(rows, ["ts", "event_id"], "row_no", rows_per_range=500).select("event_id", "row_no")
+    return number_rows(rows, ["ts", "event_id"], "row_no").select("event_id", "row_no")
 
 
 @query("F1_base64_text", """
