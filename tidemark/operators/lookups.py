@@ -8,8 +8,10 @@ where a hot key is split over several tasks.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.functions import ipv4_number, prefix_value, strip_suffix
 from tidemark.operators.transforms import once
@@ -48,6 +50,54 @@ def lookup_one(
     return _left_join(df, _keyed(dim, on, value, alias), on)
 
 
+def lookup_as_of(
+    df: DataFrame, versions: DataFrame, on: On, time: str, valid_from: str, alias: str, fields: Sequence[str], chunk_s: int = 24 * 3600,
+) -> DataFrame:
+    """The dimension row that was valid at the time of each record, as a nested object; null before the first.
+
+    ``versions`` has a row per change, valid from ``valid_from`` to the next one of its key; of several
+    changes at one time the last in the order of ``fields`` counts. Records and versions are merged in
+    order of time, no record is compared with a version. The merge is cut by key and chunk of time, so that
+    a key with most of the records is spread: which version a chunk begins with comes from a merge of
+    versions with the chunks that have records, which is small. A record without a time or a key has none.
+    """
+    pairs = _pairs(on)
+    keys = [f"_k_{name}" for name in pairs]
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    chunk = F.floor(F.col("_at") / F.lit(chunk_s * 1_000_000))
+    records = df.select("*", *[F.col(name).alias(k) for name, k in zip(pairs, keys)], micros.alias("_at")).withColumn("_chunk", chunk)
+    value = F.struct(*[F.col(f).alias(f) for f in fields])
+    known = versions.select(
+        *[F.col(r).alias(k) for r, k in zip(pairs.values(), keys)], F.unix_micros(F.col(valid_from).cast("timestamp")).alias("_at"), value.alias("_version"),
+    ).dropna(subset=[*keys, "_at"])
+    known = known.groupBy(*keys, "_at").agg(F.max("_version").alias("_version")).withColumn("_chunk", chunk)
+
+    # Rows that only ask go behind a version of the same time.
+    def last(*by: str) -> Column:
+        return F.last("_version", ignorenulls=True).over(Window.partitionBy(*by).orderBy("_at", F.col("_version").isNull()).rowsBetween(Window.unboundedPreceding, 0))
+
+    none = F.lit(None).cast(known.schema["_version"].dataType)
+    asked = reduce(and_, [F.col(k).isNotNull() for k in [*keys, "_at"]])
+    blank = records.where(~asked).select(*df.columns, none.alias(alias))
+    records = records.where(asked)
+    begins = records.select(*keys, "_chunk").distinct().withColumn("_at", F.col("_chunk") * F.lit(chunk_s * 1_000_000) - F.lit(1))
+    asking = begins.withColumns({"_version": none, "_asks": F.lit(True)})
+    held = known.withColumn("_asks", F.lit(False)).unionByName(asking).withColumn("_held", last(*keys)).where("_asks")
+    carried = held.where(F.col("_held").isNotNull()).select(*keys, "_chunk", "_at", F.col("_held").alias("_version"))
+
+    row = F.struct(*[F.col(c) for c in df.columns])
+    merged = records.select(*keys, "_chunk", "_at", none.alias("_version"), row.alias("_row")).unionByName(
+        known.unionByName(carried, allowMissingColumns=True).withColumn("_row", F.lit(None).cast(row_type(df))), allowMissingColumns=True
+    )
+    found = merged.withColumn("_valid", last(*keys, "_chunk")).where(F.col("_row").isNotNull())
+    return found.select("_row.*", F.col("_valid").alias(alias)).unionByName(blank)
+
+
+def row_type(df: DataFrame) -> T.StructType:
+    """The type of a whole row as one value."""
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
+
+
 def lookup_many(df: DataFrame, dim: DataFrame, on: On, alias: str, fields: Sequence[str]) -> DataFrame:
     """All matching dimension rows as a nested list, sorted by ``fields``; empty without a match.
 

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.changes import apply_changes
+from tidemark.operators.lookups import lookup_as_of
 from tidemark.operators.metrics import (
     MetricSpec, behaviour_days, behaviour_words, count_of, first_of, key_time_metric, least_of, mean_of, merge_behaviour_words, merge_partials, multi_metric,
     roll_up, total_of, with_labels,
@@ -36,9 +37,12 @@ from tidemark.streaming import (
     store_partials,
     stored_partials,
     stream_apply,
+    stream_checked,
+    stream_counts,
     stream_fan_out,
     stream_key_metric,
     stream_key_time_metric,
+    stream_lookup_as_of,
     stream_multi_metric,
     write_closed,
     write_updates,
@@ -555,3 +559,73 @@ def streamed_outputs(spark, sf_dir):
         return found.groupBy("batch_id").agg(F.count("*").alias("n")).select(F.lit(name).alias("sink"), "batch_id", "n")
 
     return count("all").unionByName(count("errors"))
+
+
+def order_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of a user as versions of it, each valid from its date."""
+    orders = table(spark, sf_dir, "orders")
+    # Order dates brought into the month of the events, at the hour that their key gives.
+    since = F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.dayofmonth("o_orderdate"), (F.col("o_orderkey") % 24).cast("int"), F.lit(0), F.lit(0))
+    return orders.select((F.col("o_custkey") % 150).alias("user_id"), since.alias("since"), "o_orderkey")
+
+
+AS_OF_SQL = """
+WITH versions AS (
+  SELECT o_custkey % 150 AS user_id, max(o_orderkey) AS o_orderkey,
+         make_timestamp(2024, 1, day(o_orderdate), o_orderkey % 24, 0, 0) AS since
+  FROM orders WHERE day(o_orderdate) <= 30 GROUP BY ALL
+)
+SELECT e.event_id, v.o_orderkey AS valid_order FROM events e ASOF LEFT JOIN versions v ON e.user_id = v.user_id AND e.ts >= v.since"""
+
+
+@query("J1_lookup_as_of", AS_OF_SQL)
+def as_of(spark, sf_dir):
+    """Each event with the version of its user that was valid at its time."""
+    versions = order_versions(spark, sf_dir).where(F.dayofmonth("since") <= 30)
+    found = lookup_as_of(events(spark, sf_dir), versions, "user_id", "ts", "since", "version", ["o_orderkey"])
+    return found.select("event_id", F.col("version.o_orderkey").alias("valid_order"))
+
+
+@query("J1_stream_as_of", AS_OF_SQL)
+def streamed_as_of(spark, sf_dir):
+    """The same over a stream in two runs in order of time; the versions of the second half come in between."""
+    rows, versions = events(spark, sf_dir), order_versions(spark, sf_dir).where(F.dayofmonth("since") <= 30)
+    source, path, checkpoint, changes = (shared_folder(spark, n) for n in ("arriving", "found", "checkpoint", "versions"))
+    first, last = rows.agg(F.min("ts"), F.max("ts")).first()
+    middle = F.lit(first + (last - first) / 2)
+
+    def known() -> DataFrame:
+        return spark.read.schema(versions.schema).parquet(changes)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.select("event_id", F.col("version.o_orderkey").alias("valid_order")).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    for run, _ in enumerate(arriving_in_order(spark, rows, source, 2)):
+        half = F.col("since") < middle if run == 0 else F.col("since") >= middle
+        versions.where(half).write.mode("append").parquet(changes)
+        stream_lookup_as_of(
+            file_stream(spark, source, rows.schema), known, write, checkpoint, "user_id", "ts", "since", "version", ["o_orderkey"]
+        ).awaitTermination()
+    return spark.read.schema("event_id bigint, valid_order bigint").parquet(path).select("event_id", "valid_order")
+
+
+@query("A15_stream_counters", """
+SELECT 'count' AS part, count(*) AS total, count(*) FILTER (event_type <> 'error' AND value >= 10 AND user_id % 10 <> 0) AS success,
+       count(*) FILTER (event_type = 'error' OR value < 10) AS failed,
+       count(*) FILTER (event_type <> 'error' AND value >= 10 AND user_id % 10 = 0) AS ignored FROM events
+UNION ALL SELECT CASE WHEN event_type = 'error' THEN 'error' ELSE 'low' END, count(*), NULL, NULL, NULL FROM events WHERE event_type = 'error' OR value < 10 GROUP BY 1""")
+def streamed_counters(spark, sf_dir):
+    """Records checked in three runs: how many passed, failed and were left out, and the failed ones by reason."""
+    rows = events(spark, sf_dir)
+    source, good, bad, counts, checkpoint = (shared_folder(spark, n) for n in ("arriving", "good", "bad", "counts", "checkpoint"))
+
+    def into(path: str):
+        return lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    rules = [("error", F.col("event_type") == "error"), ("low", F.col("value") < 10)]
+    for _ in arriving_in_order(spark, rows, source, 3):
+        stream = file_stream(spark, source, rows.schema)
+        stream_checked(stream, rules, into(good), into(bad), counts, checkpoint, F.col("user_id") % 10 == 0, every=2).awaitTermination()
+    whole = stream_counts(spark, counts).select(F.lit("count").alias("part"), "*")
+    reasons = spark.read.schema("reject_reason string").parquet(bad).groupBy(F.col("reject_reason").alias("part")).agg(F.count("*").alias("total"))
+    return whole.unionByName(reasons, allowMissingColumns=True)

@@ -5,10 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemark.operators.changes import flatten_changes
+from tidemark.operators.lookups import On, lookup_as_of
+from tidemark.operators.metrics import counted
+from tidemark.operators.transforms import Rules, reject_reason
+from tidemark.session import staged
+from tidemark.sinks.batches import store_batch, stored_rows
 from tidemark.sinks.tables import Sink, append_changes, fan_out
 from tidemark.sources.state import StateTable
 from tidemark.sources.tables import Increment
@@ -114,3 +119,54 @@ def stream_fan_out(sdf: DataFrame, sinks: Callable[[int], Sequence[Sink]], check
 
     writer = sdf.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger_options(idle_s)).start()
+
+
+def stream_lookup_as_of(sdf: DataFrame, versions: Callable[[], DataFrame], write: Callable[[DataFrame, int], None], checkpoint: str,
+                        on: On, time: str, valid_from: str, alias: str, fields: Sequence[str], idle_s: float | None = None) -> StreamingQuery:
+    """Records of a stream with the dimension row valid at their own time (``lookup_as_of``).
+
+    ``versions`` is asked for in each micro-batch, so a change that came in between counts for the records
+    after it and leaves those before it alone. ``write`` gets the batch and its id and has to be safe to
+    repeat. A version that comes after the records of its time were written changes none of them.
+    """
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        write(lookup_as_of(batch, versions(), on, time, valid_from, alias, fields), batch_id)
+
+    return sdf.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(**trigger_options(idle_s)).start()
+
+
+COUNTS = "total bigint, success bigint, failed bigint, ignored bigint"
+
+
+def stream_checked(sdf: DataFrame, rules: Rules, accept: Callable[[DataFrame, int], None], reject: Callable[[DataFrame, int], None],
+                   counts_path: str, checkpoint: str, ignored: Column | None = None, idle_s: float | None = None, every: int = 64) -> StreamingQuery:
+    """Good records to ``accept``, the others with their reason to ``reject``, and how many of each, batch by batch.
+
+    ``rules`` are (reason, condition); records that are ``ignored`` and break no rule go nowhere. The numbers
+    are observed while the batch is written once for both outputs, and stored with the id of the batch, so a
+    replay counts once and a restart goes on: ``stream_counts`` adds them up.
+    """
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        marked = batch.withColumn("reject_reason", reject_reason(rules))
+        bad = F.col("reject_reason").isNotNull()
+        skipped = F.lit(False) if ignored is None else F.coalesce(ignored, F.lit(False))
+        seen, numbers = counted(marked.withColumn("_skipped", skipped), bad, F.col("_skipped"))
+        with staged(seen, "checked") as rows:
+            accept(rows.where(~bad & ~F.col("_skipped")).drop("reject_reason", "_skipped"), batch_id)
+            reject(rows.where(bad).drop("_skipped"), batch_id)
+        found = numbers.get
+        row = [tuple(int(found[c]) for c in ("total", "success", "failed", "ignored"))]
+        store_batch(batch.sparkSession.createDataFrame(row, COUNTS), counts_path, batch_id, _added, every)
+
+    return sdf.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(**trigger_options(idle_s)).start()
+
+
+def _added(rows: DataFrame) -> DataFrame:
+    return rows.agg(*[F.sum(c).alias(c) for c in ("total", "success", "failed", "ignored")])
+
+
+def stream_counts(spark: SparkSession, path: str) -> DataFrame:
+    """One row: total, success, failed, ignored of all batches so far."""
+    return _added(stored_rows(spark, path, T.StructType.fromDDL(COUNTS)))
