@@ -2,16 +2,17 @@
 
 Vectors are grouped by length (norm) into buckets, and a bucket is packed into blocks
 of at most ``BLOCK`` vectors, longest first: a bucket that holds most vectors is just
-more blocks. Queries are packed into blocks of ``QUERY_BLOCK``. Blocks meet by an
-equi-join on the block number, and each pair is worked on by numpy in one task.
+more blocks. Queries are packed into blocks of ``QUERY_BLOCK``. The queries are a stated
+set: about ``QUERY_BYTES`` of them at a time go to all tasks, which read the blocks where
+they lie, so the vectors are shuffled once, when they are packed, and only hits after that.
 
 A first round runs every query against the longest block of its dimension; its k-th
 score is a lower bound for the final one. In the second round the bound, divided by
 the lengths of the query and of the longest vector of a block, is the cosine that
 block must reach (the local threshold):
 
-* above 1: nothing in the block can do, the pair is not even joined if that holds for
-  all its queries;
+* above 1: nothing in the block can do; it is not even looked at if that holds for all
+  queries of theirs;
 * low: length pruning. Only vectors long enough to reach the bound are looked at;
 * high: coordinate pruning. A unit vector within that cosine of the query has each of
   its coordinates in a known range; the tightest of the query's largest coordinates
@@ -43,6 +44,9 @@ GROWTH = 1.1
 # From this local threshold on, coordinates prune better than lengths.
 HIGH_COSINE = 0.6
 COORDINATES = 3
+# Bytes of queries that all tasks get at once, and dimensions whose longest blocks do.
+QUERY_BYTES = 1 << 25
+SEED_DIMENSIONS = 16
 EXACT = float(1 << 53)
 SLACK = 1e-9
 _LEAST, _MOST = -(1 << 63), (1 << 63) - 1
@@ -150,37 +154,75 @@ def _best(uids: np.ndarray, places: np.ndarray, scores: np.ndarray, own: int, k:
     return uids, scores
 
 
-def _scored(pairs: DataFrame, k: int) -> DataFrame:
-    """Block pairs to (query uid, uid, score): per query and block the k best."""
+def _hits(block: _Block, q_uids: np.ndarray, queries: np.ndarray, bounds: np.ndarray, k: int) -> pd.DataFrame | None:
+    """(query uid, uid, score): per query the k best of a block."""
+    q_norms = np.linalg.norm(queries.astype(float), axis=1)
+    out = []
+    places = [block.candidates(queries[i].astype(float), q_norms[i], bounds[i]) for i in range(len(queries))]
+    # Queries that leave a prefix share one multiplication.
+    prefix = [i for i, p in enumerate(places) if isinstance(p, slice)]
+    longest = max([len(block.uids[places[i]]) for i in prefix], default=0)
+    together = _products(queries[prefix], block.vecs[:longest]) if longest else None
+    for at, i in enumerate(prefix):
+        n = len(block.uids[places[i]])
+        if n:
+            out.append((q_uids[i], *_best(block.uids[:n], block.places[:n], together[at, :n], q_uids[i], k)))
+    for i, p in enumerate(places):
+        if not isinstance(p, slice) and len(p):
+            out.append((q_uids[i], *_best(block.uids[p], block.places[p], _products(queries[i:i + 1], block.vecs[p])[0], q_uids[i], k)))
+    if not out:
+        return None
+    return pd.DataFrame({
+        "q_uid": np.repeat([o[0] for o in out], [len(o[1]) for o in out]).astype(np.int64),
+        "uid": np.concatenate([o[1] for o in out]), "score": np.concatenate([o[2] for o in out]),
+    })
+
+
+SCORED = "q_uid bigint, uid bigint, score bigint"
+
+
+def _scored(rows: DataFrame, work) -> DataFrame:
+    """(query uid, uid, score): per query and block the k best."""
+    return rows.mapInPandas(work, SCORED)
+
+
+def _seeded(pairs: DataFrame, k: int) -> DataFrame:
+    """Queries beside one block each, without bounds yet."""
 
     def work(parts):
         for part in parts:
             for row in part.itertuples(index=False):
-                block = _Block(row.uids, row.places, row.vecs, row.rows)
                 queries = np.frombuffer(row.q_vecs, dtype="<i8").reshape(row.q_rows, -1)
-                q_uids = np.frombuffer(row.q_uids, dtype="<i8")
-                bounds = np.frombuffer(row.q_bounds, dtype="<f8")
-                q_norms = np.linalg.norm(queries.astype(float), axis=1)
-                out = []
-                places = [block.candidates(queries[i].astype(float), q_norms[i], bounds[i]) for i in range(len(queries))]
-                # Queries that leave a prefix share one multiplication.
-                prefix = [i for i, p in enumerate(places) if isinstance(p, slice)]
-                longest = max([len(block.uids[places[i]]) for i in prefix], default=0)
-                together = _products(queries[prefix], block.vecs[:longest]) if longest else None
-                for at, i in enumerate(prefix):
-                    n = len(block.uids[places[i]])
-                    if n:
-                        out.append((q_uids[i], *_best(block.uids[:n], block.places[:n], together[at, :n], q_uids[i], k)))
-                for i, p in enumerate(places):
-                    if not isinstance(p, slice) and len(p):
-                        out.append((q_uids[i], *_best(block.uids[p], block.places[p], _products(queries[i:i + 1], block.vecs[p])[0], q_uids[i], k)))
-                if out:
-                    yield pd.DataFrame({
-                        "q_uid": np.repeat([o[0] for o in out], [len(o[1]) for o in out]).astype(np.int64),
-                        "uid": np.concatenate([o[1] for o in out]), "score": np.concatenate([o[2] for o in out]),
-                    })
-
-    return pairs.mapInPandas(work, "q_uid bigint, uid bigint, score bigint")
+                found = _hits(
+                    _Block(row.uids, row.places, row.vecs, row.rows), np.frombuffer(row.q_uids, dtype="<i8"), queries, np.full(row.q_rows, -np.inf), k,
+                )
+                if found is not None:
+                    yield found
+
+    return _scored(pairs, work)
+
+
+def _against_all(blocks: DataFrame, asked: list[dict], k: int) -> DataFrame:
+    """All blocks, where they lie, against some blocks of queries (at most ``QUERY_BYTES`` of them), which every task gets."""
+    shared = blocks.sparkSession.sparkContext.broadcast(asked)
+
+    def work(parts):
+        for part in parts:
+            for row in part.itertuples(index=False):
+                block = None
+                for q in shared.value:
+                    # The local threshold: no vector of the block is long enough for any query of theirs.
+                    if q["q_dim"] != row.dim or q["ease"] > row.most * (1 + SLACK):
+                        continue
+                    block = block or _Block(row.uids, row.places, row.vecs, row.rows)
+                    queries = np.frombuffer(q["q_vecs"], dtype="<i8").reshape(q["q_rows"], -1)
+                    found = _hits(block, np.frombuffer(q["q_uids"], dtype="<i8"), queries, np.frombuffer(q["q_bounds"], dtype="<f8"), k)
+                    if found is not None:
+                        yield found
+
+    least = min(q["ease"] for q in asked)
+    near = blocks.where((F.col("most") * (1 + SLACK) >= F.lit(float(least))) & F.col("dim").isin(sorted({q["q_dim"] for q in asked})))
+    return _scored(near.select("dim", "most", "rows", "uids", "places", "vecs"), work)
 
 
 def topk_inner(
@@ -189,8 +231,8 @@ def topk_inner(
 ) -> DataFrame:
     """The k best candidates of every query (rows whose id is divisible by ``query_every``): query_id, rank, vec_id, score."""
     spark = df.sparkSession
-    # A pair of blocks is some megabytes, so a batch holds one.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "128")
+    # A block is some megabytes (8192 vectors of 64 components are four), and a batch holds sixteen.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
     known = (
         df.select(named(id_col).alias("id"), quantised(named(vector_col), scale).alias("vec")).where("vec is not null")
         .withColumn("norm", F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))))
@@ -209,20 +251,26 @@ def topk_inner(
         F.col("dim").alias("q_dim"), F.col("part").alias("q_part"), F.col("uids").alias("q_uids"), F.col("vecs").alias("q_vecs"), F.col("rows").alias("q_rows"),
     ), "queries")
 
-    # First round: the longest block of each dimension.
+    # First round: the longest block of each dimension, which is sent to the queries (a dimension is one block).
     marks = blocks.select("dim", "block", "most", "rows")
-    seeds = marks.groupBy("dim").agg(F.max(F.struct("most", "block")).getField("block").alias("seed"))
-    seeded = queries.join(seeds, queries["q_dim"] == seeds["dim"]).drop("dim").withColumn("q_bounds", _no_bounds("q_rows"))
-    paired = seeded.join(blocks.select("block", "uids", "places", "vecs", "rows"), F.col("seed") == F.col("block"))
-    first = _scored(paired, k)
+    seeds = marks.groupBy("dim").agg(F.max(F.struct("most", "block")).getField("block").alias("block"))
+    seeds = blocks.select("block", "uids", "places", "vecs", "rows").join(F.broadcast(seeds), "block")
+    seeds = F.broadcast(seeds) if chosen.select("dim").distinct().count() <= SEED_DIMENSIONS else seeds
+    spread = queries.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "q_dim", "q_part")
+    first = _seeded(spread.join(seeds, queries["q_dim"] == seeds["dim"]), k)
     nth = F.row_number().over(Window.partitionBy("q_uid").orderBy(F.col("score").desc()))
     bound = first.withColumn("nth", nth).where(F.col("nth") == k).select("q_uid", F.col("score").alias("bound"))
     bounded = stage(_with_bounds(queries, bound), "bounded")
 
-    # Second round: every block that some query of the block may still need.
-    reach = bounded.select("q_dim", "q_part", "ease").join(marks, F.col("q_dim") == F.col("dim")).where(F.col("ease") <= F.col("most") * (1 + SLACK)).select("q_dim", "q_part", "block")
-    pairs = reach.join(bounded.drop("ease"), ["q_dim", "q_part"]).join(blocks.select("block", "uids", "places", "vecs", "rows"), "block")
-    scored = _scored(pairs.repartition("q_part", "block"), k)
+    # Second round: the queries go to the blocks, some at a time, so that no block is ever moved.
+    amount = F.octet_length("q_vecs") + F.octet_length("q_bounds") + F.octet_length("q_uids")
+    turns = max(1, -(-(bounded.agg(F.sum(amount)).first()[0] or 0) // QUERY_BYTES))
+    scored = spark.createDataFrame([], SCORED)
+    for turn in range(turns):
+        asked = [r.asDict() for r in bounded.where(F.pmod(F.xxhash64("q_dim", "q_part"), F.lit(turns)) == turn).collect()]
+        if asked:
+            scored = scored.unionByName(_against_all(blocks, asked, k))
+    scored = stage(scored, "scored")
     ids = vectors.select("uid", "id")
     better = Window.partitionBy("q_uid").orderBy(F.col("score").desc(), F.col("id").asc_nulls_last(), "uid")
     ranked = scored.join(ids, "uid").withColumn("rank", F.row_number().over(better)).where(F.col("rank") <= k)
@@ -241,14 +289,6 @@ def _vector_bytes(df: DataFrame) -> DataFrame:
     return df.mapInPandas(work, schema)
 
 
-def _no_bounds(rows: str) -> Column:
-    @F.pandas_udf("binary")
-    def none(n: pd.Series) -> pd.Series:
-        return n.map(lambda x: np.full(x, -np.inf).tobytes())
-
-    return none(F.col(rows))
-
-
 def _with_bounds(queries: DataFrame, bounds: DataFrame) -> DataFrame:
     """Query blocks with their bounds; ``ease`` is the least length that any of their queries can use."""
 
