@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.common import named, ready, text_of
+from tidemark.llm.license_texts import TEXTS
 
 K = 3
 # Diagonals that differ by at most this much belong to one match.
@@ -39,7 +40,9 @@ COVERAGE = 0.65
 # Fixed values of the contract.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-# Texts by which licenses are known, with the library's own labels.
+_WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
+
+# Texts by which licenses are known, with the library's own labels: short ones, then whole texts and notices.
 TEMPLATES = (
     ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files "
      "the software to deal in the software without restriction", "mit"),
@@ -59,10 +62,9 @@ TEMPLATES = (
     ("licensed under a creative commons attribution license", "cc-by"),
     ("this is free and unencumbered software released into the public domain", "unlicense"),
     ("all rights reserved", "all-rights-reserved"),
+    *[(b" ".join(_WORDS.findall(text.encode().lower())).decode(), label) for text, label in TEXTS],
 )
 
-_WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
-
 
 def _templates(phrases: dict[str, str], templates) -> list[tuple[int, str, bool, list[str]]]:
     rows = [(text, label, True) for text, label in phrases.items()] + [(text, label, False) for text, label in templates]
