@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -17,7 +17,7 @@ from tidemark.operators.transforms import with_temp
 from tidemark.plans.change_queries import old_orders
 from tidemark.plans.jobs import Job, add_up
 from tidemark.plans.metric_queries import BEHAVIOUR, BEHAVIOUR_SQL, LABELS_SQL, LOG_METRICS, LOG_METRICS_SQL, behaviour_rows, bucketed
-from tidemark.plans.registry import order_changes, query, table
+from tidemark.plans.registry import CHANGES_SQL, order_changes, query, table
 from tidemark.plans.scan_queries import stream_of
 from tidemark.session import shared_folder
 from tidemark.sinks import records as rec
@@ -47,6 +47,7 @@ from tidemark.streaming import (
     write_closed,
     write_updates,
 )
+from tidemark.streaming.handover import end_history, history_then_live
 from tidemark.streaming.state import stream_behaviour
 
 
@@ -629,3 +630,27 @@ def streamed_counters(spark, sf_dir):
     whole = stream_counts(spark, counts).select(F.lit("count").alias("part"), "*")
     reasons = spark.read.schema("reject_reason string").parquet(bad).groupBy(F.col("reject_reason").alias("part")).agg(F.count("*").alias("total"))
     return whole.unionByName(reasons, allowMissingColumns=True)
+
+
+@query("S25_history_to_live", f"""
+WITH {CHANGES_SQL}
+SELECT op, seq, coalesce(a_key, b_key) AS o_orderkey FROM changes WHERE tbl = 'orders'""")
+def handed_over(spark, sf_dir):
+    """One stream over old changes and a live feed that starts before their end, with a restart within the overlap."""
+    key = F.coalesce("after.o_orderkey", "before.o_orderkey").alias("o_orderkey")
+    changes = change_feed(order_changes(spark, sf_dir), ["shop.orders"]).select("op", "seq", key, F.timestamp_seconds("seq").alias("at"))
+    top = table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0] * 3
+    old, live, path, checkpoint = (shared_folder(spark, n) for n in ("old", "live", "taken", "checkpoint"))
+    marks = EndMarks(spark, shared_folder(spark, "marks"))
+    seam = datetime.fromtimestamp(top // 4, UTC).replace(tzinfo=None)
+    changes.where(F.col("seq") <= top // 2).write.parquet(old)
+    # The first run ends within what both have; the second reads on, and the third follows the live feed alone.
+    for low, high in ((top // 4, top // 3), (top // 3, 3 * top // 4), (3 * top // 4, top + 2)):
+        changes.where((F.col("seq") >= low) & (F.col("seq") < high)).write.mode("append").parquet(live)
+        both = history_then_live(
+            file_stream(spark, old, changes.schema), file_stream(spark, live, changes.schema), ["op", "seq"], "at", seam, f"{top} seconds", marks
+        )
+        write_closed(both, path, checkpoint).awaitTermination()
+        if low > top // 4:
+            end_history(marks)
+    return closed_rows(spark, path, both.schema).select("op", "seq", "o_orderkey")
