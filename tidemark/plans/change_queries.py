@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators import changes as ch
 from tidemark.operators import vectors as vs
+from tidemark.operators.vector_index import VectorIndex
 from tidemark.plans.jobs import feed_to_table
 from tidemark.plans.registry import CHANGES_SQL, order_changes, query, table
+from tidemark.session import shared_folder
 from tidemark.sources.records import change_feed
 from tidemark.sources.tables import incremental_scan
 
@@ -45,6 +47,21 @@ def most_similar(spark, sf_dir):
     return found.withColumn("score", F.round("score", 6))
 
 
+@query("V1_indexed_range", f"""
+WITH {SCORED_SQL} SELECT vec_id, label, round(score, 6) AS score FROM scored WHERE label <> 3 AND score >= 0.15""")
+def indexed_range(spark, sf_dir):
+    """The same search over an index, which leaves out what is too far before it is read."""
+    index = VectorIndex.build(embeddings(spark, sf_dir), "vec_id", "embedding", shared_folder(spark, "vectors"))
+    return index.range(first_vector(spark, sf_dir), 0.15, "label <> 3", ["vec_id", "label"]).withColumn("score", F.round("score", 6))
+
+
+@query("V2_indexed_topk", f"""
+WITH {SCORED_SQL} SELECT vec_id, label, round(score, 6) AS score FROM scored WHERE label <> 3 ORDER BY scored.score DESC, vec_id LIMIT 20""")
+def indexed_topk(spark, sf_dir):
+    index = VectorIndex.build(embeddings(spark, sf_dir), "vec_id", "embedding", shared_folder(spark, "vectors"))
+    return index.topk(first_vector(spark, sf_dir), 20, "vec_id", "label <> 3", ["vec_id", "label"]).withColumn("score", F.round("score", 6))
+
+
 PAIRS_SQL = """
 pairs AS (
   SELECT q.vec_id AS query_id, e.vec_id AS id,
