@@ -304,10 +304,10 @@ def arriving_in_order(spark: SparkSession, rows: DataFrame, source: str, runs: i
 
 
 def in_order_of_time(spark: SparkSession, sf_dir: str, key: str, window_type: str) -> DataFrame:
-    """Counts by key and window of four runs in order of time: what comes later than the watermark is dropped, here nothing."""
+    """Counts by key and window of two runs in order of time: what comes later than the watermark is dropped, here nothing."""
     rows = events(spark, sf_dir)
     source, path, checkpoint = shared_folder(spark, "arriving"), shared_folder(spark, "updates"), shared_folder(spark, "checkpoint")
-    for _ in arriving_in_order(spark, rows, source, 4):
+    for _ in arriving_in_order(spark, rows, source, 2):
         stream = stream_key_time_metric(file_stream(spark, source, rows.schema), key, "ts", window_type, f"{DELAY_S} seconds")
         write_updates(stream, path, checkpoint).awaitTermination()
     return latest_counts(spark, path, ["metric", "data_time"], stream.schema)

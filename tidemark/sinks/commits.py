@@ -68,5 +68,5 @@ class CommitLog:
         if files.exists(final) or not files.rename(aside, final):
             files.delete(aside, False)
             raise CommitConflict(f"commit {version} of {self.path} exists: another run was faster")
-        for old in self.versions()[:-self.keep]:
-            files.delete(path_of(f"{self.path}/{old:020d}.json"), False)
+        if version >= self.keep:
+            files.delete(path_of(f"{self.path}/{version - self.keep:020d}.json"), False)
