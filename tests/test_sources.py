@@ -217,6 +217,26 @@ def test_archives(spark, tmp_path):
         fs.archive_scan(spark, str(tmp_path), "rar")
 
 
+def test_members_of_an_archive_are_dealt_out(spark, tmp_path):
+    import zipfile
+
+    from pyspark.sql import functions as F
+
+    lines = {f"m{i}.txt": [f"{i}.{j} é" for j in range(i * 3000 % 9001)] for i in range(12)}
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_DEFLATED) as archive:
+        for name, content in lines.items():
+            archive.writestr(name, "\n".join(content))
+    listed = fs.zip_members(spark.read.format("binaryFile").load(str(tmp_path)).select("path"))
+    assert sorted(r.member for r in listed.collect()) == sorted(lines)
+    got = fs.archive_scan(spark, str(tmp_path))
+    assert got.select(F.spark_partition_id()).distinct().count() > 1
+    found = {}
+    for r in got.orderBy("member", "line_no").collect():
+        assert r.line_no == len(found.setdefault(r.member, []))
+        found[r.member].append(r.line)
+    assert found == {name: content for name, content in lines.items() if content}
+
+
 def test_select_files(spark, tmp_path):
     for name in ("log_20240101.txt", "log_20240301.txt", "other_20240301.txt", "log_20240301.csv"):
         (tmp_path / name).write_text("x")

@@ -247,12 +247,86 @@ def csv_scan(
     return lines.filter(F.trim("line") != "").select(parsed.alias("r")).select("r.*").select(*cells)
 
 
-ARCHIVE_LINES = T.StructType([
-    T.StructField("path", T.StringType()),
-    T.StructField("member", T.StringType()),
-    T.StructField("line_no", T.LongType()),
-    T.StructField("line", T.StringType()),
-])
+ARCHIVE_LINES = "path string, member string, line_no bigint, line string"
+# Lines that a task hands on at once.
+LINES = 4096
+
+
+class _Shared(io.RawIOBase):
+    """A file of the shared storage with the manners of a local one: no place before its start can be sought."""
+
+    def __init__(self, source: Any):
+        self.source, self.length = source, source.size()
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self.source.tell()
+
+    def seek(self, at: int, whence: int = 0) -> int:
+        at += (0, self.source.tell(), self.length)[whence]
+        if at < 0:
+            raise OSError("before the start of the file")
+        self.source.seek(at)
+        return at
+
+    def readinto(self, into: Any) -> int:
+        data = self.source.read(len(into))
+        into[:len(data)] = data
+        return len(data)
+
+    def close(self) -> None:
+        self.source.close()
+        super().close()
+
+
+def open_input(path: str) -> io.BufferedReader:
+    """A file of the shared storage that can be read at any place."""
+    import pyarrow.fs as pfs
+
+    if "://" in path:
+        files, place = pfs.FileSystem.from_uri(path)
+    else:
+        files, place = pfs.LocalFileSystem(), path.removeprefix("file:")
+    return io.BufferedReader(_Shared(files.open_input_file(place)), 1 << 16)
+
+
+def zip_members(paths: DataFrame, member_regex: str | None = None) -> DataFrame:
+    """``path``, ``member``, ``size`` of the files in zip archives. Only the directory at an archive's end is read."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = re.compile(member_regex) if member_regex else None
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                with open_input(path) as data, zipfile.ZipFile(data) as archive:
+                    found = [i for i in archive.infolist() if not i.is_dir() and (wanted is None or wanted.search(i.filename))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([path] * len(found), pa.string()), pa.array([i.filename for i in found], pa.string()), pa.array([i.file_size for i in found], pa.int64())],
+                    names=["path", "member", "size"],
+                )
+
+    return paths.select("path").mapInArrow(listed, "path string, member string, size bigint")
+
+
+def _numbered(path: str, member: str, lines: Iterator[str]) -> Iterator[pa.RecordBatch]:
+    at, held = 0, []
+    for line in lines:
+        held.append(line.rstrip("\r\n"))
+        if len(held) == LINES:
+            yield _line_batch(path, member, at, held)
+            at, held = at + LINES, []
+    if held:
+        yield _line_batch(path, member, at, held)
+
+
+def _line_batch(path: str, member: str, at: int, lines: list[str]) -> pa.RecordBatch:
+    n = len(lines)
+    columns = [pa.array([path] * n), pa.array([member] * n), pa.array(range(at, at + n), pa.int64()), pa.array(lines, pa.string())]
+    return pa.RecordBatch.from_arrays(columns, names=["path", "member", "line_no", "line"])
 
 
 def archive_scan(
@@ -265,32 +339,40 @@ def archive_scan(
 ) -> DataFrame:
     """Lines of the members of zip or tar.gz files: ``path``, ``member``, ``line_no``, ``line``.
 
-    An archive cannot be split, so one task opens each; members are unpacked as
-    a stream, line by line. Archives are handed over one at a time.
+    Members of zip archives are dealt out over the cluster: a task reads the bytes of its own members
+    from the shared storage, wherever in an archive they lie, line by line. A tar.gz is one compressed
+    stream, so one task reads it, from its path and line by line. No archive and no member is ever held
+    whole.
     """
     if kind not in ("zip", "tar.gz"):
         raise ValueError(f"kind must be 'zip' or 'tar.gz', got {kind!r}")
-    wanted = re.compile(member_regex) if member_regex else None
-
-    def members(data: bytes) -> Iterator[tuple[str, Any]]:
-        if kind == "zip":
-            with zipfile.ZipFile(io.BytesIO(data)) as archive:
-                for info in archive.infolist():
-                    if not info.is_dir() and (wanted is None or wanted.search(info.filename)):
-                        yield info.filename, archive.open(info, pwd=password.encode() if password else None)
-        else:
-            with tarfile.open(fileobj=io.BytesIO(data), mode="r:gz") as archive:
-                for info in archive:
-                    if info.isfile() and (wanted is None or wanted.search(info.name)):
-                        yield info.name, archive.extractfile(info)
-
-    def unpack(pair: tuple[str, bytes]) -> Iterator[tuple[str, str, int, str]]:
-        file_path, data = pair
-        for name, stream in members(data):
-            for no, line in enumerate(io.TextIOWrapper(stream, encoding=encoding, errors="replace", newline="\n")):
-                yield file_path, name, no, line.rstrip("\r\n")
-
-    return spark.createDataFrame(spark.sparkContext.binaryFiles(path).flatMap(unpack), ARCHIVE_LINES)
+    paths = spark.read.format("binaryFile").load(path).select("path")
+
+    def unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.select(["path", "member"]).to_pylist()
+            for name in dict.fromkeys(r["path"] for r in rows):
+                # The directory of an archive is read once for all members of it that are here.
+                with open_input(name) as data, zipfile.ZipFile(data) as archive:
+                    for member in (r["member"] for r in rows if r["path"] == name):
+                        with archive.open(member, pwd=password.encode() if password else None) as stream:
+                            yield from _numbered(name, member, io.TextIOWrapper(stream, encoding=encoding, errors="replace", newline="\n"))
+
+    def untar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = re.compile(member_regex) if member_regex else None
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                with open_input(name) as data, tarfile.open(fileobj=data, mode="r:gz") as archive:
+                    for info in archive:
+                        if info.isfile() and (wanted is None or wanted.search(info.name)):
+                            lines = io.TextIOWrapper(archive.extractfile(info), encoding=encoding, errors="replace", newline="\n")
+                            yield from _numbered(name, info.name, lines)
+
+    if kind == "tar.gz":
+        return paths.repartition("path").mapInArrow(untar, ARCHIVE_LINES)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    members = zip_members(paths, member_regex)
+    return members.repartition(parts, "path", "member").sortWithinPartitions("path", "member").mapInArrow(unzip, ARCHIVE_LINES)
 
 
 def file_read_options(prefix: str = "", suffix: str = "", modified_before: datetime | None = None) -> dict[str, str]:
