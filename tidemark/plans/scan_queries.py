@@ -324,7 +324,7 @@ def append_lines(lines: DataFrame, folder: str, run: int) -> None:
                     if out is not None:
                         out.close()
                     name, at, done = row["file"], 0, False
-                    files, place = pfs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pfs.LocalFileSystem(), folder)
+                    files, place = pfs.FileSystem.from_uri(folder) if "://" in folder else (pfs.LocalFileSystem(), folder.removeprefix("file:"))
                     files.create_dir(place)
                     path = f"{place}/part-{name}.log"
                     have = max(files.get_file_info(path).size or 0, 0)

@@ -34,7 +34,7 @@ PATH, BYTE, GENERATION = 0, 1, 2
 
 
 def _open(path: str) -> tuple[pfs.FileSystem, str]:
-    return pfs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pfs.LocalFileSystem(), path)
+    return pfs.FileSystem.from_uri(path) if "://" in path else (pfs.LocalFileSystem(), path.removeprefix("file:"))
 
 
 def _lines(source: Any, at: int, end: int) -> Iterator[tuple[int, bytes]]:
