@@ -94,3 +94,16 @@ def test_days_of_many_and_of_few_words_agree(spark):
     df = spark.createDataFrame([(i, [(w,) for w in dict.fromkeys(x)]) for i, x in enumerate(data)], "i int, said array<struct<word:string>>")
     got = [r.text for r in df.select("i", _join_new_words("said").alias("text")).orderBy("i").collect()]
     assert got == [join_new_words(list(dict.fromkeys(x))) for x in data]
+
+
+def test_a_stream_of_many_short_days_keeps_no_state_in_python(spark, tmp_path):
+    """Every user's day costs a few rows of state, not calls to a Python worker for each of its records."""
+    run = Run(spark, tmp_path, lambda sdf: stream_behaviour(sdf, **HOW))
+    data = [(i, f"u{i % 700}", ("page", "search", "show")[i % 3], f"w{i % 5}", at(24 * (i // 2100) + i % 23)) for i in range(4200)]
+    whole = user_behaviour_metric(spark.createDataFrame(data, SCHEMA), **HOW)
+    run(data)
+    run.marks.put(at(47), 24 * 3600)
+    assert rows(run()) == rows(whole.select("metric", "data_time", "mobile", "create_time", "update_time", "active_level", "qry_msg", "events"))
+    assert run.state_rows == 0
+    stream = stream_behaviour(file_stream(spark, run.source, spark.read.parquet(run.source).schema), **HOW)
+    assert "InPandas" not in stream._jdf.queryExecution().analyzed().toString()

@@ -305,10 +305,10 @@ def merge_behaviour_words(words: DataFrame) -> DataFrame:
     )
 
 
-def behaviour_days(words: DataFrame) -> DataFrame:
-    """Behaviour of a user per day, out of the distinct words of it."""
+def behaviour_days(words: DataFrame, keys: Sequence[str] = ("metric", "data_time")) -> DataFrame:
+    """Behaviour of a user per day, out of the distinct words of it; a stream's ``keys`` name its watermark too."""
     said = F.when(F.col("word").isNotNull(), F.struct(F.col("first.ord").alias("ord"), F.col("word").alias("word")))
-    days = words.groupBy("metric", "data_time").agg(
+    days = words.groupBy(*keys).agg(
         F.min("first").alias("first"),
         F.sum("pages").alias("active_level"),
         F.sum("events").alias("events"),

@@ -2,85 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from typing import Any
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.times import bucket
-from tidemark.operators.metrics import PAGE_EVENT, SEARCH_EVENT, SHOW_EVENT, join_new_words, key_or_default
+from tidemark.operators.metrics import PAGE_EVENT, SEARCH_EVENT, SHOW_EVENT, behaviour_days, key_or_default
 from tidemark.streaming.flush import MARK, without_marks
 
-DAY_MS = 24 * 3600 * 1000
-BEHAVIOUR_SCHEMA = (
-    "metric string, data_time timestamp_ntz, mobile string, create_time timestamp_ntz, update_time timestamp_ntz, "
-    "active_level bigint, qry_msg string, events bigint"
-)
-
-
-class _Behaviour(StatefulProcessor):
-    """A user's day: totals as one value, and a map of its distinct words to the place of their first use."""
-
-    def __init__(self, order: T.StructType):
-        # Workers have no session that could read a schema as text.
-        self.order = order
-        self.places = [f.name for f in order.fields]
-        head = "mobile string, create_time timestamp_ntz, update_time timestamp_ntz, pages bigint, events bigint"
-        self.total = T.StructType([*order.fields, *T.StructType.fromDDL(head).fields])
-        self.word = T.StructType.fromDDL("word string")
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.totals = handle.getValueState("totals", self.total)
-        self.words = handle.getMapState("words", self.word, self.order)
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        first = self.totals.get()
-        fresh = first is None
-        for part in rows:
-            for row in part.itertuples(index=False):
-                place = tuple(_plain(getattr(row, name)) for name in self.places)
-                if first is None or place < tuple(first[:len(place)]):
-                    counts = (0, 0) if first is None else first[-2:]
-                    first = (*place, *(_plain(getattr(row, c)) for c in ("mobile", "create_time", "update_time")), *counts)
-                first = (*first[:-2], first[-2] + int(row.page), first[-1] + 1)
-                if row.word is not None:
-                    known = self.words.getValue((row.word,))
-                    if known is None or place < tuple(known):
-                        self.words.updateValue((row.word,), place)
-        if first is not None:
-            self.totals.update(first)
-            if fresh:
-                self.handle.registerTimer(_day_end(key))
-        yield from ()
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        total = self.totals.get()
-        if total is not None:
-            said = [word for _, word in sorted((tuple(place), word[0]) for word, place in self.words.iterator())]
-            mobile, created, updated, pages, events = total[len(self.places):]
-            yield pd.DataFrame({
-                "metric": [key[0]], "data_time": [pd.Timestamp(key[1])], "mobile": [mobile], "create_time": [created], "update_time": [updated],
-                "active_level": [pages], "qry_msg": [join_new_words(said)], "events": [events],
-            })
-        self.totals.clear()
-        self.words.clear()
-
-    def close(self) -> None:
-        pass
-
-
-def _plain(value: Any) -> Any:
-    if isinstance(value, pd.Timestamp):
-        return value.to_pydatetime()
-    return None if value is None or value is pd.NaT else value.item() if hasattr(value, "item") else value
-
-
-def _day_end(key: tuple) -> int:
-    return int(pd.Timestamp(key[1]).value // 1_000_000) + DAY_MS
-
 
 def stream_behaviour(
     sdf: DataFrame, order_cols: Sequence[str], delay: str = "0 seconds", user: str = "USER", time: str = "EVENT_TIME", event: str = "EVENT_KEY",
@@ -91,23 +20,29 @@ def stream_behaviour(
 
     The watermark follows the ends of days: a day is closed when the newest day ends over ``delay`` after
     it, so with less than a day of delay the first record of the next day closes it. Records of an open day
-    are never late. The state of a user's day is its vocabulary and one row
-    of totals; it is gone when the day was given out. With ``EndMarks`` attached the last days come too.
+    are never late. The state of a user's day is its vocabulary: a row per word, spread by word, with the
+    first record that used it and counts. When the day is over its words meet, become the day's row and are
+    gone. With ``EndMarks`` attached the last days come too.
     """
     page, search, show = events
     key = F.col(event)
-    order = [F.col(c).alias(f"o{i}") for i, c in enumerate(order_cols)]
+    order = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_cols)])
+    head = F.struct(
+        F.col(user).cast("string").alias("mobile"), F.col(create_time).cast("timestamp_ntz").alias("create_time"),
+        F.col(update_time).cast("timestamp_ntz").alias("update_time"),
+    )
     marked = [MARK] if MARK in sdf.columns else []
     rows = sdf.select(
-        key_or_default(user).alias("metric"), bucket(time, "day").alias("data_time"), F.col(time).cast("timestamp_ntz").alias("at"), *order,
-        F.when(key == search, F.col(search_word)).when(key == show, F.col(scene)).alias("word"), (key == page).alias("page"),
-        F.col(user).cast("string").alias("mobile"), F.col(create_time).cast("timestamp_ntz").alias("create_time"),
-        F.col(update_time).cast("timestamp_ntz").alias("update_time"), *marked,
-    ).withColumn("page", F.coalesce("page", F.lit(False)))
+        key_or_default(user).alias("metric"), bucket(time, "day").alias("data_time"), F.col(time).cast("timestamp_ntz").alias("at"),
+        F.when(key == search, F.col(search_word)).when(key == show, F.col(scene)).alias("word"), order.alias("ord"), head.alias("head"),
+        (key == page).alias("page"), *marked,
+    )
     # A mark moves the watermark by its own time.
     closes = F.col("data_time") + F.expr("INTERVAL 1 DAY")
     moved = F.when(F.col(MARK), F.col("at")).otherwise(closes) if marked else closes
     # What equals the watermark is late, so it stays behind the newest day.
     watched = without_marks(rows.withColumn("watched", moved.cast("timestamp")).withWatermark("watched", f"{delay} 1 millisecond"), "watched")
-    places = T.StructType([watched.schema[f"o{i}"] for i in range(len(order_cols))])
-    return watched.groupBy("metric", "data_time").transformWithStateInPandas(_Behaviour(places), BEHAVIOUR_SCHEMA, "append", "eventTime")
+    words = watched.groupBy("metric", "data_time", "watched", "word").agg(
+        F.min(F.struct("ord", "head")).alias("first"), F.count_if("page").alias("pages"), F.count(F.lit(1)).alias("events")
+    )
+    return behaviour_days(words, ["metric", "data_time", "watched"])
