@@ -4,6 +4,7 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import packing
@@ -41,6 +42,27 @@ def test_marks_letters_and_digits_in_any_order(tokenizer):
         assert encoder.encode([w.encode() for w in part]) == [whole(tokenizer, w) for w in part]
 
 
+def test_a_word_of_many_texts_is_looked_up_once():
+    encoder, asked = packing.Encoder(tokenizer_path(), True), []
+    look_up = encoder._ids
+    encoder._ids = lambda words: asked.append(len(words)) or look_up(words)
+    texts = [b" the  house\t\n", b"", b"the house", b"\x0b", b"The"] * 100
+    for given in (texts, pa.array([b"cut off", *texts], pa.binary()).slice(1)):
+        got = encoder.encode(given)
+        assert got[:5] * 100 == got
+        assert got[1] == got[3] == b"" and got[0] == got[2] and got[0].startswith(got[4])
+    # Beside the empty one, which white space at an end leaves.
+    assert max(asked) <= 4
+    assert encoder.encode([]) == [] and encoder.encode([b"", b" "]) == [b"", b""]
+
+
+def test_batches_are_put_together_up_to_a_size():
+    batches = [pa.RecordBatch.from_pydict({"body": pa.array([b"x" * n], pa.binary())}) for n in (10, 10, 500, 10, 10)]
+    got = list(packing._gathered(iter(batches), 100))
+    assert [b.num_rows for b in got] == [2, 1, 2]
+    assert pa.Table.from_batches(got) == pa.Table.from_batches(batches)
+
+
 def test_a_word_that_comes_again_stays():
     memory = packing.Memory(10)
     for i in range(100):

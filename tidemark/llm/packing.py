@@ -1,6 +1,7 @@
 """Pack documents into sequences of tokens, best fit decreasing.
 
-1. Tokens: words repeat, so a worker keeps the ids of the words it has met. A new word is cut into
+1. Tokens: words repeat, so some megabytes of texts are reduced to their distinct words, and a worker
+   keeps the ids of the words it has met. A new word is cut into
    its stem, in small letters, and the marks at its end, and the tokenizer is asked for parts that
    are new, many at a time. That is exact for a tokenizer that lower-cases, drops white space and
    joins neither across it nor letters with marks (``word_bpe_49k``); ``by_word=False`` encodes
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import named, ready, text_of
@@ -37,6 +39,8 @@ GROUP_TOKENS = 1 << 22
 # Words that a worker remembers, in two halves: the newer half is what was met since the older one was
 # full, so a word that comes again and again is never forgotten. About 150 bytes a word.
 KNOWN_WORDS = 1 << 20
+# Texts are encoded this many bytes at once, so that a word of all of them is looked up once.
+TEXT_BYTES = 4 << 20
 # New words that the tokenizer gets at once.
 NEW_WORDS = 1 << 9
 # ASCII punctuation; at the end of a word it is a token run of its own.
@@ -56,6 +60,21 @@ class Memory:
         if len(self.new) >= self.most // 2:
             self.new, self.old = {}, self.new
 
+    def add_all(self, ids: dict[bytes, bytes]) -> None:
+        if len(self.new) + len(ids) < self.most // 2:
+            self.new.update(ids)
+        else:
+            for word, one in ids.items():
+                self.add(word, one)
+
+    def known(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Those of the words that it has; what the older one alone knows moves."""
+        found = {w: ids for w, ids in zip(words, map(self.new.get, words), strict=True) if ids is not None}
+        rest = words - found.keys()
+        older = {w: ids for w, ids in zip(rest, map(self.old.get, rest), strict=True) if ids is not None}
+        self.add_all(older)
+        return found | older
+
     def get(self, word: bytes) -> bytes | None:
         found = self.new.get(word)
         if found is None and (found := self.old.get(word)) is not None:
@@ -102,47 +121,47 @@ class Encoder:
             return stem.lower(), word[len(stem):]
         return word, b""
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        if not self.by_word:
-            return [np.array(self.tokenizer.encode(t.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
-        # bytes.split() cuts at ASCII white space, which the tokenizer drops.
-        split = [t.split() for t in texts]
-        new = self.words.new
-        found = [list(map(new.get, words)) for words in split]
-        lacking = [None in ids for ids in found]
-        missing = {w for words, ids, lacks in zip(split, found, lacking, strict=True) if lacks for w, i in zip(words, ids, strict=True) if i is None}
-        # What this batch lacks, out of the older generation or out of its parts.
-        here: dict[bytes, bytes] = {}
-        cut: dict[bytes, tuple[bytes, bytes]] = {}
-        for word in missing:
-            ids = self.words.old.get(word)
-            if ids is None:
-                cut[word] = self.cut(word)
-            else:
-                here[word] = ids
-        parts: dict[bytes, bytes] = {}
-        unknown = []
-        for part in {p for both in cut.values() for p in both if p}:
-            ids = self.parts.get(part)
-            if ids is None:
-                unknown.append(part)
-            else:
-                parts[part] = ids
-        learnt = self._learn(unknown)
-        for part, ids in learnt.items():
-            self.parts.add(part, ids)
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words."""
+        out = list(map(self.words.new.get, words))
+        # What the newer generation lacks, out of the older one or out of its parts.
+        lacking = [i for i, ids in enumerate(out) if ids is None]
+        fresh = [words[i] for i in lacking]
+        found = list(map(self.words.old.get, fresh))
+        unknown = [w for w, ids in zip(fresh, found, strict=True) if ids is None]
+        cut = list(map(self.cut, unknown))
+        wanted = {part for both in cut for part in both}
+        wanted.discard(b"")
+        parts = self.parts.known(wanted)
+        learnt = self._learn([part for part in wanted if part not in parts])
+        self.parts.add_all(learnt)
         parts |= learnt
         parts[b""] = b""
-        for word, (stem, marks) in cut.items():
-            here[word] = parts[stem] + parts[marks]
-        out = [
-            b"".join([i if i is not None else here[w] for w, i in zip(words, ids, strict=True)] if lacks else ids)
-            for words, ids, lacks in zip(split, found, lacking, strict=True)
-        ]
-        for word, ids in here.items():
-            self.words.add(word, ids)
+        here = dict(zip(unknown, [parts[stem] + parts[marks] for stem, marks in cut], strict=True))
+        found = [here[w] if ids is None else ids for w, ids in zip(fresh, found, strict=True)]
+        for i, ids in zip(lacking, found, strict=True):
+            out[i] = ids
+        self.words.add_all(dict(zip(fresh, found, strict=True)))
         return out
 
+    def encode(self, texts: list[bytes] | pa.Array) -> list[bytes]:
+        if not self.by_word:
+            given = texts.to_pylist() if isinstance(texts, pa.Array) else texts
+            return [np.array(self.tokenizer.encode(t.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes() for t in given]
+        given = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary())
+        # Cut at ASCII white space, which the tokenizer drops. Each distinct word is looked up once.
+        split = pc.ascii_split_whitespace(given.view(pa.string()))
+        coded = split.flatten().dictionary_encode()
+        ids = pa.array(self._ids(coded.dictionary.view(pa.binary()).to_pylist()), pa.large_binary()).take(coded.indices)
+        # The ids of a text lie one behind the other.
+        _, ends, data = ids.buffers()
+        if not len(ids) or data is None:
+            return [b""] * len(given)
+        ends = np.frombuffer(ends, dtype=np.int64)[ids.offset:ids.offset + len(ids) + 1]
+        cuts = ends[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()
+        data = memoryview(data)
+        return [bytes(data[a:b]) for a, b in zip(cuts, cuts[1:])]
+
 
 def _encoder(path: str, by_word: bool) -> Encoder:
     """The encoder of this worker process: it serves many tasks, and what it has learnt stays."""
@@ -155,6 +174,19 @@ def _encoder(path: str, by_word: bool) -> Encoder:
     return kept[path, by_word]
 
 
+def _gathered(parts: Iterator[pa.RecordBatch], most: int = TEXT_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they hold ``most`` bytes."""
+    held, size = [], 0
+    for batch in parts:
+        if held and size + batch.nbytes > most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def pieces(df: DataFrame, tokenizer: str, id_col: str, text_col: str, length: int, end_id: int, by_word: bool, with_ids: bool) -> DataFrame:
     """id, start, length, ids_crc32, doc_tokens (and ids): windows of ``length``, then the rest."""
     ready(df.sparkSession)
@@ -164,9 +196,9 @@ def pieces(df: DataFrame, tokenizer: str, id_col: str, text_col: str, length: in
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer, by_word)
         end = np.array([end_id], dtype="<u4").tobytes()
-        for batch in parts:
+        for batch in _gathered(parts):
             rows, start, size, crc, total, ids = [], [], [], [], [], []
-            for row, data in enumerate(encoder.encode(batch.column("body").to_pylist())):
+            for row, data in enumerate(encoder.encode(batch.column("body"))):
                 data += end
                 tokens = len(data) // 4
                 for at in range(0, tokens, length):
